@@ -18,9 +18,13 @@ _NEGATIVE = rf"^\s*-(?=[0-9.]*[1-9]){_MANTISSA}{_EXPONENT}\s*$"
 _NONFINITE = r"(?i)^\s*[+-]?(?:inf|infinity|s?nan[0-9]*)\s*$"
 
 
-def _digits(c: Column) -> Column:
+def _text(c: Column) -> Column:
+    return F.coalesce(c, F.lit(""))
+
+
+def _matches(c: Column, pattern: str) -> Column:
     # Underscores between digits are legal grouping marks.
-    return F.replace(F.coalesce(c, F.lit("")), F.lit("_"), F.lit(""))
+    return F.replace(_text(c), F.lit("_"), F.lit("")).rlike(pattern)
 
 
 def exact_money(c: Column) -> Column:
@@ -28,14 +32,19 @@ def exact_money(c: Column) -> Column:
     return c.try_cast(MONEY)
 
 
+# Each pattern is tried only on text that has a letter or sign it needs: a byte search settles
+# nearly every row.
+
+
 def is_negative_amount(c: Column) -> Column:
-    return _digits(c).rlike(_NEGATIVE)
+    return F.contains(_text(c), F.lit("-")) & _matches(c, _NEGATIVE)
 
 
 def is_nonfinite_amount(c: Column) -> Column:
-    return _digits(c).rlike(_NONFINITE)
+    has_n = F.contains(_text(c), F.lit("n")) | F.contains(_text(c), F.lit("N"))
+    return has_n & _matches(c, _NONFINITE)
 
 
 def is_unreadable_amount(c: Column) -> Column:
     """Neither a number nor a NaN/infinity; NULL and '' are unreadable as well."""
-    return ~(_digits(c).rlike(_NUMBER) | is_nonfinite_amount(c))
+    return ~(_matches(c, _NUMBER) | is_nonfinite_amount(c))

@@ -12,17 +12,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
+def _content_hash(columns: Sequence[str]) -> Column:
+    # The hash passes over NULLs, so which columns are NULL is hashed as well.
+    return F.xxhash64(*[F.col(c) for c in columns], *[F.col(c).isNull() for c in columns])
+
+
+def latest_per_key(
+    df: DataFrame, keys: Sequence[str], newest: Sequence[str], content: Sequence[str] | None = None
+) -> DataFrame:
     """The row with the greatest ``newest`` per key.
 
-    Every other column breaks ties, so a recomputed task picks the same survivor. The ``= 1`` filter
-    lets the planner keep one row per key in each map task already, before the shuffle: a hot key
-    costs no more than any other.
+    A hash of ``content`` (all columns by default) breaks ties, so a recomputed task picks the same
+    survivor, and columns nobody reads later stay out of the shuffle. The ``= 1`` filter lets the
+    planner keep one row per key in each map task already: a hot key costs no more than any other.
     """
-    rest = [c for c in df.columns if c not in newest]
-    order = [F.col(c).desc_nulls_last() for c in [*newest, *rest]]
-    rank = F.row_number().over(Window.partitionBy(*[F.expr(k) for k in keys]).orderBy(*order))
-    return df.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
+    order = [F.col(c).desc_nulls_last() for c in newest]
+    window = Window.partitionBy(*[F.expr(k) for k in keys]).orderBy(*order, F.col("__tie"))
+    return (
+        df.withColumn("__tie", _content_hash(content or df.columns))
+        .withColumn("__rank", F.row_number().over(window))
+        .filter("__rank = 1")
+        .drop("__rank", "__tie")
+    )
 
 
 def _key_columns(keys: Sequence[str], side: str) -> list[Column]:

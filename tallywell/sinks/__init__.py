@@ -1,6 +1,7 @@
 """Tables of the pipeline and the row-level writes on them."""
 
 from tallywell.sinks.layers import Layers, create_layers
+from tallywell.sinks.publish import file_writer, kafka_writer, publish_events
 from tallywell.sinks.writes import (
     append_absent,
     append_batch,
@@ -15,6 +16,9 @@ __all__ = [
     "append_batch",
     "create_layers",
     "delete_from_table",
+    "file_writer",
+    "kafka_writer",
+    "publish_events",
     "replace_table",
     "upsert_table",
 ]

@@ -36,20 +36,33 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def _clustered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+# Below this many rows, the number of files decides how long a write takes, not their size.
+SMALL_WRITE_ROWS = 1_000_000
+
+
+def _clustered(df: DataFrame, partitions: Sequence[str], sizes: Sequence[int] | None) -> DataFrame:
     """Bring rows of one partition together, so that a write makes few files.
 
     REBALANCE lets adaptive execution split a partition that is too big for one task and merge the
-    small ones, by measured size.
+    small ones, by measured size. Merged by size, a few rows for very many partitions would end up
+    in one task that writes all files in turn; ``sizes``, the rows per partition, shows that case.
     """
-    return df.hint("rebalance", *[F.col(p) for p in partitions]) if partitions else df.hint("rebalance")
+    columns = [F.col(p) for p in partitions]
+    if sizes and sum(sizes) <= SMALL_WRITE_ROWS:
+        tasks = min(len(sizes), df.sparkSession.sparkContext.defaultParallelism)
+        return df.repartition(tasks, *columns)
+    return df.hint("rebalance", *columns)
 
 
-def _insert(df: DataFrame, table: str, overwrite: bool = False) -> None:
+def _insert(df: DataFrame, table: str, *, overwrite: bool = False, sizes: Sequence[int] | None = None) -> None:
     spark = df.sparkSession
-    columns = spark.table(table).columns
-    partitions = partition_columns(spark, table)
-    _clustered(df.select(*columns), partitions).write.insertInto(table, overwrite=overwrite)
+    rows = df.select(*spark.table(table).columns)
+    _clustered(rows, partition_columns(spark, table), sizes).write.insertInto(table, overwrite=overwrite)
+
+
+def _rows_per_partition(df: DataFrame, partitions: Sequence[str]) -> dict[tuple, int]:
+    counts = df.groupBy(*partitions).agg(F.count(F.lit(1)).alias("rows")).collect()
+    return {tuple(r[: len(partitions)]): r["rows"] for r in counts}
 
 
 def append_batch(events: DataFrame, table: str, stream_id: str, batch_id: int) -> None:
@@ -166,9 +179,12 @@ def _drop_partitions(spark: SparkSession, table: str, partitions: Sequence[str],
     def literal(value) -> str:
         return "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    for value in values:
-        spec = ", ".join(f"`{c}` = {literal(v)}" for c, v in zip(partitions, value))
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    specs = [
+        "PARTITION (" + ", ".join(f"`{c}` = {literal(v)}" for c, v in zip(partitions, value)) + ")"
+        for value in values
+    ]
+    for first in range(0, len(specs), 500):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs[first : first + 500])}")
 
 
 def _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_fixes_partition) -> None:
@@ -184,15 +200,15 @@ def _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_f
     source = source.select(*target.columns).persist(StorageLevel.MEMORY_AND_DISK)
     accepted = source
     try:
-        arriving = {tuple(r) for r in source.select(*partitions).distinct().collect()}
+        arriving = _rows_per_partition(source, partitions)
         if not arriving:
             return
-        searched = target.filter(_among(partitions, sorted(arriving, key=str))) if key_fixes_partition else target
+        searched = target.filter(_among(partitions, list(arriving))) if key_fixes_partition else target
         if protect or newer_by:
             accepted = accepted_rows(
                 searched, source, keys, protect=protect, newer_by=newer_by, null_safe=null_safe
             ).persist(StorageLevel.MEMORY_AND_DISK)
-            arriving = {tuple(r) for r in accepted.select(*partitions).distinct().collect()}
+            arriving = _rows_per_partition(accepted, partitions)
         marked = join_on_keys(
             searched, accepted, keys, "left", keep=[F.lit(True).alias("__hit")], null_safe=null_safe
         )
@@ -202,21 +218,20 @@ def _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_f
             .filter("hits > 0")
             .collect()
         )
-        if not touched:
-            _insert(accepted, table)
-            return
-        hit = [tuple(r[: len(partitions)]) for r in touched]
-        inside = _among(partitions, hit)
-        if arriving - set(hit):
-            _insert(accepted.filter(~F.coalesce(inside, F.lit(False))), table)
-        kept = rows_absent_from(target.filter(inside), accepted, keys, null_safe=null_safe)
-        _insert(kept.unionByName(accepted.filter(inside)), table, overwrite=True)
-        emptied = [
-            tuple(r[: len(partitions)])
-            for r in touched
-            if r["total"] == r["hits"] and tuple(r[: len(partitions)]) not in arriving
-        ]
-        _drop_partitions(spark, table, partitions, emptied)
+        width = len(partitions)
+        left_over = {tuple(r[:width]): r["total"] - r["hits"] for r in touched}
+        inside = F.coalesce(_among(partitions, list(left_over)), F.lit(False))
+
+        added = {p: n for p, n in arriving.items() if p not in left_over}
+        if added:
+            _insert(accepted.filter(~inside), table, sizes=list(added.values()))
+        rewritten = {p: n + arriving.get(p, 0) for p, n in left_over.items() if n + arriving.get(p, 0)}
+        if rewritten:
+            kept = target.filter(_among(partitions, list(rewritten)))
+            kept = rows_absent_from(kept, accepted, keys, null_safe=null_safe)
+            rows = kept.unionByName(accepted.filter(inside))
+            _insert(rows, table, overwrite=True, sizes=list(rewritten.values()))
+        _drop_partitions(spark, table, partitions, [p for p in left_over if p not in rewritten])
     finally:
         accepted.unpersist()
         source.unpersist()
@@ -242,9 +257,10 @@ def delete_from_table(spark: SparkSession, table: str, where: str) -> int:
         .collect()
     )
     width = len(partitions)
-    partial = [tuple(r[:width]) for r in touched if r["hits"] < r["total"]]
-    if partial:
-        kept = delete_rows(target.filter(_among(partitions, partial)), where)
-        _insert(kept, table, overwrite=True)
-    _drop_partitions(spark, table, partitions, [tuple(r[:width]) for r in touched if r["hits"] == r["total"]])
+    left_over = {tuple(r[:width]): r["total"] - r["hits"] for r in touched}
+    rewritten = {p: n for p, n in left_over.items() if n}
+    if rewritten:
+        kept = delete_rows(target.filter(_among(partitions, list(rewritten))), where)
+        _insert(kept, table, overwrite=True, sizes=list(rewritten.values()))
+    _drop_partitions(spark, table, partitions, [p for p in left_over if p not in rewritten])
     return sum(r["hits"] for r in touched)

@@ -36,9 +36,10 @@ def file_stream(
     file_format: str = "parquet",
     glob: str | None = None,
     max_files_per_trigger: int | None = None,
+    **options,
 ) -> DataFrame:
-    """Files arriving in a directory, oldest first."""
-    reader = spark.readStream.schema(schema).format(file_format)
+    """Files arriving in a directory, oldest first; ``options`` go to the file format."""
+    reader = spark.readStream.schema(schema).format(file_format).options(**options)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:

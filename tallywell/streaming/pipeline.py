@@ -50,13 +50,13 @@ def silver_from(classified: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataF
     """Clean rows, repaired, newest delivery per order, in silver layout."""
     rule = BLANK_STATUS_RULE if policy.blank_is_empty else EMPTY_STATUS_RULE
     repaired = repair_column(clean_rows(classified), "order_status", rule)
-    return latest_per_key(repaired, ["order_id"], ["ingest_id"]).select(*SILVER_SCHEMA.fieldNames())
+    return latest_per_key(repaired, ["order_id"], ["ingest_id"], EVENT_FIELDS).select(*SILVER_SCHEMA.fieldNames())
 
 
 def pending_from(classified: DataFrame) -> DataFrame:
     """Quarantined rows, each delivery once, in quarantine layout."""
     rows = quarantined_rows(classified).select(*PENDING_SCHEMA.fieldNames())
-    return latest_per_key(rows, PENDING_KEYS, ["ingest_id"])
+    return latest_per_key(rows, PENDING_KEYS, ["ingest_id"], EVENT_FIELDS)
 
 
 def process_batch(

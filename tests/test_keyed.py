@@ -1,0 +1,77 @@
+from conftest import as_dicts
+from pyspark.sql import functions as F
+
+from tallywell.operators.keyed import delete_rows, latest_per_key, update_columns, upsert
+from tallywell.operators.skew import hot_keys, lookup_join
+
+SCHEMA = "k string, i string, v int"
+
+
+def test_latest_row_wins_and_ties_are_stable(spark):
+    rows = [("a", "1", 1), ("a", "2", 2), ("b", "1", 3), (None, "1", 4), (None, "3", 5), ("c", "1", 6), ("c", "1", 7)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    one = as_dicts(latest_per_key(df, ["k"], ["i"]))
+    two = as_dicts(latest_per_key(df.orderBy(F.desc("v")), ["k"], ["i"]))
+    assert one == two
+    assert {r["k"]: r["v"] for r in one if r["k"] != "c"} == {"a": 2, "b": 3, None: 5}
+
+
+def test_latest_prunes_before_the_shuffle(spark):
+    plan = latest_per_key(spark.range(10).withColumn("i", F.col("id")), ["id % 2"], ["i"])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("WindowGroupLimit") == 2
+
+
+def test_upsert_twice_is_upsert_once(spark):
+    target = spark.createDataFrame([("a", "1", 1), ("b", "1", 2), (None, "1", 3)], SCHEMA)
+    source = spark.createDataFrame([("b", "2", 20), ("c", "2", 30), (None, "2", 40)], SCHEMA)
+    once = upsert(target, source, ["k"])
+    assert as_dicts(upsert(once, source, ["k"])) == as_dicts(once)
+    assert {r["k"]: r["v"] for r in as_dicts(once)} == {"a": 1, "b": 20, "c": 30, None: 40}
+    assert upsert(target, source, ["k"], null_safe=False).count() == 5
+
+
+def test_upsert_options(spark):
+    target = spark.createDataFrame([("a", "5", 1), ("b", "5", 2), ("c", None, 3)], SCHEMA)
+    source = spark.createDataFrame([("a", "4", 10), ("b", "6", 20), ("c", "1", 30)], SCHEMA)
+    got = {r["k"]: r["v"] for r in as_dicts(upsert(target, source, ["k"], newer_by="i"))}
+    assert got == {"a": 1, "b": 20, "c": 30}
+    got = {r["k"]: r["v"] for r in as_dicts(upsert(target, source, ["k"], protect="v = 2"))}
+    assert got == {"a": 10, "b": 2, "c": 30}
+    got = {r["k"]: r["v"] for r in as_dicts(upsert(target, source, ["k"], protect="v = 3", newer_by="i"))}
+    assert got == {"a": 1, "b": 20, "c": 3}
+    got = {r["k"]: r["v"] for r in as_dicts(upsert(target, source, ["k"], insert_only=True))}
+    assert got == {"a": 1, "b": 2, "c": 3}
+
+
+def test_update_and_delete(spark):
+    target = spark.createDataFrame([("a", "1", 1), ("a", "2", 2), (None, "1", 3)], SCHEMA)
+    changes = spark.createDataFrame([("a", "2", 20), (None, "1", 30), ("z", "1", 99)], SCHEMA)
+    got = [r["v"] for r in as_dicts(update_columns(target, changes, ["k", "i"], ["v"]), "v")]
+    assert sorted(got) == [1, 20, 30]
+    got = [r["v"] for r in as_dicts(update_columns(target, changes, ["k", "i"], ["v"], where="v < 3"), "v")]
+    assert sorted(got) == [1, 3, 20]
+    assert sorted(r["v"] for r in delete_rows(target, "k = 'a' AND v = 1").collect()) == [2, 3]
+
+
+def skewed(spark):
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(
+        F.concat(F.lit("k"), F.col("id"))
+    )
+    return spark.range(3000).select(key.alias("k"), F.col("id").alias("n"))
+
+
+def test_hot_keys_are_exact(spark):
+    assert hot_keys(skewed(spark), "k", 0.05) == (["hot"], True)
+    assert hot_keys(spark.range(1000).select(F.col("id").cast("string").alias("k")), "k", 0.05) == ([], False)
+
+
+def test_lookup_join_equals_left_join_under_skew(spark):
+    left = skewed(spark)
+    right = left.filter("k IS NOT NULL AND n % 2 = 0").groupBy("k").agg(F.sum("n").alias("s"))
+    right = right.unionByName(spark.createDataFrame([("extra", 1)], "k string, s bigint"))
+    expected = as_dicts(left.join(right, "k", "left"))
+    for hot in (None, ["hot"], []):
+        got = lookup_join(left, right, "k", share=0.05, hot=hot)
+        assert got.columns == ["k", "n", "s"]
+        assert as_dicts(got) == expected
