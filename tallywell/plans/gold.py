@@ -10,6 +10,7 @@ from tallywell.operators.keyed import upsert
 from tallywell.schemas import CUSTOMER_ACTIVITY_SCHEMA, DAILY_REVENUE_SCHEMA, MONEY
 from tallywell.sinks.layers import Layers
 from tallywell.sinks.writes import replace_table, upsert_table
+from tallywell.sources.tables import current_table
 
 # The first day of all, the separator, and the label (Vietnamese: status
 # information missing) shown for a repaired status.
@@ -134,15 +135,15 @@ def refresh_daily_revenue(
     provider: str = "parquet",
 ) -> None:
     """Incremental by default; builds the whole table on the first run and on ``full_refresh``."""
-    silver, table = spark.table(layers.silver), layers.daily_revenue
+    silver, table = current_table(spark, layers.silver), layers.daily_revenue
     if full_refresh or not spark.catalog.tableExists(table):
         replace_table(daily_revenue(silver, order_ids_unique=True), table, provider)
         return
     increment = daily_revenue_increment(
-        silver, spark.table(table), lookback_days=lookback_days, order_ids_unique=True
+        silver, current_table(spark, table), lookback_days=lookback_days, order_ids_unique=True
     )
     upsert_table(increment, table, ["revenue_date"])
 
 
 def refresh_customer_activity(spark: SparkSession, layers: Layers, *, provider: str = "parquet") -> None:
-    replace_table(customer_activity(spark.table(layers.silver)), layers.customer_activity, provider)
+    replace_table(customer_activity(current_table(spark, layers.silver)), layers.customer_activity, provider)

@@ -10,7 +10,7 @@ from tallywell.schemas import AUDIT_SCHEMA, PENDING_SCHEMA
 from tallywell.sinks.layers import Layers
 from tallywell.sinks.workspace import ensure_checkpoint_dir
 from tallywell.sinks.writes import append_absent, delete_from_table, upsert_table
-from tallywell.sources.tables import rows_or_empty
+from tallywell.sources.tables import current_table, rows_or_empty
 from tallywell.streaming.pipeline import PENDING_KEYS
 
 
@@ -21,6 +21,7 @@ def open_reviews(spark: SparkSession, layers: Layers) -> DataFrame:
 
 def find_review(spark: SparkSession, layers: Layers, order_id: str, ingest_id: str) -> DataFrame:
     """One queue entry by its two ids, bound as parameters."""
+    spark.catalog.refreshTable(layers.pending)
     return spark.sql(
         f"SELECT * FROM {layers.pending} WHERE order_id = :order_id AND ingest_id = :ingest_id",
         args={"order_id": order_id, "ingest_id": ingest_id},
@@ -33,7 +34,7 @@ def review_job(spark: SparkSession, layers: Layers, decisions: DataFrame) -> Dat
     The queue is updated last: a job that stops before that finds the rows still open, and the two
     earlier writes are keyed, so repeating them changes nothing.
     """
-    outcome: ReviewOutcome = apply_decisions(spark.table(layers.pending), decisions)
+    outcome: ReviewOutcome = apply_decisions(current_table(spark, layers.pending), decisions)
     updates = outcome.silver_updates.persist(StorageLevel.MEMORY_AND_DISK)
     closed = outcome.closed.persist(StorageLevel.MEMORY_AND_DISK)
     ensure_checkpoint_dir(spark)
@@ -54,7 +55,7 @@ def purge_job(spark: SparkSession, layers: Layers, policy: Policy = DEFAULT_POLI
 
     Quarantine is written first and by key, so a repeated job converges.
     """
-    moving = anomalies(spark.table(layers.silver), policy)
+    moving = anomalies(current_table(spark, layers.silver), policy)
     append_absent(moving, layers.pending, [*PENDING_KEYS, "_status"])
     moved = delete_from_table(spark, layers.silver, key_contract_breach(policy))
     if spark.catalog.tableExists(layers.daily_revenue):

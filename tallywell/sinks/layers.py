@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallywell import schemas
 from tallywell.schemas import ddl
+from tallywell.sources.tables import table_or_none
 
 # Formats whose catalog has no MERGE/UPDATE/DELETE; the writes emulate them on partitions.
 FILE_FORMATS = ("parquet", "orc", "avro", "csv", "json", "text")
@@ -49,7 +50,7 @@ class Layers:
     def frames(self, spark: SparkSession) -> dict[str, DataFrame | None]:
         """Every table by its short name; None where it does not exist."""
         names = [self.bronze, self.silver, self.pending, self.audit, self.daily_revenue, self.customer_activity]
-        return {n.rsplit(".", 1)[1]: spark.table(n) if spark.catalog.tableExists(n) else None for n in names}
+        return {n.rsplit(".", 1)[1]: table_or_none(spark, n) for n in names}
 
 
 SCHEMA_NAMES = ("bronze", "silver", "gold_finance", "gold_marketing")

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tallywell.operators.keyed import accepted_rows, delete_rows, join_on_keys, rows_absent_from
 from tallywell.sinks.layers import FILE_FORMATS
+from tallywell.sources.tables import current_table
 
 
 def provider_of(spark: SparkSession, table: str) -> str:
@@ -85,7 +86,7 @@ def append_batch(events: DataFrame, table: str, stream_id: str, batch_id: int) -
 
 def append_absent(rows: DataFrame, table: str, keys: Sequence[str]) -> None:
     """Append the rows whose key the table does not hold; repeating it adds nothing."""
-    _insert(rows_absent_from(rows, rows.sparkSession.table(table), keys), table)
+    _insert(rows_absent_from(rows, current_table(rows.sparkSession, table), keys), table)
 
 
 def replace_table(df: DataFrame, table: str, provider: str = "parquet") -> None:
@@ -150,7 +151,7 @@ def _merge(source, table, keys, protect, newer_by, null_safe) -> None:
     on = F.expr(" AND ".join(f"{table}.{k} {same} source.{k}" for k in keys))
     allowed = F.lit(True)
     if protect:
-        held = source.sparkSession.table(table).filter(F.expr(protect))
+        held = current_table(source.sparkSession, table).filter(F.expr(protect))
         source = rows_absent_from(source, held, keys, null_safe=null_safe)
     if newer_by:
         behind = F.expr(f"source.{newer_by} >= {table}.{newer_by}")
@@ -189,7 +190,7 @@ def _drop_partitions(spark: SparkSession, table: str, partitions: Sequence[str],
 
 def _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_fixes_partition) -> None:
     spark = source.sparkSession
-    target = spark.table(table)
+    target = current_table(spark, table)
     partitions = partition_columns(spark, table)
     if not partitions:
         accepted = accepted_rows(target, source, keys, protect=protect, newer_by=newer_by, null_safe=null_safe)
@@ -239,7 +240,7 @@ def _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_f
 
 def delete_from_table(spark: SparkSession, table: str, where: str) -> int:
     """Delete the rows for which ``where`` is TRUE; returns their number."""
-    target = spark.table(table)
+    target = current_table(spark, table)
     hit = F.coalesce(F.expr(where), F.lit(False))
     partitions = partition_columns(spark, table)
     row_level = supports_row_level(spark, table)

@@ -1,11 +1,21 @@
-"""Catalog tables that may not exist yet."""
+"""Catalog tables: current content, and tables that may not exist yet."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+def current_table(spark: SparkSession, name: str) -> DataFrame:
+    """The table as it is now.
+
+    A session keeps the file list of a file table it has read. A stream writes from a session of
+    its own, so the list is dropped first, or rows of later batches would be missed.
+    """
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def table_or_none(spark: SparkSession, name: str) -> DataFrame | None:
-    return spark.table(name) if spark.catalog.tableExists(name) else None
+    return current_table(spark, name) if spark.catalog.tableExists(name) else None
 
 
 def rows_or_empty(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:

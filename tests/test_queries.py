@@ -1,0 +1,37 @@
+import duckdb
+import pytest
+
+import check
+from __spark_entry__ import entry, oracle_sql, queries
+
+SF = "/root/testdata/sf0.001"
+# Writes to day-partitioned tables are covered by small fixtures; here they take most of the time.
+STORED = [n for n in queries() if n.startswith(("table_", "stream_"))]
+
+
+@pytest.fixture(scope="module")
+def con():
+    con = duckdb.connect()
+    for name in check.TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF}/{name}.parquet')")
+    return con
+
+
+def test_every_query_has_its_sql():
+    assert set(queries()) == set(oracle_sql())
+
+
+def test_entry(spark):
+    df = entry(spark)
+    assert df.columns == ["revenue_date", "total_orders", "gross_revenue", "average_order_value"]
+    assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", [n for n in queries() if n not in STORED])
+def test_query_matches_sql(spark, con, name):
+    df = queries()[name](spark, SF)
+    mine = check.rows_of(df.columns, [tuple(r) for r in df.collect()])
+    result = con.execute(oracle_sql()[name])
+    columns = [d[0] for d in result.description]
+    assert sorted(df.columns) == sorted(columns)
+    assert mine == check.rows_of(columns, result.fetchall())

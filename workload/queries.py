@@ -26,7 +26,14 @@ from tallywell.plans.governance import purge_job, review_job
 from tallywell.schemas import EVENT_FIELDS, EVENT_SCHEMA, SILVER_SCHEMA
 from tallywell.sinks import Layers, append_batch, create_layers, upsert_table
 from tallywell.sinks.workspace import shared_folder
-from tallywell.sources import decode_events, encode_events, file_stream, read_csv_text, split_structural
+from tallywell.sources import (
+    current_table,
+    decode_events,
+    encode_events,
+    file_stream,
+    read_csv_text,
+    split_structural,
+)
 from tallywell.sources.codec import CORRUPT
 from tallywell.streaming import start_pipeline
 from tallywell.streaming.pipeline import PENDING_KEYS, pending_from, silver_from
@@ -398,7 +405,7 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     append_batch(raw_events(spark, sf_dir, 1), layers.bronze, "orders", 0)
     for _ in range(2):
         append_batch(raw_events(spark, sf_dir, 2), layers.bronze, "orders", 1)
-    return spark.table(layers.bronze).drop("ingested_at", "stream_id")
+    return current_table(spark, layers.bronze).drop("ingested_at", "stream_id")
 
 
 @query
@@ -408,19 +415,19 @@ def table_upsert_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     upsert_table(_silver(spark, sf_dir, 1), layers.silver, ["order_id"])
     for _ in range(2):
         upsert_table(_silver(spark, sf_dir, 2), layers.silver, ["order_id"])
-    return spark.table(layers.silver)
+    return current_table(spark, layers.silver)
 
 
 @query
 def table_review_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _reviewed_layers(spark, sf_dir)
-    return spark.table(layers.silver)
+    return current_table(spark, layers.silver)
 
 
 @query
 def table_review_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _reviewed_layers(spark, sf_dir)
-    return spark.table(layers.pending)
+    return current_table(spark, layers.pending)
 
 
 def _reviewed_layers(spark: SparkSession, sf_dir: str) -> Layers:
@@ -437,7 +444,7 @@ def table_purge_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _fresh_layers(spark)
     upsert_table(_legacy_silver(spark, sf_dir), layers.silver, ["ingest_id"])
     purge_job(spark, layers)
-    return spark.table(layers.silver)
+    return current_table(spark, layers.silver)
 
 
 @query
@@ -449,7 +456,7 @@ def table_gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     upsert_table(_silver(spark, sf_dir), layers.silver, ["order_id"])
     refresh_daily_revenue(spark, layers)
     refresh_customer_activity(spark, layers)
-    return spark.table(layers.daily_revenue)
+    return current_table(spark, layers.daily_revenue)
 
 
 def _streamed_layers(spark: SparkSession, sf_dir: str) -> Layers:
@@ -464,7 +471,7 @@ def _streamed_layers(spark: SparkSession, sf_dir: str) -> Layers:
 
 @query
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.table(_streamed_layers(spark, sf_dir).silver)
+    return current_table(spark, _streamed_layers(spark, sf_dir).silver)
 
 
 @query
@@ -474,9 +481,9 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "orders").schema
     events = as_events(deliveries(file_stream(spark, sf_dir, schema, glob="orders.parquet")))
     start_pipeline(events, layers, shared_folder(spark, "offsets"), trigger=None).awaitTermination()
-    return spark.table(layers.pending)
+    return current_table(spark, layers.pending)
 
 
 @query
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.table(_streamed_layers(spark, sf_dir).bronze).drop("ingested_at", "stream_id")
+    return current_table(spark, _streamed_layers(spark, sf_dir).bronze).drop("ingested_at", "stream_id")
