@@ -9,9 +9,9 @@ from tallywell.operators.validate import DEFAULT_POLICY, Policy, key_contract_br
 from tallywell.schemas import AUDIT_SCHEMA, PENDING_SCHEMA
 from tallywell.sinks.layers import Layers
 from tallywell.sinks.workspace import ensure_checkpoint_dir
-from tallywell.sinks.writes import append_absent, delete_from_table, upsert_table
+from tallywell.sinks.writes import append_absent, append_rows, delete_from_table, upsert_table
 from tallywell.sources.tables import current_table, rows_or_empty
-from tallywell.streaming.pipeline import PENDING_KEYS
+from tallywell.streaming.pipeline import absent_from_pending
 
 
 def open_reviews(spark: SparkSession, layers: Layers) -> DataFrame:
@@ -56,7 +56,9 @@ def purge_job(spark: SparkSession, layers: Layers, policy: Policy = DEFAULT_POLI
     Quarantine is written first and by key, so a repeated job converges.
     """
     moving = anomalies(current_table(spark, layers.silver), policy)
-    append_absent(moving, layers.pending, [*PENDING_KEYS, "_status"])
+    # Compared with the open rows only: a delivery closed earlier is opened again.
+    held = open_reviews(spark, layers)
+    append_rows(absent_from_pending(moving, held), layers.pending)
     moved = delete_from_table(spark, layers.silver, key_contract_breach(policy))
     if spark.catalog.tableExists(layers.daily_revenue):
         delete_from_table(spark, layers.daily_revenue, NO_DAY)

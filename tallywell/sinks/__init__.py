@@ -5,6 +5,7 @@ from tallywell.sinks.publish import file_writer, kafka_writer, publish_events
 from tallywell.sinks.writes import (
     append_absent,
     append_batch,
+    append_rows,
     delete_from_table,
     replace_table,
     upsert_table,
@@ -14,6 +15,7 @@ __all__ = [
     "Layers",
     "append_absent",
     "append_batch",
+    "append_rows",
     "create_layers",
     "delete_from_table",
     "file_writer",

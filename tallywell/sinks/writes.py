@@ -84,9 +84,14 @@ def append_batch(events: DataFrame, table: str, stream_id: str, batch_id: int) -
         stamped.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
 
 
+def append_rows(rows: DataFrame, table: str) -> None:
+    """Plain append in table layout; ``rows`` may read ``table``."""
+    _insert(rows, table)
+
+
 def append_absent(rows: DataFrame, table: str, keys: Sequence[str]) -> None:
     """Append the rows whose key the table does not hold; repeating it adds nothing."""
-    _insert(rows_absent_from(rows, current_table(rows.sparkSession, table), keys), table)
+    append_rows(rows_absent_from(rows, current_table(rows.sparkSession, table), keys), table)
 
 
 def replace_table(df: DataFrame, table: str, provider: str = "parquet") -> None:
@@ -198,7 +203,11 @@ def _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_f
         replace_table(kept.unionByName(accepted.select(*target.columns)), table, provider_of(spark, table))
         return
 
-    source = source.select(*target.columns).persist(StorageLevel.MEMORY_AND_DISK)
+    # The source is read several times; a caller that keeps it already is not made to keep it twice.
+    own = not source.is_cached
+    if own:
+        source.persist(StorageLevel.MEMORY_AND_DISK)
+    kept_source, source = source, source.select(*target.columns)
     accepted = source
     try:
         arriving = _rows_per_partition(source, partitions)
@@ -234,8 +243,10 @@ def _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_f
             _insert(rows, table, overwrite=True, sizes=list(rewritten.values()))
         _drop_partitions(spark, table, partitions, [p for p in left_over if p not in rewritten])
     finally:
-        accepted.unpersist()
-        source.unpersist()
+        if accepted is not source:
+            accepted.unpersist()
+        if own:
+            kept_source.unpersist()
 
 
 def delete_from_table(spark: SparkSession, table: str, where: str) -> int:

@@ -12,25 +12,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallywell.operators.keyed import latest_per_key
+from tallywell.operators.keyed import latest_per_key, rows_absent_from
 from tallywell.operators.quality import alert_messages, expectation_results
 from tallywell.operators.remediate import BLANK_STATUS_RULE, EMPTY_STATUS_RULE, repair_column
 from tallywell.operators.review import HUMAN_RULE
 from tallywell.operators.validate import DEFAULT_POLICY, Policy, clean_rows, classify, quarantined_rows
 from tallywell.schemas import EVENT_FIELDS, PENDING_SCHEMA, SILVER_SCHEMA
 from tallywell.sinks.layers import Layers
-from tallywell.sinks.writes import append_batch, upsert_table
+from tallywell.sinks.writes import append_batch, append_rows, upsert_table
+from tallywell.sources.tables import current_table
 
 # Fixed value: default trigger interval.
 TRIGGER = "15 seconds"
 
 # A delivery is known by its two ids. Rows that lost the technical id are told apart by content.
-_CONTENT = ", ".join(EVENT_FIELDS)
-PENDING_KEYS = (
-    "order_id",
-    "ingest_id",
-    f"if(ingest_id is null, to_json(struct({_CONTENT}), map('ignoreNullFields', 'false')), null)",
-)
+DELIVERY_KEYS = ("order_id", "ingest_id")
+_CONTENT_KEY = f"if(ingest_id IS NULL, struct({', '.join(EVENT_FIELDS)}), NULL)"
 
 
 @dataclass(frozen=True)
@@ -56,7 +53,29 @@ def silver_from(classified: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataF
 def pending_from(classified: DataFrame) -> DataFrame:
     """Quarantined rows, each delivery once, in quarantine layout."""
     rows = quarantined_rows(classified).select(*PENDING_SCHEMA.fieldNames())
-    return latest_per_key(rows, PENDING_KEYS, ["ingest_id"], EVENT_FIELDS)
+    return latest_per_key(rows, [*DELIVERY_KEYS, _CONTENT_KEY], ["ingest_id"], EVENT_FIELDS)
+
+
+def absent_from_pending(rows: DataFrame, pending: DataFrame) -> DataFrame:
+    """Rows whose delivery ``pending`` does not hold.
+
+    Rows with a technical id need only the two id columns of the table. The few without are
+    compared by content, with the table's rows without.
+    """
+    has_id = "ingest_id IS NOT NULL"
+    known = rows_absent_from(rows.filter(has_id), pending.filter(has_id), DELIVERY_KEYS)
+    no_id = "ingest_id IS NULL"
+    return known.unionByName(rows_absent_from(rows.filter(no_id), pending.filter(no_id), EVENT_FIELDS))
+
+
+def merged_pending(pending: DataFrame, rows: DataFrame) -> DataFrame:
+    """Quarantine after adding ``rows``; a row it holds already stays as it is, its state included."""
+    return pending.unionByName(absent_from_pending(rows, pending))
+
+
+def append_pending(rows: DataFrame, layers: Layers) -> None:
+    pending = current_table(rows.sparkSession, layers.pending)
+    append_rows(absent_from_pending(rows, pending), layers.pending)
 
 
 def process_batch(
@@ -76,7 +95,7 @@ def process_batch(
     silver = None
     try:
         append_batch(classified.select(*EVENT_FIELDS), layers.bronze, stream_id, batch_id)
-        upsert_table(pending_from(classified), layers.pending, PENDING_KEYS, insert_only=True)
+        append_pending(pending_from(classified), layers)
         silver = silver_from(classified, options.policy).persist(StorageLevel.MEMORY_AND_DISK)
         if on_alert is not None:
             # At most one row per expectation.

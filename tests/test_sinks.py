@@ -3,12 +3,13 @@ import datetime
 from conftest import as_dicts
 from pyspark.sql import functions as F
 
+from tallywell.operators.keyed import upsert
 from tallywell.operators.validate import classify
 from tallywell.plans.governance import find_review, open_reviews, purge_job, review_job
 from tallywell.schemas import AUDIT_SCHEMA, DECISION_SCHEMA, PENDING_SCHEMA, SILVER_SCHEMA
 from tallywell.sinks import append_absent, append_batch, create_layers, delete_from_table, replace_table, upsert_table
 from tallywell.sinks import Layers
-from tallywell.streaming.pipeline import PENDING_KEYS, pending_from, silver_from
+from tallywell.streaming.pipeline import append_pending, pending_from, silver_from
 
 D1, D2 = "2026-01-01 10:00:00", "2026-01-02 10:00:00"
 
@@ -127,9 +128,10 @@ def test_append_absent_is_repeatable(spark, layers):
 def test_pending_rows_without_technical_id_are_told_apart(spark, layers, events):
     rows = [(None, None, "c1", "s", D1, "1"), (None, None, "c2", "s", D1, "1"), ("9", "", "c", "s", D1, "1")]
     for _ in range(2):
-        pending = pending_from(classify(events(*rows, rows[2])))
-        upsert_table(pending, layers.pending, PENDING_KEYS, insert_only=True)
+        append_pending(pending_from(classify(events(*rows, rows[2]))), layers)
     assert spark.table(layers.pending).count() == 3
+    again = upsert(spark.table(layers.pending), pending_from(classify(events(*rows))), ["ingest_id"], insert_only=True)
+    assert again.count() == 3
 
 
 def decide(spark, *rows):
@@ -139,7 +141,7 @@ def decide(spark, *rows):
 def test_review_job(spark, layers, events):
     assert open_reviews(spark, Layers(prefix="none_")).count() == 0
     bad = [(f"i{n}", f"o{n}", "c", "s", D1, f"-{n}.00") for n in range(1, 7)]
-    upsert_table(pending_from(classify(events(*bad))), layers.pending, PENDING_KEYS, insert_only=True)
+    append_pending(pending_from(classify(events(*bad))), layers)
     upsert_table(silver_rows(events, ("i0", "o1", "c", "s", D2, "7")), layers.silver, ["order_id"])
     assert find_review(spark, layers, "o1", "i1").count() == 1
 

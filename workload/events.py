@@ -44,22 +44,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def deliveries(orders: DataFrame) -> DataFrame:
-    """Orders with one row per delivery; works on streams as well."""
-    return orders.selectExpr("*", f"explode({DELIVERIES_CASE.format(two='array(1, 2)', one='array(1)')}) AS n").selectExpr(
-        "*", "CAST(n AS BIGINT) AS delivery"
-    )
+def as_events(orders: DataFrame, delivery: int | None = None) -> DataFrame:
+    """Deliveries of each order as event rows, all of them or one; works on streams as well.
+
+    What all deliveries share is computed once per order, the rest inside the generator, whose
+    output no later filter is rewritten into.
+    """
+    varying = {n: sql for n, sql in FIELDS.items() if "delivery" in sql}
+    shared = [f"{sql} AS {n}" for n, sql in FIELDS.items() if n not in varying]
 
+    def row(number: int) -> str:
+        at = f"CAST({number} AS BIGINT)"
+        return "struct(" + ", ".join(f"{sql.replace('delivery', at)} AS {n}" for n, sql in varying.items()) + ")"
 
-def as_events(delivered: DataFrame) -> DataFrame:
-    return delivered.selectExpr(*[f"{sql} AS {name}" for name, sql in FIELDS.items()])
+    one, two = row(1), row(2)
+    if delivery is None:
+        rows = DELIVERIES_CASE.format(two=f"array({one}, {two})", one=f"array({one})")
+    elif delivery == 1:
+        rows = f"array({one})"
+    else:
+        rows = DELIVERIES_CASE.format(two=f"array({two})", one="NULL")
+    return orders.selectExpr("*", *shared).selectExpr(*FIELDS.keys() - varying.keys(), f"inline({rows})").select(*FIELDS)
 
 
 def raw_events(spark: SparkSession, sf_dir: str, delivery: int | None = None) -> DataFrame:
-    delivered = deliveries(table(spark, sf_dir, "orders"))
-    if delivery is not None:
-        delivered = delivered.filter(f"delivery = {delivery}")
-    return as_events(delivered)
+    return as_events(table(spark, sf_dir, "orders"), delivery)
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -375,6 +375,6 @@ ORACLES = {
         "table_gold_refresh": _incremental(0),
         "stream_silver": _SILVER,
         "stream_quarantine": _PENDING,
-        "stream_bronze": _WITH_BATCH,
+        "stream_bronze": "SELECT *, CAST(0 AS BIGINT) AS batch_id FROM raw",
     }.items()
 }

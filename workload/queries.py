@@ -36,8 +36,8 @@ from tallywell.sources import (
 )
 from tallywell.sources.codec import CORRUPT
 from tallywell.streaming import start_pipeline
-from tallywell.streaming.pipeline import PENDING_KEYS, pending_from, silver_from
-from workload.events import as_events, deliveries, raw_events, raw_orders, raw_payments, table
+from tallywell.streaming.pipeline import append_pending, merged_pending, pending_from, silver_from
+from workload.events import as_events, raw_events, raw_orders, raw_payments, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -190,7 +190,7 @@ def upsert_silver_protected(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def upsert_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second load repeats all of the first: nothing is inserted twice."""
-    return upsert(_pending(spark, sf_dir, 1), _pending(spark, sf_dir), PENDING_KEYS, insert_only=True)
+    return merged_pending(_pending(spark, sf_dir, 1), _pending(spark, sf_dir))
 
 
 # Gold
@@ -410,11 +410,10 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def table_upsert_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Merge on stored tables; some orders move to another day's partition. Repeated once."""
+    """Merge on stored tables; some orders move to another day's partition."""
     layers = _fresh_layers(spark)
     upsert_table(_silver(spark, sf_dir, 1), layers.silver, ["order_id"])
-    for _ in range(2):
-        upsert_table(_silver(spark, sf_dir, 2), layers.silver, ["order_id"])
+    upsert_table(_silver(spark, sf_dir, 2), layers.silver, ["order_id"])
     return current_table(spark, layers.silver)
 
 
@@ -433,9 +432,8 @@ def table_review_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _reviewed_layers(spark: SparkSession, sf_dir: str) -> Layers:
     layers = _fresh_layers(spark)
     upsert_table(_silver(spark, sf_dir), layers.silver, ["order_id"])
-    upsert_table(_pending(spark, sf_dir), layers.pending, PENDING_KEYS, insert_only=True)
-    for _ in range(2):
-        review_job(spark, layers, decisions(spark, sf_dir))
+    append_pending(_pending(spark, sf_dir), layers)
+    review_job(spark, layers, decisions(spark, sf_dir))
     return layers
 
 
@@ -459,31 +457,32 @@ def table_gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_table(spark, layers.daily_revenue)
 
 
-def _streamed_layers(spark: SparkSession, sf_dir: str) -> Layers:
+@query
+def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First deliveries are streamed, then the second ones after a restart from the checkpoint."""
     layers = _fresh_layers(spark)
     inbox, checkpoint = shared_folder(spark, "inbox"), shared_folder(spark, "offsets")
     for delivery in (1, 2):
         raw_events(spark, sf_dir, delivery).write.mode("append").parquet(inbox)
         start_pipeline(file_stream(spark, inbox), layers, checkpoint, trigger=None).awaitTermination()
-    return layers
-
-
-@query
-def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return current_table(spark, _streamed_layers(spark, sf_dir).silver)
+    return current_table(spark, layers.silver)
 
 
-@query
-def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _streamed_from_table(spark: SparkSession, sf_dir: str) -> Layers:
     """Straight from the given table's file, as one micro-batch."""
     layers = _fresh_layers(spark)
     schema = table(spark, sf_dir, "orders").schema
-    events = as_events(deliveries(file_stream(spark, sf_dir, schema, glob="orders.parquet")))
+    events = as_events(file_stream(spark, sf_dir, schema, glob="orders.parquet"))
     start_pipeline(events, layers, shared_folder(spark, "offsets"), trigger=None).awaitTermination()
-    return current_table(spark, layers.pending)
+    return layers
+
+
+@query
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return current_table(spark, _streamed_from_table(spark, sf_dir).pending)
 
 
 @query
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return current_table(spark, _streamed_layers(spark, sf_dir).bronze).drop("ingested_at", "stream_id")
+    bronze = current_table(spark, _streamed_from_table(spark, sf_dir).bronze)
+    return bronze.drop("ingested_at", "stream_id")
