@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywell.functions import event_instant, time_ordered_id
+from tallywell.operators.keyed import content_hash
 from tallywell.operators.skew import lookup_join
 from tallywell.schemas import EVENT_FIELDS
 
@@ -55,17 +56,17 @@ def join_payments(orders: DataFrame, payments: DataFrame, *, hot: Sequence | Non
 def chronological(events: DataFrame) -> DataFrame:
     """Global sort by event time; rows without a readable time come first.
 
-    The range partitioner cuts on all sort columns. The running row number is the last of them, so
-    a moment shared by very many rows still spreads over several tasks.
+    The range partitioner cuts on all sort columns. After time and order come a content hash and a
+    row number, so a moment shared by very many rows, or one row copied very often, still spreads
+    over several tasks. Numbering follows a sort by content inside each task: a recomputed task
+    gives equal rows the same set of numbers, so no copy is lost or doubled.
     """
     keyed = events.withColumns(
-        {
-            "__at": event_instant(F.col("order_purchase_timestamp")),
-            "__row": F.monotonically_increasing_id(),
-        }
+        {"__at": event_instant(F.col("order_purchase_timestamp")), "__tie": content_hash(events.columns)}
     )
-    order = [F.col("__at").asc_nulls_first(), F.col("order_id").asc_nulls_first(), F.col("__row")]
-    return keyed.orderBy(*order).drop("__at", "__row")
+    numbered = keyed.sortWithinPartitions("__tie").withColumn("__row", F.monotonically_increasing_id())
+    order = [F.col("__at").asc_nulls_first(), F.col("order_id").asc_nulls_first(), F.col("__tie"), F.col("__row")]
+    return numbered.orderBy(*order).drop("__at", "__tie", "__row")
 
 
 def envelope(rows: DataFrame, epoch_ms: Column, identity: Sequence[Column] = ()) -> DataFrame:

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def _content_hash(columns: Sequence[str]) -> Column:
-    # The hash passes over NULLs, so which columns are NULL is hashed as well.
+def content_hash(columns: Sequence[str]) -> Column:
+    """64-bit hash of the columns; as hashing passes over NULLs, which are NULL is hashed as well."""
     return F.xxhash64(*[F.col(c) for c in columns], *[F.col(c).isNull() for c in columns])
 
 
@@ -29,7 +29,7 @@ def latest_per_key(
     order = [F.col(c).desc_nulls_last() for c in newest]
     window = Window.partitionBy(*[F.expr(k) for k in keys]).orderBy(*order, F.col("__tie"))
     return (
-        df.withColumn("__tie", _content_hash(content or df.columns))
+        df.withColumn("__tie", content_hash(content or df.columns))
         .withColumn("__rank", F.row_number().over(window))
         .filter("__rank = 1")
         .drop("__rank", "__tie")

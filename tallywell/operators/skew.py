@@ -1,6 +1,7 @@
 """Left lookup join that no single key can overload."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,10 +45,11 @@ def lookup_join(
     if not hot and not null_is_hot:
         return left.join(right, key, "left")
     k = F.col(key)
-    is_hot = F.coalesce(k.isin(list(hot)), F.lit(False)) if hot else F.lit(False)
+    is_hot = k.isin(list(hot))
     right_only = [f for f in right.schema.fields if f.name != key]
     columns = [*left.columns, *[f.name for f in right_only]]
 
+    # A missing key passes neither test on the right, where it could match nothing anyway.
     parts = [
         left.filter(k.isNotNull() & ~is_hot).join(right.filter(~is_hot), key, "left").select(*columns),
         left.filter(k.isNull()).withColumns({f.name: F.lit(None).cast(f.dataType) for f in right_only}),
@@ -56,7 +58,4 @@ def lookup_join(
         parts.append(
             left.filter(is_hot).join(F.broadcast(right.filter(is_hot)), key, "left").select(*columns)
         )
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    return reduce(DataFrame.unionByName, parts)

@@ -19,7 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywell.operators.keyed import accepted_rows, delete_rows, join_on_keys, rows_absent_from
+from tallywell.operators.keyed import accepted_rows, delete_rows, join_on_keys, rows_absent_from, upsert
 from tallywell.sinks.layers import FILE_FORMATS
 from tallywell.sources.tables import current_table
 
@@ -197,19 +197,16 @@ def _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_f
     spark = source.sparkSession
     target = current_table(spark, table)
     partitions = partition_columns(spark, table)
-    if not partitions:
-        accepted = accepted_rows(target, source, keys, protect=protect, newer_by=newer_by, null_safe=null_safe)
-        kept = rows_absent_from(target, accepted, keys, null_safe=null_safe)
-        replace_table(kept.unionByName(accepted.select(*target.columns)), table, provider_of(spark, table))
-        return
-
     # The source is read several times; a caller that keeps it already is not made to keep it twice.
-    own = not source.is_cached
+    given, own = source, not source.is_cached
     if own:
-        source.persist(StorageLevel.MEMORY_AND_DISK)
-    kept_source, source = source, source.select(*target.columns)
-    accepted = source
+        given.persist(StorageLevel.MEMORY_AND_DISK)
+    accepted = source = given.select(*target.columns)
     try:
+        if not partitions:
+            merged = upsert(target, source, keys, protect=protect, newer_by=newer_by, null_safe=null_safe)
+            replace_table(merged, table, provider_of(spark, table))
+            return
         arriving = _rows_per_partition(source, partitions)
         if not arriving:
             return
@@ -246,7 +243,7 @@ def _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_f
         if accepted is not source:
             accepted.unpersist()
         if own:
-            kept_source.unpersist()
+            given.unpersist()
 
 
 def delete_from_table(spark: SparkSession, table: str, where: str) -> int:
