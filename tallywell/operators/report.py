@@ -83,3 +83,8 @@ def top_rows(df: DataFrame, by: str, n: int = 3) -> DataFrame:
 def sample_rows(df: DataFrame, columns: Sequence[str], n: int = 3) -> DataFrame:
     """Any ``n`` rows; stops scanning as soon as it has them."""
     return df.select(*columns).limit(n)
+
+
+def layer_sample(layer: str, df: DataFrame, n: int = 3) -> DataFrame:
+    """A few rows of a layer, in the columns its report shows."""
+    return sample_rows(df, SAMPLE_COLUMNS.get(layer, df.columns), n)

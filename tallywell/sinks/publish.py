@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +37,17 @@ def file_writer(path: str, checkpoint: str | None = None) -> Writer:
 
 
 def publish_events(events: DataFrame, to_main: Writer, to_dead: Writer, codec: str = "json") -> tuple:
-    """Returns what the two writers return: streaming queries for a stream."""
-    sound, dead = split_structural(events)
-    letters = dead.select(F.encode("payload", "UTF-8").alias("value"), "error")
-    return to_main(encode_events(sound, codec)), to_dead(letters)
+    """Returns what the two writers return: streaming queries for a stream.
+
+    A bounded input is kept while both outputs are written, so that it is computed once.
+    """
+    keep = not events.isStreaming and not events.is_cached
+    if keep:
+        events.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sound, dead = split_structural(events)
+        letters = dead.select(F.encode("payload", "UTF-8").alias("value"), "error")
+        return to_main(encode_events(sound, codec)), to_dead(letters)
+    finally:
+        if keep:
+            events.unpersist()

@@ -1,4 +1,5 @@
 import datetime
+import random
 
 from conftest import as_dicts
 from pyspark.sql import functions as F
@@ -192,3 +193,27 @@ def test_purge_job_moves_and_converges(spark, layers):
     moved = as_dicts(spark.table(layers.pending), "ingest_id")
     assert [(r["ingest_id"], r["_status"]) for r in moved] == [("2", "PENDING"), ("3", "PENDING"), ("4", "PENDING")]
     assert spark.table(layers.daily_revenue).count() == 1
+
+
+def test_random_upserts_agree_with_a_dictionary(spark, layers):
+    rng = random.Random(7)
+    model, ingest = {}, 0
+    for step in range(5):
+        batch = {}
+        for _ in range(30):
+            ingest += 1
+            order = f"o{rng.randrange(25)}"
+            batch[order] = (f"{ingest:05}", datetime.date(2026, 1, rng.randrange(1, 5)))
+        rows = [(i, o, d) for o, (i, d) in batch.items()]
+        df = spark.createDataFrame(rows, "ingest_id string, order_id string, created_date date")
+        df = df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in SILVER_SCHEMA])
+        upsert_table(df, layers.silver, ["order_id"])
+        model.update({o: (i, str(d)) for o, (i, d) in batch.items()})
+        assert state(spark, layers.silver) == model
+        assert spark.table(layers.silver).count() == len(model)
+        if step == 2:
+            day = rng.choice(sorted({d for _, d in model.values()}))
+            gone = delete_from_table(spark, layers.silver, f"created_date = DATE'{day}'")
+            assert gone == sum(d == day for _, d in model.values())
+            model = {o: v for o, v in model.items() if v[1] != day}
+            assert state(spark, layers.silver) == model

@@ -276,6 +276,15 @@ _PAYMENTS = f"""
         FROM (SELECT l_orderkey, {PAYMENT_TEXT} AS amount FROM lineitem) GROUP BY l_orderkey
     ) ON l_orderkey = o_orderkey"""
 
+_PUBLISHED = f"""
+    SELECT concat(substr(stamp, 1, 8), '-', substr(stamp, 9, 4), '-7', substr(digest, 1, 3), '-',
+                  substr('89ab', ascii(substr(digest, 4, 1)) % 4 + 1, 1), substr(digest, 5, 3), '-',
+                  substr(digest, 8, 12)) AS ingest_id,
+           order_id, customer_id, order_status, order_purchase_timestamp, payment_value
+    FROM (SELECT *, lpad(format('{{:x}}', epoch_ms(CAST(order_purchase_timestamp AS TIMESTAMP))), 12, '0') AS stamp,
+                 sha256(concat_ws(chr(31), order_id, customer_id, order_status, order_purchase_timestamp,
+                                  payment_value)) AS digest FROM ({_PAYMENTS}))"""
+
 _MAX_DAILY = (
     "SELECT revenue_date, max(total_orders) AS total_orders, max(gross_revenue) AS gross_revenue, "
     "max(average_order_value) AS average_order_value "
@@ -322,6 +331,7 @@ ORACLES = {
         "orders_payments_join": _PAYMENTS,
         "chronological_events": "SELECT * FROM raw",
         "event_envelope": _ENVELOPE,
+        "published_events": _PUBLISHED,
         "fault_injection": _FAULTS,
         "validation_labels": "SELECT * FROM labelled",
         "validation_violations": f"SELECT ingest_id, concat_ws(',', {_VIOLATIONS}) AS violations FROM raw",

@@ -23,6 +23,7 @@ from tallywell.plans.gold import (
     refresh_daily_revenue,
 )
 from tallywell.plans.governance import purge_job, review_job
+from tallywell.plans.ingest import order_events
 from tallywell.schemas import EVENT_FIELDS, EVENT_SCHEMA, SILVER_SCHEMA
 from tallywell.sinks import Layers, append_batch, create_layers, upsert_table
 from tallywell.sinks.workspace import shared_folder
@@ -118,6 +119,12 @@ def event_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope(rows, F.coalesce(at, F.lit(0)), identity)
 
 
+@query
+def published_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and payments to events, as the publishing job sends them."""
+    return order_events(raw_orders(spark, sf_dir), raw_payments(spark, sf_dir))
+
+
 @query
 def fault_injection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inject_faults(raw_events(spark, sf_dir), 0.10, 0.20, seed=42)
