@@ -1,5 +1,6 @@
 """Folders for data a job keeps between its steps."""
 
+import functools
 import tempfile
 import uuid
 
@@ -8,6 +9,11 @@ from pyspark.sql import SparkSession
 _SETTING = "spark.checkpoint.dir"
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tallywell-")
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new, not yet existing folder below the one the session names in ``spark.checkpoint.dir``.
 
@@ -18,12 +24,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {_SETTING} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tallywell-")
-        spark.conf.set(_SETTING, root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable where the session did not set it up."""
-    if not spark.conf.get(_SETTING, None):
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark, "checkpoints"))
