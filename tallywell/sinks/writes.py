@@ -13,10 +13,10 @@ write settles it. File tables replace a partition by delete and rename, so a dri
 that step needs the format with row-level operations to be safe.
 """
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell.operators.keyed import accepted_rows, delete_rows, join_on_keys, rows_absent_from, upsert
@@ -165,28 +165,28 @@ def _merge(source, table, keys, protect, newer_by, null_safe) -> None:
     merge.whenMatched(allowed).updateAll().whenNotMatched().insertAll().merge()
 
 
-def _among(partitions: Sequence[str], values: Sequence[tuple]) -> Column:
-    """Filter for "in one of these partitions", in a form that prunes the scan."""
+def _literal(value) -> str:
+    return "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _among(table: DataFrame, partitions: Sequence[str], values: Collection[tuple]) -> str:
+    """SQL filter for "in one of these partitions", in a form that prunes the scan."""
+    types = [table.schema[p].dataType.simpleString() for p in partitions]
     if len(partitions) == 1:
-        column = F.col(partitions[0])
-        known = [v[0] for v in values if v[0] is not None]
-        test = column.isin(known) if known else F.lit(False)
-        return test if len(known) == len(values) else test | column.isNull()
-    one_of = F.lit(False)
-    for value in values:
-        here = F.lit(True)
-        for column, part in zip(partitions, value):
-            here = here & F.col(column).eqNullSafe(F.lit(part))
-        one_of = one_of | here
-    return one_of
+        known = ", ".join(f"CAST({_literal(v)} AS {types[0]})" for (v,) in values if v is not None)
+        tests = [f"`{partitions[0]}` IN ({known})"] if known else []
+        tests += [f"`{partitions[0]}` IS NULL"] if (None,) in values else []
+    else:
+        tests = [
+            " AND ".join(f"`{p}` <=> CAST({_literal(v)} AS {t})" for p, v, t in zip(partitions, value, types))
+            for value in values
+        ]
+    return "(" + (" OR ".join(f"({t})" for t in tests) or "false") + ")"
 
 
 def _drop_partitions(spark: SparkSession, table: str, partitions: Sequence[str], values: Sequence[tuple]) -> None:
-    def literal(value) -> str:
-        return "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
     specs = [
-        "PARTITION (" + ", ".join(f"`{c}` = {literal(v)}" for c, v in zip(partitions, value)) + ")"
+        "PARTITION (" + ", ".join(f"`{c}` = {_literal(v)}" for c, v in zip(partitions, value)) + ")"
         for value in values
     ]
     for first in range(0, len(specs), 500):
@@ -210,7 +210,7 @@ def _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_f
         arriving = _rows_per_partition(source, partitions)
         if not arriving:
             return
-        searched = target.filter(_among(partitions, list(arriving))) if key_fixes_partition else target
+        searched = target.filter(_among(target, partitions, arriving)) if key_fixes_partition else target
         if protect or newer_by:
             accepted = accepted_rows(
                 searched, source, keys, protect=protect, newer_by=newer_by, null_safe=null_safe
@@ -227,14 +227,14 @@ def _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_f
         )
         width = len(partitions)
         left_over = {tuple(r[:width]): r["total"] - r["hits"] for r in touched}
-        inside = F.coalesce(_among(partitions, list(left_over)), F.lit(False))
+        inside = f"coalesce({_among(target, partitions, left_over)}, false)"
 
         added = {p: n for p, n in arriving.items() if p not in left_over}
         if added:
-            _insert(accepted.filter(~inside), table, sizes=list(added.values()))
+            _insert(accepted.filter(f"NOT {inside}"), table, sizes=list(added.values()))
         rewritten = {p: n + arriving.get(p, 0) for p, n in left_over.items() if n + arriving.get(p, 0)}
         if rewritten:
-            kept = target.filter(_among(partitions, list(rewritten)))
+            kept = target.filter(_among(target, partitions, rewritten))
             kept = rows_absent_from(kept, accepted, keys, null_safe=null_safe)
             rows = kept.unionByName(accepted.filter(inside))
             _insert(rows, table, overwrite=True, sizes=list(rewritten.values()))
@@ -269,7 +269,7 @@ def delete_from_table(spark: SparkSession, table: str, where: str) -> int:
     left_over = {tuple(r[:width]): r["total"] - r["hits"] for r in touched}
     rewritten = {p: n for p, n in left_over.items() if n}
     if rewritten:
-        kept = delete_rows(target.filter(_among(partitions, list(rewritten))), where)
+        kept = delete_rows(target.filter(_among(target, partitions, rewritten)), where)
         _insert(kept, table, overwrite=True, sizes=list(rewritten.values()))
     _drop_partitions(spark, table, partitions, [p for p in left_over if p not in rewritten])
     return sum(r["hits"] for r in touched)
