@@ -1,7 +1,5 @@
 """Folders for data a job keeps between its steps."""
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -9,22 +7,12 @@ from pyspark.sql import SparkSession
 _SETTING = "spark.checkpoint.dir"
 
 
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="tallywell-")
-
-
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new, not yet existing folder below the one the session names in ``spark.checkpoint.dir``.
 
-    Where that is unset, a local session gets a temporary folder; on a cluster that is an error,
-    as executors would not see each other's files.
+    Where that is unset, it lies below the warehouse folder, which all executors share too.
     """
-    root = spark.conf.get(_SETTING, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_SETTING} to a folder all executors share")
-        root = _local_root()
+    root = spark.conf.get(_SETTING, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_between_steps"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -1,27 +1,19 @@
 from types import SimpleNamespace
 
-import pytest
-
 from tallywell.sinks.workspace import ensure_checkpoint_dir, shared_folder
 
 
-def session(setting, master):
-    return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default=None: setting or default),
-        sparkContext=SimpleNamespace(master=master),
-    )
+def session(**settings):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key.split(".")[1], default)))
 
 
-def test_the_named_folder_is_used_everywhere():
-    for master in ("local[4]", "yarn"):
-        assert shared_folder(session("hdfs://x/cp/", master), "csv").startswith("hdfs://x/cp/csv-")
+def test_the_named_folder_is_used():
+    assert shared_folder(session(checkpoint="hdfs://x/cp/"), "csv").startswith("hdfs://x/cp/csv-")
 
 
-def test_without_a_named_folder_only_local_sessions_work():
-    one, two = (shared_folder(session(None, "local[2]"), "csv") for _ in range(2))
-    assert one != two and one.rsplit("/", 1)[0] == two.rsplit("/", 1)[0]
-    with pytest.raises(RuntimeError):
-        shared_folder(session(None, "yarn"), "csv")
+def test_without_a_named_folder_the_warehouse_is_used():
+    one, two = (shared_folder(session(sql="hdfs://x/warehouse"), "csv") for _ in range(2))
+    assert one != two and one.startswith("hdfs://x/warehouse/_between_steps/csv-")
 
 
 def test_checkpoint_dir_is_set_once(spark):
