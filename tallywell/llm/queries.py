@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from tallywell.llm.bpe import BytePairCoder
 from tallywell.llm.chat import END, START, conversation_digests, format_conversations
-from tallywell.llm.common import table
+from tallywell.llm.common import keep, table
+from tallywell.llm.decontaminate import find_overlaps
 from tallywell.llm.secrets import BASE_RULES, find_secrets
+from tallywell.llm.simhash import near_duplicates
+from tallywell.llm.topk import quantised, top_k
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +60,19 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = keep(quantised(table(spark, sf_dir, "embeddings")), "vectors")
+    return top_k(rows, rows.filter("vec_id % 50 = 0"))
+
+
+@query
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
