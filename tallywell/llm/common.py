@@ -4,7 +4,9 @@ Texts reach the tasks as Arrow batches. They are worked on in chunks of a few MB
 made on the way stay small whatever a batch holds; a single longer text is a chunk of its own.
 """
 
+import os
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +22,18 @@ CHUNK_BYTES = 4 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_B = np.uint64(0x94D049BB133111EB)
-_TO_63_BITS = np.uint64(1)
+
+
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import the library from where the driver has it, wherever they are started."""
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    root = str(Path(__file__).resolve().parents[2])
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -115,15 +125,19 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def powers(n: int) -> np.ndarray:
-    """1, step, step^2, ... modulo 2^64."""
-    out = np.full(n, _STEP, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
-
-
 _INVERSE = np.uint64(pow(int(_STEP), -1, 1 << 64))
 _BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * _STEP)
+_powers: dict[np.uint64, np.ndarray] = {}
+
+
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """1, base, base^2, ... (n of them) modulo 2^64."""
+    known = _powers.get(base)
+    if known is None or len(known) < n:
+        known = np.full(n + (n >> 1) + 16, base, np.uint64)
+        known[0] = 1
+        known = _powers[base] = np.multiply.accumulate(known)
+    return known[:n]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -131,10 +145,8 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     if not len(starts):
         return np.zeros(0, np.uint64)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * powers(len(data)), out=sums[1:])
-    back = np.full(len(data) + 1, _INVERSE, np.uint64)
-    back[0] = 1
-    back = np.multiply.accumulate(back)
+    np.cumsum(_BYTE_VALUES[data] * powers(_STEP, len(data)), out=sums[1:])
+    back = powers(_INVERSE, len(data) + 1)
     return mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
@@ -143,11 +155,9 @@ def run_hashes(values: np.ndarray, width: int) -> np.ndarray:
     n = len(values) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = values[:n].copy()
-    for j in range(1, width):
-        out *= _STEP
-        out += values[j : n + j]
-    return mixed(out)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers(_STEP, len(values)), out=sums[1:])
+    return mixed((sums[width:] - sums[:n]) * powers(_INVERSE, n))
 
 
 def signed(h: np.ndarray) -> np.ndarray:

@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywell.llm.automaton_dedup import deduplicated_words
 from tallywell.llm.bpe import BytePairCoder
+from tallywell.llm.bwt_dedup import deduplicated_bytes
 from tallywell.llm.chat import END, START, conversation_digests, format_conversations
 from tallywell.llm.common import keep, table
 from tallywell.llm.decontaminate import find_overlaps
@@ -76,3 +78,17 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicated_bytes(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("n").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+@query
+def op10_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicated_words(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("n").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
