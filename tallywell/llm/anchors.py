@@ -156,7 +156,7 @@ def sieve(anchors: DataFrame):
     return spark.sparkContext.broadcast(out)
 
 
-def _passes(bits: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+def passes(bits: np.ndarray, anchors: np.ndarray) -> np.ndarray:
     low = anchors & ((1 << SIEVE_BITS) - 1)
     return (bits[low >> 3] >> (low & 7).astype(np.uint8)) & 1 == 1
 
@@ -172,7 +172,7 @@ def found_pieces(rows: DataFrame, units: Units, sieve, content: bool) -> DataFra
         for part, data, bounds in text_chunks(batches, limit=CHUNK):
             hashes, starts, ends, first = units.split(data, bounds)
             p = pieces(hashes, first, units)
-            some = np.flatnonzero(_passes(sieve.value, p.anchor))
+            some = np.flatnonzero(passes(sieve.value, p.anchor))
             if not len(some):
                 continue
             start, count, text = p.start[some], p.count[some], p.text[some]

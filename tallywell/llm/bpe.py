@@ -24,7 +24,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywell.llm.common import keep, ranges, strings, text_chunks, texts_of
+from tallywell.llm.common import keep, least_count, ranges, strings, text_chunks, texts_of
 
 #: So many of the most frequent words are compiled. A bound on the file, not on what is encoded.
 LEXICON_WORDS = 262_144
@@ -463,7 +463,7 @@ class BytePairCoder:
         vocabulary = load_vocabulary(path)
         sent = spark.sparkContext.broadcast(vocabulary)
         counts = keep(word_counts(docs, sent).filter("n > 1"), "words")
-        least = _least_count(counts, lexicon_words)
+        least = least_count(counts, lexicon_words)
         found = sorted(bytes(r.word) for r in counts.filter(F.col("n") >= least).select("word").toLocalIterator())
         data = np.frombuffer(b"".join(found), np.uint8)
         at = np.concatenate([[0], np.cumsum([len(w) for w in found])]).astype(np.int64)
@@ -532,21 +532,3 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     values = column.values.to_numpy(zero_copy_only=False)
     return values[at[0] : at[-1]] if len(column) else values[:0], at - at[0]
-
-
-def _least_count(counts: DataFrame, most: int) -> int:
-    """The least n so that at most ``most`` words have n or more. The driver gets a row for each power of two of n
-    first, then those of one such range: a few thousand rows whatever the corpus."""
-    sizes = {r.p: r["count"] for r in counts.groupBy(F.floor(F.log2("n")).alias("p")).count().collect()}
-    held = 0
-    for p in sorted(sizes, reverse=True):
-        if held + sizes[p] > most:
-            low, high = 1 << p, 1 << (p + 1)
-            step = max(1, (high - low) // 1024)
-            inside = counts.filter(F.col("n").between(low, high - 1)).groupBy(F.floor((F.col("n") - low) / step).alias("b")).count()
-            for r in sorted(inside.collect(), key=lambda r: -r.b):
-                if held + r["count"] > most:
-                    return low + (r.b + 1) * step
-                held += r["count"]
-        held += sizes[p]
-    return 2

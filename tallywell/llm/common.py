@@ -95,6 +95,24 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
 
 
+def least_count(counts: DataFrame, most: int) -> int:
+    """The least n so that at most ``most`` words have n or more. The driver gets a row for each power of two of n
+    first, then those of one such range: a few thousand rows whatever the corpus."""
+    sizes = {r.p: r["count"] for r in counts.groupBy(F.floor(F.log2("n")).alias("p")).count().collect()}
+    held = 0
+    for p in sorted(sizes, reverse=True):
+        if held + sizes[p] > most:
+            low, high = 1 << p, 1 << (p + 1)
+            step = max(1, (high - low) // 1024)
+            inside = counts.filter(F.col("n").between(low, high - 1)).groupBy(F.floor((F.col("n") - low) / step).alias("b")).count()
+            for r in sorted(inside.collect(), key=lambda r: -r.b):
+                if held + r["count"] > most:
+                    return low + (r.b + 1) * step
+                held += r["count"]
+        held += sizes[p]
+    return 2
+
+
 # words -----------------------------------------------------------------------------------------
 
 #: Space and \t \n \v \f \r, the white space that ends a word here.

@@ -12,6 +12,7 @@ from tallywell.llm.bwt_dedup import deduplicated_bytes
 from tallywell.llm.chat import END, START, conversation_digests, format_conversations
 from tallywell.llm.common import keep, table
 from tallywell.llm.decontaminate import find_overlaps
+from tallywell.llm.kneser_ney import judged
 from tallywell.llm.secrets import BASE_RULES, find_secrets
 from tallywell.llm.simhash import near_duplicates
 from tallywell.llm.topk import quantised, top_k
@@ -92,3 +93,10 @@ def op10_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicated_words(table(spark, sf_dir, "documents")).select(
         "doc_id", F.col("n").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the filter keeps."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return judged(docs, labels).filter("keep").drop("t")
