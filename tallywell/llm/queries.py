@@ -16,6 +16,7 @@ from tallywell.llm.kneser_ney import judged
 from tallywell.llm.secrets import BASE_RULES, find_secrets
 from tallywell.llm.simhash import near_duplicates
 from tallywell.llm.topk import quantised, top_k
+from tallywell.llm.warc import resolve_revisits
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +101,84 @@ def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that the filter keeps."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return judged(docs, labels).filter("keep").drop("t")
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Web captures that the pages table stands for: each page captured, and again later without a change.
+
+    Every row is a full response in its second and a revisit an hour and 40 seconds later. The page's hash is its etag; every
+    seventh revisit has that of another version, every eleventh no validator, and every thirteenth page is an error.
+    """
+    seen = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page_id"))
+    etag = F.concat(F.lit('"'), F.md5("html"), F.lit('"'))
+    full = pages.select(
+        (F.col("page_id") * 2).alias("record_id"),
+        F.lit("response").alias("kind"),
+        "url",
+        seen.alias("captured"),
+        F.when(F.col("page_id") % 13 == 5, 500).otherwise(200).cast("long").alias("status"),
+        F.create_map(F.lit("etag"), etag, F.lit("date"), F.col("page_id").cast("string"), F.lit("content-type"), F.lit("text/html")).alias("headers"),
+    )
+    again = F.when(F.col("page_id") % 7 == 3, F.lit('"other"')).otherwise(etag)
+    date = F.concat(F.lit("later "), F.col("page_id").cast("string"))
+    headers = F.when(F.col("page_id") % 11 == 4, F.create_map(F.lit("date"), date)).otherwise(
+        F.create_map(F.lit("etag"), again, F.lit("date"), date, F.lit("content-type"), F.lit("none"))
+    )
+    revisit = pages.select(
+        (F.col("page_id") * 2 + 1).alias("record_id"),
+        F.lit("revisit").alias("kind"),
+        "url",
+        (seen + F.expr("INTERVAL 3640 SECONDS")).alias("captured"),
+        F.lit(304).cast("long").alias("status"),
+        headers.alias("headers"),
+    )
+    return full.unionByName(revisit)
+
+
+@query
+def op2_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resolve_revisits(captures(table(spark, sf_dir, "pages")))
+    return found.select(
+        "record_id",
+        "canonical",
+        "response_id",
+        "outcome",
+        F.try_element_at("headers", F.lit("etag")).alias("etag"),
+        F.try_element_at("headers", F.lit("date")).alias("date"),
+        F.try_element_at("headers", F.lit("content-type")).alias("content_type"),
+    )
+
+
+ORACLES["op2_warc_revisit"] = r"""
+WITH parts AS (
+  SELECT page_id, md5(html) AS tag,
+         regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^(?i:https?)://', '') AS plain
+  FROM pages
+), pieces AS (
+  SELECT page_id, '"' || tag || '"' AS etag,
+         regexp_replace(lower(regexp_extract(plain, '^([^/?]*)', 1)), '^www\.|:(80|443)$', '') AS host,
+         regexp_replace(regexp_extract(plain, '^[^/?]*(/[^?]*)', 1), '/+$', '') AS path,
+         list_sort(list_filter(string_split(regexp_extract(plain, '\?(.*)$', 1), '&'),
+           lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS params
+  FROM parts
+), pages_ AS (
+  SELECT page_id, etag, host || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS canonical
+  FROM pieces
+), asked AS (
+  SELECT page_id, canonical, page_id + 3640 AS seen,
+         CASE WHEN page_id % 11 = 4 THEN NULL WHEN page_id % 7 = 3 THEN '"other"' ELSE etag END AS etag
+  FROM pages_
+), earlier AS (
+  SELECT a.page_id, max(p.page_id) AS response FROM asked a JOIN pages_ p
+    ON p.canonical = a.canonical AND p.page_id < a.seen AND p.page_id % 13 <> 5 GROUP BY a.page_id
+), judged AS (
+  SELECT a.page_id, a.canonical, e.response, a.etag AS own,
+         CASE WHEN e.response IS NULL THEN 'missing' WHEN a.etag IS NULL THEN 'unchecked'
+              WHEN a.etag <> p.etag THEN 'changed' ELSE 'resolved' END AS outcome
+  FROM asked a LEFT JOIN earlier e USING (page_id) LEFT JOIN pages_ p ON p.page_id = e.response
+)
+SELECT page_id * 2 + 1 AS record_id, canonical, response * 2 AS response_id, outcome, own AS etag,
+       'later ' || page_id AS date,
+       CASE WHEN outcome = 'resolved' THEN 'text/html' WHEN own IS NULL THEN NULL ELSE 'none' END AS content_type
+FROM judged
+"""
