@@ -171,6 +171,8 @@ class Scanner:
         whole = at + 3 <= bounds[text + 1]
         n = len(bounds)
         pairs = np.unique(slots[at[whole]].astype(np.int64) * n + text[whole])
+        if not len(pairs):
+            return {}
         numbers, first = np.unique(pairs // n, return_index=True)
         return {int(k): p % n for k, p in zip(numbers, np.split(pairs, first[1:]), strict=True)}
 

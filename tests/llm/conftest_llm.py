@@ -1,0 +1,14 @@
+"""Rows that every operator on documents has to take."""
+
+#: Null and empty texts, white space, repeated rows, repeated and null ids.
+ODD = (
+    (None, None),
+    (None, "no id here, but words enough to be read"),
+    (7, None),
+    (8, ""),
+    (9, " \t\n "),
+    (10, "é"),
+    (11, "same row"),
+    (11, "same row"),
+    (11, "same id, other text"),
+)
