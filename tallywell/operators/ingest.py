@@ -21,22 +21,26 @@ FIELD_DEFAULTS = {
 FAULTY_AMOUNT = "-150.75"
 
 # Room for sub-cent parts, so only the total is rounded.
-_PART = "decimal(24,6)"
+_PART = "decimal(30,6)"
 
 
 def sum_payments(payments: DataFrame) -> DataFrame:
     """One row per order: ``paid`` as text with two decimals.
 
-    Text that is no number counts as zero. A NaN or infinite payment makes the total 'nan', 'inf'
-    or '-inf', which validation then rejects.
+    Text that is no number counts as zero; ``_`` may group digits. A NaN or infinite payment, or one too
+    large for an exact sum, makes the total 'nan', 'inf' or '-inf', which validation then rejects.
     """
-    amount = F.col("payment_value")
-    as_double = amount.try_cast("double")
-    special = F.when(F.isnan(as_double) | (F.abs(as_double) == F.lit(float("inf"))), as_double)
+    amount = F.replace(F.col("payment_value"), F.lit("_"), F.lit(""))
+    as_double, exact = amount.try_cast("double"), amount.try_cast(_PART)
+    infinite = F.lit(float("inf"))
+    special = F.when(F.isnan(as_double) | (F.abs(as_double) == infinite), as_double).when(
+        exact.isNull() & as_double.isNotNull(), F.signum(as_double) * infinite
+    )
     totals = payments.groupBy("order_id").agg(
-        F.sum(F.coalesce(amount.try_cast(_PART), F.lit(0).cast(_PART))).alias("total"),
+        F.try_sum(F.coalesce(exact, F.lit(0).cast(_PART))).alias("total"),
         F.sum(special).alias("special"),
     )
+    totals = totals.withColumn("special", F.when(F.col("total").isNull(), F.coalesce("special", infinite)).otherwise(F.col("special")))
     text = (
         F.when(F.col("special").isNull(), F.round("total", 2).cast("decimal(38,2)").cast("string"))
         .when(F.isnan("special"), F.lit("nan"))

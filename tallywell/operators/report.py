@@ -3,10 +3,10 @@
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Layer order and the breakdown columns of each layer that has one.
+# Layer order, the breakdown columns of each layer that has one, and the columns of its samples.
 LAYERS = (
     "bronze_transactions",
     "silver_transactions",
@@ -43,32 +43,29 @@ def _long(layer: str, metric: str, df: DataFrame, key, value) -> DataFrame:
 
 
 def layer_report(layer: str, df: DataFrame) -> DataFrame:
-    """Row count of a layer, and its breakdown where it has one.
-
-    The count reads no column. The breakdown is a separate aggregate over its few columns, which
-    partial aggregation reduces to a handful of rows per task.
-    """
-    total = df.agg(F.count(F.lit(1)).alias("count"))
-    report = _long(layer, "rows", total, F.lit("all"), F.col("count"))
+    """Row count of a layer, and its breakdown where it has one, from one pass over its few columns."""
     columns = BREAKDOWNS.get(layer)
     if not columns:
-        return report
+        total = df.agg(F.count(F.lit(1)).alias("count"))
+        return _long(layer, "rows", total, F.lit("all"), F.col("count"))
     label = F.concat_ws(
         "|", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("NULL"))) for c in columns]
     )
-    return report.unionByName(_long(layer, "breakdown", breakdown(df, columns), label, F.col("count")))
+    # The total is summed from the breakdown, whose exchange is reused.
+    counts = breakdown(df.select(label.alias("label")), ["label"])
+    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0).cast("bigint")).alias("count"))
+    report = _long(layer, "rows", total, F.lit("all"), F.col("count"))
+    return report.unionByName(_long(layer, "breakdown", counts, F.col("label"), F.col("count")))
 
 
-def inspect_layers(frames: Mapping[str, DataFrame | None]) -> DataFrame:
+def inspect_layers(spark: SparkSession, frames: Mapping[str, DataFrame | None]) -> DataFrame:
     """Report over the layers given. A layer that is None is reported as missing, not an error."""
     parts = []
     for layer in [*LAYERS, *[n for n in frames if n not in LAYERS]]:
         if layer not in frames:
             continue
         if frames[layer] is None:
-            spark = next(df.sparkSession for df in frames.values() if df is not None)
-            one = spark.range(1)
-            parts.append(_long(layer, "missing", one, F.lit("all"), F.lit(None).cast("bigint")))
+            parts.append(_long(layer, "missing", spark.range(1), F.lit("all"), F.lit(None).cast("bigint")))
         else:
             parts.append(layer_report(layer, frames[layer]))
     return reduce(DataFrame.unionByName, parts)

@@ -9,7 +9,10 @@ from tallywell.functions import exact_money
 from tallywell.operators.keyed import join_on_keys, latest_per_key, update_columns
 from tallywell.schemas import AUDIT_SCHEMA, DECISION_SCHEMA, SILVER_SCHEMA
 
-REVIEW_KEYS = ("order_id", "ingest_id")
+# A decision file may not tell an empty id from a missing one.
+REVIEW_KEYS = ("coalesce(order_id, '')", "coalesce(ingest_id, '')")
+# Rows without an order id cannot be merged on it; each delivery stays a row of its own.
+ORDER_KEYS = ("coalesce(order_id, '')", "if(coalesce(order_id, '') = '', ingest_id, null)")
 
 # Accepted decision words, and what each writes.
 APPROVE_WORDS = ("Y", "APPROVED")
@@ -77,9 +80,7 @@ def apply_decisions(pending: DataFrame, decisions: DataFrame) -> ReviewOutcome:
             "_remediation_rule": F.lit(HUMAN_RULE),
         }
     )
-    # Rows without an order id cannot be merged on it; each stays a row of its own.
-    order_key = "if(order_id is null, ingest_id, null)"
-    newest = latest_per_key(approved, ["order_id", order_key], ["reviewed_at", "ingest_id"])
+    newest = latest_per_key(approved, ORDER_KEYS, ["reviewed_at", "ingest_id"])
 
     states = final.withColumn("_status", F.col("__verdict"))
     closed = decided.select(
@@ -122,4 +123,4 @@ def _bad_decisions(read: DataFrame, usable: DataFrame, final: DataFrame, queue:
 
 
 def _payload(final: DataFrame) -> list[str]:
-    return [c for c in final.columns if c not in (*REVIEW_KEYS, "reviewed_at", "__verdict")]
+    return [c for c in final.columns if c not in ("order_id", "ingest_id", "reviewed_at", "__verdict")]

@@ -102,9 +102,10 @@ def one_row_per_key(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(*[F.max(c).alias(c) for c in others])
 
 
-def published_files(spark: SparkSession, folder: str) -> DataFrame:
-    """All Parquet files a table wrote under its ``data`` folder, whichever snapshot they are from."""
-    return spark.read.parquet(f"{folder.rstrip('/')}/data/*")
+def published_files(spark: SparkSession, folder: str, below: str = "data/*") -> DataFrame:
+    """All Parquet files a table wrote, whichever snapshot they are from. Some formats keep them under ``data``; for the
+    file tables of this library ``below`` is empty."""
+    return spark.read.parquet(f"{folder.rstrip('/')}/{below}".rstrip("/"))
 
 
 def register_views(spark: SparkSession, daily: DataFrame, activity: DataFrame) -> None:
@@ -133,14 +134,19 @@ def refresh_daily_revenue(
     full_refresh: bool = False,
     lookback_days: int = 0,
     provider: str = "parquet",
+    order_ids_unique: bool = False,
 ) -> None:
-    """Incremental by default; builds the whole table on the first run and on ``full_refresh``."""
+    """Incremental by default; builds the whole table on the first run and on ``full_refresh``.
+
+    ``order_ids_unique`` promises that silver holds each order once and saves the distinct count. A write that
+    was interrupted can leave an order twice.
+    """
     silver, table = current_table(spark, layers.silver), layers.daily_revenue
     if full_refresh or not spark.catalog.tableExists(table):
-        replace_table(daily_revenue(silver, order_ids_unique=True), table, provider)
+        replace_table(daily_revenue(silver, order_ids_unique=order_ids_unique), table, provider)
         return
     increment = daily_revenue_increment(
-        silver, current_table(spark, table), lookback_days=lookback_days, order_ids_unique=True
+        silver, current_table(spark, table), lookback_days=lookback_days, order_ids_unique=order_ids_unique
     )
     upsert_table(increment, table, ["revenue_date"])
 

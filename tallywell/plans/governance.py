@@ -1,17 +1,20 @@
 """Review and purge as jobs on the tables. Every job may be repeated after a failure."""
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from tallywell.operators.purge import NO_DAY, anomalies
-from tallywell.operators.review import REVIEW_KEYS, ReviewOutcome, apply_decisions, pending_queue
+from tallywell.operators.quality import CONTRACTS, contract_results
+from tallywell.operators.review import ORDER_KEYS, ReviewOutcome, apply_decisions, pending_queue
 from tallywell.operators.validate import DEFAULT_POLICY, Policy, key_contract_breach
-from tallywell.schemas import AUDIT_SCHEMA, PENDING_SCHEMA
+from tallywell.schemas import AUDIT_SCHEMA, BAD_DECISION_SCHEMA, PENDING_SCHEMA
 from tallywell.sinks.layers import Layers
 from tallywell.sinks.workspace import ensure_checkpoint_dir
 from tallywell.sinks.writes import append_absent, append_rows, delete_from_table, upsert_table
 from tallywell.sources.tables import current_table, rows_or_empty
-from tallywell.streaming.pipeline import absent_from_pending
+from tallywell.streaming.pipeline import PENDING_KEYS, absent_from_pending
 
 
 def open_reviews(spark: SparkSession, layers: Layers) -> DataFrame:
@@ -29,10 +32,10 @@ def find_review(spark: SparkSession, layers: Layers, order_id: str, ingest_id: s
 
 
 def review_job(spark: SparkSession, layers: Layers, decisions: DataFrame) -> DataFrame:
-    """Apply a batch of decisions to the tables; returns the decisions that could not be applied.
+    """Apply a batch of decisions to the tables; returns the decisions that could not be applied, which are stored too.
 
-    The queue is updated last: a job that stops before that finds the rows still open, and the two
-    earlier writes are keyed, so repeating them changes nothing.
+    The queue is updated last: a job that stops before that finds the rows still open, and the
+    earlier writes are keyed, so repeating them changes nothing. Rows without order id are keyed by delivery.
     """
     outcome: ReviewOutcome = apply_decisions(current_table(spark, layers.pending), decisions)
     updates = outcome.silver_updates.persist(StorageLevel.MEMORY_AND_DISK)
@@ -41,15 +44,28 @@ def review_job(spark: SparkSession, layers: Layers, decisions: DataFrame) -> Dat
     # Read before the queue changes; a reliable checkpoint cuts it from the table.
     bad = outcome.bad_decisions.checkpoint()
     try:
-        upsert_table(updates, layers.silver, ["order_id"], null_safe=False)
+        upsert_table(updates, layers.silver, ORDER_KEYS)
         append_absent(outcome.audit, layers.audit, AUDIT_SCHEMA.fieldNames())
-        upsert_table(closed, layers.pending, REVIEW_KEYS)
+        append_absent(bad, layers.bad_decisions, BAD_DECISION_SCHEMA.fieldNames())
+        upsert_table(closed, layers.pending, PENDING_KEYS)
     finally:
         updates.unpersist()
         closed.unpersist()
     return bad
 
 
+def contracts_job(spark: SparkSession, layers: Layers, report: Callable[[str], object]) -> int:
+    """Run the contracts on the stored tables, report each, and return 1 if one is broken."""
+    tested = {c.table for c in CONTRACTS}
+    frames = {name: df for name, df in layers.frames(spark).items() if name in tested and df is not None}
+    failed = 0
+    for row in contract_results(frames).collect():  # one row for each contract
+        failed += row["failures"] > 0
+        state = f"FAIL {row['failures']}" if row["failures"] else "PASS"
+        report(f"{state} {row['test']} {row['table']}.{row['column']}")
+    return int(failed > 0)
+
+
 def purge_job(spark: SparkSession, layers: Layers, policy: Policy = DEFAULT_POLICY) -> int:
     """Move anomalies of the clean table to quarantine; returns how many rows left it.
 

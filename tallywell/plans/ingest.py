@@ -1,7 +1,6 @@
 """Raw orders and payments to publishable events."""
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
 
 from tallywell.operators.ingest import chronological, envelope, inject_faults, join_payments
 
@@ -10,18 +9,18 @@ def order_events(
     orders: DataFrame,
     payments: DataFrame,
     *,
+    delivered_at: Column,
     structural_rate: float = 0.0,
     business_rate: float = 0.0,
     seed: int = 42,
 ) -> DataFrame:
     """One event per order in order of purchase time, damaged at the given rates.
 
-    A replay delivers each event at its own time, so ids follow the purchase time. They depend on the
-    row alone: publishing the same files again repeats the same deliveries.
+    ``delivered_at`` is the time of delivery in milliseconds, one for the whole run: ids of a later run are greater, and
+    a run repeated with its time repeats its ids.
     """
     priced = chronological(join_payments(orders, payments))
-    at = F.unix_millis(F.concat("order_purchase_timestamp", F.lit("Z")).try_cast("timestamp"))
-    events = envelope(priced, F.coalesce(at, F.lit(0)))
+    events = envelope(priced, delivered_at.cast("bigint"))
     if structural_rate or business_rate:
         events = inject_faults(events, structural_rate, business_rate, seed=seed)
     return events

@@ -13,6 +13,8 @@ EVENT_FIELDS = (
     "order_purchase_timestamp",
     "payment_value",
 )
+# Where a row came from: the payload that could not be read, as text, and its place in the source.
+ORIGIN_FIELDS = ("payload", "source")
 RAW_ORDER_FIELDS = ("order_id", "customer_id", "order_status", "order_purchase_timestamp")
 RAW_PAYMENT_FIELDS = ("order_id", "payment_value")
 
@@ -31,6 +33,7 @@ RAW_PAYMENTS_SCHEMA = T.StructType(_strings(*RAW_PAYMENT_FIELDS))
 BRONZE_SCHEMA = T.StructType(
     [
         *EVENT_SCHEMA.fields,
+        *_strings(*ORIGIN_FIELDS),
         T.StructField("ingested_at", T.TimestampType(), True),
         T.StructField("stream_id", T.StringType(), True),
         T.StructField("batch_id", T.LongType(), True),
@@ -51,7 +54,7 @@ SILVER_SCHEMA = T.StructType(
         *_strings("_remediation_rule"),
     ]
 )
-PENDING_SCHEMA = T.StructType([*_CLASSIFIED, *_strings("_status")])
+PENDING_SCHEMA = T.StructType([*_CLASSIFIED, *_strings(*ORIGIN_FIELDS, "_status")])
 AUDIT_SCHEMA = T.StructType(
     _strings(
         "order_id",
@@ -84,6 +87,7 @@ CUSTOMER_ACTIVITY_SCHEMA = T.StructType(
 DECISION_SCHEMA = T.StructType(
     _strings("order_id", "ingest_id", "decision", "corrected_value", "reviewed_by", "reviewed_at")
 )
+BAD_DECISION_SCHEMA = T.StructType([*DECISION_SCHEMA.fields, *_strings("reason")])
 
 
 def event_avro_schema(record_name: str = "OrderTransaction") -> str:

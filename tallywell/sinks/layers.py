@@ -39,6 +39,10 @@ class Layers:
     def audit(self) -> str:
         return f"{self.schema('silver')}.audit_log"
 
+    @property
+    def bad_decisions(self) -> str:
+        return f"{self.schema('silver')}.bad_decisions"
+
     @property
     def daily_revenue(self) -> str:
         return f"{self.schema('gold_finance')}.daily_revenue"
@@ -85,6 +89,7 @@ def create_layers(
         # By state: the open queue is one partition, and closing rows never rewrites closed ones.
         (layers.pending, schemas.PENDING_SCHEMA, ("_status",)),
         (layers.audit, schemas.AUDIT_SCHEMA, ()),
+        (layers.bad_decisions, schemas.BAD_DECISION_SCHEMA, ()),
     ):
         create_table(spark, name, schema, provider, partitions)
     return layers

@@ -36,9 +36,13 @@ def file_writer(path: str, checkpoint: str | None = None) -> Writer:
     return write
 
 
-def publish_events(events: DataFrame, to_main: Writer, to_dead: Writer, codec: str = "json") -> tuple:
+def publish_events(
+    events: DataFrame, to_main: Writer, to_dead: Writer, codec: str = "json", on_dead: Callable[[int], object] | None = None
+) -> tuple:
     """Returns what the two writers return: streaming queries for a stream.
 
+    ``on_dead`` hears of the number of dead letters of a bounded input, if there are any.
+
     A bounded input is kept while both outputs are written, so that it is computed once.
     """
     keep = not events.isStreaming and not events.is_cached
@@ -47,7 +51,10 @@ def publish_events(events: DataFrame, to_main: Writer, to_dead: Writer, codec: s
     try:
         sound, dead = split_structural(events)
         letters = dead.select(F.encode("payload", "UTF-8").alias("value"), "error")
-        return to_main(encode_events(sound, codec)), to_dead(letters)
+        written = to_main(encode_events(sound, codec)), to_dead(letters)
+        if on_dead is not None and not events.isStreaming and (number := letters.count()):
+            on_dead(number)
+        return written
     finally:
         if keep:
             events.unpersist()

@@ -13,6 +13,7 @@ write settles it. File tables replace a partition by delete and rename, so a dri
 that step needs the format with row-level operations to be safe.
 """
 
+import re
 from collections.abc import Collection, Sequence
 
 from pyspark import StorageLevel
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tallywell.operators.keyed import accepted_rows, delete_rows, join_on_keys, rows_absent_from, upsert
 from tallywell.sinks.layers import FILE_FORMATS
+from tallywell.sources.codec import with_origin
 from tallywell.sources.tables import current_table
 
 
@@ -37,28 +39,33 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-# Below this many rows, the number of files decides how long a write takes, not their size.
-SMALL_WRITE_ROWS = 1_000_000
-
-
-def _clustered(df: DataFrame, partitions: Sequence[str], sizes: Sequence[int] | None) -> DataFrame:
+def _clustered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Bring rows of one partition together, so that a write makes few files.
 
-    REBALANCE lets adaptive execution split a partition that is too big for one task and merge the
-    small ones, by measured size. Merged by size, a few rows for very many partitions would end up
-    in one task that writes all files in turn; ``sizes``, the rows per partition, shows that case.
+    REBALANCE lets adaptive execution split a partition that is too big for one task and merge small
+    ones, by measured size.
     """
-    columns = [F.col(p) for p in partitions]
-    if sizes and sum(sizes) <= SMALL_WRITE_ROWS:
-        tasks = min(len(sizes), df.sparkSession.sparkContext.defaultParallelism)
-        return df.repartition(tasks, *columns)
-    return df.hint("rebalance", *columns)
+    return df.hint("rebalance", *[F.col(p) for p in partitions])
 
 
-def _insert(df: DataFrame, table: str, *, overwrite: bool = False, sizes: Sequence[int] | None = None) -> None:
+def _insert(df: DataFrame, table: str, *, overwrite: bool = False) -> None:
     spark = df.sparkSession
+    if overwrite:
+        require_dynamic_overwrite(spark, table)
     rows = df.select(*spark.table(table).columns)
-    _clustered(rows, partition_columns(spark, table), sizes).write.insertInto(table, overwrite=overwrite)
+    _clustered(rows, partition_columns(spark, table)).write.insertInto(table, overwrite=overwrite)
+
+
+def require_dynamic_overwrite(spark: SparkSession, table: str) -> None:
+    """Fail if overwriting some partitions of ``table`` would empty the others."""
+    if spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic":
+        return
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Storage Properties'").collect()
+    if not any("partitionoverwritemode=dynamic" in r["data_type"].lower() for r in about):
+        raise ValueError(
+            f"{table} has neither the option partitionOverwriteMode=dynamic nor does the session: an overwrite would "
+            "remove all other partitions"
+        )
 
 
 def _rows_per_partition(df: DataFrame, partitions: Sequence[str]) -> dict[tuple, int]:
@@ -68,7 +75,7 @@ def _rows_per_partition(df: DataFrame, partitions: Sequence[str]) -> dict[tuple,
 
 def append_batch(events: DataFrame, table: str, stream_id: str, batch_id: int) -> None:
     """Append a micro-batch with its arrival time; appending the same batch again replaces it."""
-    stamped = events.withColumns(
+    stamped = with_origin(events).withColumns(
         {
             "ingested_at": F.current_timestamp(),
             "stream_id": F.lit(stream_id),
@@ -80,6 +87,7 @@ def append_batch(events: DataFrame, table: str, stream_id: str, batch_id: int) -
         same = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
         stamped.select(*spark.table(table).columns).writeTo(table).overwrite(same)
     else:
+        require_dynamic_overwrite(spark, table)
         # All rows fall into one partition: nothing to cluster, and no shuffle.
         stamped.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
 
@@ -151,9 +159,13 @@ def upsert_table(
 
 
 def _merge(source, table, keys, protect, newer_by, null_safe) -> None:
-    # Keys are plain columns here: a computed key would have to be resolved on either side.
     same = "<=>" if null_safe else "="
-    on = F.expr(" AND ".join(f"{table}.{k} {same} source.{k}" for k in keys))
+    names = "|".join(re.escape(c) for c in source.columns)
+
+    def of(side: str, key: str) -> str:
+        return "(" + re.sub(rf"\b({names})\b", rf"{side}.\1", key) + ")"
+
+    on = F.expr(" AND ".join(f"{of(table, k)} {same} {of('source', k)}" for k in keys))
     allowed = F.lit(True)
     if protect:
         held = current_table(source.sparkSession, table).filter(F.expr(protect))
@@ -231,13 +243,13 @@ def _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_f
 
         added = {p: n for p, n in arriving.items() if p not in left_over}
         if added:
-            _insert(accepted.filter(f"NOT {inside}"), table, sizes=list(added.values()))
+            _insert(accepted.filter(f"NOT {inside}"), table)
         rewritten = {p: n + arriving.get(p, 0) for p, n in left_over.items() if n + arriving.get(p, 0)}
         if rewritten:
             kept = target.filter(_among(target, partitions, rewritten))
             kept = rows_absent_from(kept, accepted, keys, null_safe=null_safe)
             rows = kept.unionByName(accepted.filter(inside))
-            _insert(rows, table, overwrite=True, sizes=list(rewritten.values()))
+            _insert(rows, table, overwrite=True)
         _drop_partitions(spark, table, partitions, [p for p in left_over if p not in rewritten])
     finally:
         if accepted is not source:
@@ -270,6 +282,6 @@ def delete_from_table(spark: SparkSession, table: str, where: str) -> int:
     rewritten = {p: n for p, n in left_over.items() if n}
     if rewritten:
         kept = delete_rows(target.filter(_among(target, partitions, rewritten)), where)
-        _insert(kept, table, overwrite=True, sizes=list(rewritten.values()))
+        _insert(kept, table, overwrite=True)
     _drop_partitions(spark, table, partitions, [p for p in left_over if p not in rewritten])
     return sum(r["hits"] for r in touched)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywell.schemas import EVENT_FIELDS, EVENT_SCHEMA, event_avro_schema
+from tallywell.schemas import EVENT_FIELDS, EVENT_SCHEMA, ORIGIN_FIELDS, event_avro_schema
 
 CODECS = ("json", "avro")
 CORRUPT = "_corrupt_record"
@@ -20,11 +20,15 @@ def _check(codec: str) -> None:
         raise ValueError(f"codec must be one of {CODECS}, not {codec!r}")
 
 
-def decode_events(raw: DataFrame, column: str = "value", codec: str = "json", keep_corrupt: bool = False) -> DataFrame:
+def decode_events(
+    raw: DataFrame, column: str = "value", codec: str = "json", keep_corrupt: bool = False, origin: bool = False
+) -> DataFrame:
     """Binary or text payload to the six event columns.
 
     An unreadable payload becomes a row of NULLs, which routing sends to quarantine; it never fails
     the batch. ``keep_corrupt`` adds the payload of such rows (as text for JSON, base64 for Avro).
+    ``origin`` adds it as ``payload``, and with ``source`` the place of every row: topic, partition and
+    offset, or what the source column of a file stream says.
     """
     _check(codec)
     payload = F.col(column)
@@ -36,14 +40,28 @@ def decode_events(raw: DataFrame, column: str = "value", codec: str = "json", ke
     else:
         data = F.from_json(payload.cast("string"), EVENT_SCHEMA, {"mode": "PERMISSIVE"})
         bad = payload.cast("string")
-    decoded = raw.select(data.alias("data"), bad.alias("payload"))
+    decoded = raw.select(data.alias("data"), bad.alias("payload"), _place(raw).alias("source"))
     columns = [F.col(f"data.{name}").alias(name) for name in EVENT_FIELDS]
+    nothing = reduce(lambda a, b: a & b, [F.col(f"data.{n}").isNull() for n in EVENT_FIELDS])
     if keep_corrupt:
-        nothing = reduce(lambda a, b: a & b, [F.col(f"data.{n}").isNull() for n in EVENT_FIELDS])
         columns.append(F.when(nothing, F.col("payload")).alias(CORRUPT))
+    if origin:
+        columns += [F.when(nothing, F.coalesce("payload", F.lit(""))).alias("payload"), F.col("source")]
     return decoded.select(*columns)
 
 
+def with_origin(events: DataFrame) -> DataFrame:
+    """Events with the origin columns, NULL where the source does not tell."""
+    missing = {name: F.lit(None).cast("string") for name in ORIGIN_FIELDS if name not in events.columns}
+    return events.withColumns(missing) if missing else events
+
+
+def _place(raw: DataFrame) -> Column:
+    if {"topic", "partition", "offset"} <= set(raw.columns):
+        return F.concat_ws(":", "topic", "partition", "offset")
+    return F.col("source") if "source" in raw.columns else F.lit(None).cast("string")
+
+
 def _json(fields=EVENT_FIELDS) -> Column:
     return F.to_json(F.struct(*[F.col(n) for n in fields]), {"ignoreNullFields": "false"})
 

@@ -19,13 +19,15 @@ def read_csv_text(
 ) -> DataFrame:
     """Columns by header name, all text; an empty cell is '' and not NULL.
 
-    Only the header line is read to plan the scan, and only ``columns`` are parsed. Set
+    Only the header line is read to plan the scan, and only ``columns`` are parsed. All files of a scan need the
+    same columns in the same order; a file with another header fails it. Set
     ``multi_line`` when quoted cells hold line breaks: files then cannot be split between tasks.
     """
     raw = (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("escape", '"')
+        .option("enforceSchema", False)
         .option("multiLine", multi_line)
         .csv(path)
     )

@@ -1,26 +1,23 @@
 """Unbounded sources."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywell.schemas import EVENT_SCHEMA
 
-# Fixed value: default rate limit per trigger.
-MAX_OFFSETS_PER_TRIGGER = 1000
-
 
 def kafka_options(
     servers: str,
     topic: str,
-    max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER,
+    max_offsets_per_trigger: int | None = None,
     starting_offsets: str = "earliest",
 ) -> dict[str, str]:
-    return {
-        "kafka.bootstrap.servers": servers,
-        "subscribe": topic,
-        "startingOffsets": starting_offsets,
-        "maxOffsetsPerTrigger": str(max_offsets_per_trigger),
-    }
+    """A batch takes all there is, unless ``max_offsets_per_trigger`` limits it."""
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting_offsets}
+    if max_offsets_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return options
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, **limits) -> DataFrame:
@@ -36,12 +33,19 @@ def file_stream(
     file_format: str = "parquet",
     glob: str | None = None,
     max_files_per_trigger: int | None = None,
+    position: bool = False,
     **options,
 ) -> DataFrame:
-    """Files arriving in a directory, oldest first; ``options`` go to the file format."""
+    """Files arriving in a directory, oldest first; ``options`` go to the file format.
+
+    ``position`` adds ``source``, the file and row each row comes from (Parquet files).
+    """
     reader = spark.readStream.schema(schema).format(file_format).options(**options)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(directory)
+    rows = reader.load(directory)
+    if position:
+        rows = rows.select("*", F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias("source"))
+    return rows

@@ -17,17 +17,18 @@ from tallywell.operators.quality import alert_messages, expectation_results
 from tallywell.operators.remediate import BLANK_STATUS_RULE, EMPTY_STATUS_RULE, repair_column
 from tallywell.operators.review import HUMAN_RULE
 from tallywell.operators.validate import DEFAULT_POLICY, Policy, clean_rows, classify, quarantined_rows
-from tallywell.schemas import EVENT_FIELDS, PENDING_SCHEMA, SILVER_SCHEMA
+from tallywell.schemas import EVENT_FIELDS, ORIGIN_FIELDS, PENDING_SCHEMA, SILVER_SCHEMA
 from tallywell.sinks.layers import Layers
 from tallywell.sinks.writes import append_batch, append_rows, upsert_table
+from tallywell.sources.codec import with_origin
 from tallywell.sources.tables import current_table
 
 # Fixed value: default trigger interval.
 TRIGGER = "15 seconds"
 
-# A delivery is known by its two ids. Rows that lost the technical id are told apart by content.
-DELIVERY_KEYS = ("order_id", "ingest_id")
-_CONTENT_KEY = f"if(ingest_id IS NULL, struct({', '.join(EVENT_FIELDS)}), NULL)"
+# A quarantined row is known by all it holds: rows that share ids but differ, and unreadable payloads, are rows of
+# their own. A readable row that is delivered again at another place is the same row.
+PENDING_KEYS = (*EVENT_FIELDS, *ORIGIN_FIELDS)
 
 
 @dataclass(frozen=True)
@@ -51,21 +52,15 @@ def silver_from(classified: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataF
 
 
 def pending_from(classified: DataFrame) -> DataFrame:
-    """Quarantined rows, each delivery once, in quarantine layout."""
-    rows = quarantined_rows(classified).select(*PENDING_SCHEMA.fieldNames())
-    return latest_per_key(rows, [*DELIVERY_KEYS, _CONTENT_KEY], ["ingest_id"], EVENT_FIELDS)
+    """Quarantined rows, each once, in quarantine layout."""
+    rows = quarantined_rows(with_origin(classified))
+    place = F.when(F.col("payload").isNotNull(), F.col("source"))
+    return rows.withColumn("source", place).select(*PENDING_SCHEMA.fieldNames()).dropDuplicates([*PENDING_KEYS])
 
 
 def absent_from_pending(rows: DataFrame, pending: DataFrame) -> DataFrame:
-    """Rows whose delivery ``pending`` does not hold.
-
-    Rows with a technical id need only the two id columns of the table. The few without are
-    compared by content, with the table's rows without.
-    """
-    has_id = "ingest_id IS NOT NULL"
-    known = rows_absent_from(rows.filter(has_id), pending.filter(has_id), DELIVERY_KEYS)
-    no_id = "ingest_id IS NULL"
-    return known.unionByName(rows_absent_from(rows.filter(no_id), pending.filter(no_id), EVENT_FIELDS))
+    """Rows that ``pending`` does not hold, whatever their state there."""
+    return rows_absent_from(rows, pending, PENDING_KEYS)
 
 
 def merged_pending(pending: DataFrame, rows: DataFrame) -> DataFrame:
@@ -91,10 +86,11 @@ def process_batch(
     options = options or PipelineOptions()
     if batch.isEmpty():
         return
-    classified = classify(batch.select(*EVENT_FIELDS), options.policy).persist(StorageLevel.MEMORY_AND_DISK)
+    events = with_origin(batch).select(*EVENT_FIELDS, *ORIGIN_FIELDS)
+    classified = classify(events, options.policy).persist(StorageLevel.MEMORY_AND_DISK)
     silver = None
     try:
-        append_batch(classified.select(*EVENT_FIELDS), layers.bronze, stream_id, batch_id)
+        append_batch(classified.select(*EVENT_FIELDS, *ORIGIN_FIELDS), layers.bronze, stream_id, batch_id)
         append_pending(pending_from(classified), layers)
         silver = silver_from(classified, options.policy).persist(StorageLevel.MEMORY_AND_DISK)
         if on_alert is not None:
@@ -133,6 +129,8 @@ def start_pipeline(
 
     def body(batch: DataFrame, batch_id: int) -> None:
         stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream_id:
+            raise RuntimeError("the stream's id is unknown, so its batches cannot be told from those of others")
         process_batch(batch, batch_id, layers, stream_id=stream_id, options=options, on_alert=on_alert)
 
     writer = events.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)

@@ -94,13 +94,13 @@ def test_stored_models_and_views(spark, layers, events):
     assert as_dicts(spark.table("v_customer_activity")) == as_dicts(activity)
 
     frames = layers.frames(spark)
-    report = {(r["layer"], r["metric"], r["key"]): r["value"] for r in inspect_layers(frames).collect()}
+    report = {(r["layer"], r["metric"], r["key"]): r["value"] for r in inspect_layers(spark, frames).collect()}
     assert report[("silver_transactions", "rows", "all")] == 6
     assert report[("silver_transactions", "breakdown", "validation_status=EMPTY_STATUS|_is_remediated=true")] == 1
     assert report[("silver_pending_review", "rows", "all")] == 0
     assert report[("daily_revenue", "rows", "all")] == 3
     frames["audit_log"] = None
-    assert ("audit_log", "missing", "all") in {(r["layer"], r["metric"], r["key"]) for r in inspect_layers(frames).collect()}
+    assert ("audit_log", "missing", "all") in {(r["layer"], r["metric"], r["key"]) for r in inspect_layers(spark, frames).collect()}
     assert [r["revenue_date"] for r in top_rows(daily, "revenue_date", 2).collect()] == [D3, D2]
     assert sample_rows(daily, ["revenue_date"], 2).count() == 2
 

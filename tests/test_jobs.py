@@ -3,6 +3,7 @@
 import uuid
 
 import pytest
+from pyspark.sql.functions import lit
 
 from tallywell.__main__ import run
 from tallywell.sinks import Layers
@@ -45,27 +46,36 @@ def test_jobs_end_to_end(spark, tmp_path, capsys):
         f"o3,{pending['o3']},Y,20.00,ann,2026-02-01T10:00:00\n"
         f"o4,{pending['o4']},what,,ann,2026-02-01T10:00:00\n"
     )
+    job("queue", f"{tmp_path}/queue")
+    assert spark.read.csv(f"{tmp_path}/queue", header=True).count() == 2
     job("review", f"{tmp_path}/decisions.csv")
-    assert "UNKNOWN_DECISION" in capsys.readouterr().out
+    assert "1 decisions could not be applied" in capsys.readouterr().out
+    assert [r["reason"] for r in current_table(spark, layers.bad_decisions).collect()] == ["UNKNOWN_DECISION"]
     job("purge")
     assert "0 rows moved" in capsys.readouterr().out
     job("refresh")
     job("refresh", "--lookback-days", "2")
     revenue = {str(r["revenue_date"]): str(r["gross_revenue"]) for r in current_table(spark, layers.daily_revenue).collect()}
     assert revenue == {"2026-01-01": "7.00", "2026-01-02": "15.50", "2026-01-03": "20.00"}
+    assert run(spark, [*shared, "contracts"]) == 0
+    assert capsys.readouterr().out.count("PASS") == 13
+    current_table(spark, layers.silver).limit(1).withColumn("validation_status", lit(None).cast("string")).write.insertInto(layers.silver)
+    assert run(spark, [*shared, "contracts"]) == 1
+    assert "FAIL 1 not_null silver_transactions.validation_status" in capsys.readouterr().out
     job("inspect")
     shown = capsys.readouterr().out
     assert "silver_pending_review" in shown and "_status=APPROVED" in shown and "FIX_EMPTY_STATUS" in shown
 
 
-def test_faults_reach_the_dead_letters(spark, tmp_path):
+def test_faults_reach_the_dead_letters(spark, tmp_path, capsys):
     (tmp_path / "orders.csv").write_text(ORDERS)
     (tmp_path / "payments.csv").write_text(PAYMENTS)
     run(
         spark,
         ["publish", f"{tmp_path}/orders.csv", f"{tmp_path}/payments.csv", "--topic", f"{tmp_path}/topic"]
-        + ["--dead", f"{tmp_path}/dead", "--structural-rate", "1.0"],
+        + ["--dead", f"{tmp_path}/dead", "--structural-rate", "1.0", "--delivered-at", "1000"],
     )
+    assert "5 events could not be encoded" in capsys.readouterr().out
     assert spark.read.parquet(f"{tmp_path}/dead").count() == 5
 
 

@@ -2,11 +2,11 @@ import duckdb
 import pytest
 
 import check
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from workload.oracles import ORACLES
+from workload.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
-# Writes to day-partitioned tables are covered by small fixtures; here they take most of the time.
-STORED = [n for n in queries() if n.startswith(("table_", "stream_"))]
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +18,7 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(ORACLES)
 
 
 def test_entry(spark):
@@ -27,11 +27,11 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in STORED])
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_query_matches_sql(spark, con, name):
-    df = queries()[name](spark, SF)
+    df = REGISTRY[name](spark, SF)
     mine = check.rows_of(df.columns, [tuple(r) for r in df.collect()])
-    result = con.execute(oracle_sql()[name])
+    result = con.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(columns)
     assert mine == check.rows_of(columns, result.fetchall())

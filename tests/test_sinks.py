@@ -1,13 +1,15 @@
 import datetime
 import random
 
+import pytest
 from conftest import as_dicts
 from pyspark.sql import functions as F
 
 from tallywell.operators.keyed import upsert
+from tallywell.operators.review import ORDER_KEYS, apply_decisions
 from tallywell.operators.validate import classify
 from tallywell.plans.governance import find_review, open_reviews, purge_job, review_job
-from tallywell.schemas import AUDIT_SCHEMA, DECISION_SCHEMA, PENDING_SCHEMA, SILVER_SCHEMA
+from tallywell.schemas import AUDIT_SCHEMA, BRONZE_SCHEMA, DECISION_SCHEMA, PENDING_SCHEMA, SILVER_SCHEMA, ddl
 from tallywell.sinks import append_absent, append_batch, create_layers, delete_from_table, replace_table, upsert_table
 from tallywell.sinks import Layers
 from tallywell.streaming.pipeline import append_pending, pending_from, silver_from
@@ -217,3 +219,24 @@ def test_random_upserts_agree_with_a_dictionary(spark, layers):
             assert gone == sum(d == day for _, d in model.values())
             model = {o: v for o, v in model.items() if v[1] != day}
             assert state(spark, layers.silver) == model
+
+
+def test_a_static_overwrite_is_refused(spark, layers, events):
+    spark.sql(f"DROP TABLE {layers.bronze}")
+    spark.sql(f"CREATE TABLE {layers.bronze} ({ddl(BRONZE_SCHEMA)}) USING parquet PARTITIONED BY (stream_id, batch_id)")
+    batch = events(("1", "o", "c", "s", D1, "1"))
+    with pytest.raises(ValueError, match="partitionOverwriteMode"):
+        append_batch(batch, layers.bronze, "s", 0)
+    assert spark.table(layers.bronze).count() == 0
+
+
+def test_a_repeated_review_does_not_double_rows_without_order_id(spark, layers, events):
+    held = [("i1", None, "c", "s", D1, "-1"), ("i2", "", "c", "s", D1, "-2"), ("i3", "", "c", "s", D1, "-3")]
+    append_pending(pending_from(classify(events(*held))), layers)
+    decisions = decide(spark, *[("", f"i{n}", "Y", "5", "ann", "2026-02-01T10:00:00") for n in (1, 2, 3)])
+    outcome = apply_decisions(spark.table(layers.pending), decisions)
+    for _ in range(2):
+        upsert_table(outcome.silver_updates, layers.silver, ORDER_KEYS)
+    assert review_job(spark, layers, decisions).count() == 0
+    assert sorted(r["ingest_id"] for r in spark.table(layers.silver).collect()) == ["i1", "i2", "i3"]
+    assert {r["_status"] for r in spark.table(layers.pending).collect()} == {"APPROVED"}

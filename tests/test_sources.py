@@ -19,7 +19,7 @@ from tallywell.sources import (
 from tallywell.sources.codec import CORRUPT
 from tallywell.sources.streams import kafka_options, kafka_stream
 
-ROW = ("i-123", "o-456", "c-789", "delivered", "2026-01-01 12:00:00", "99.50")
+ROW = ("del-07", "ord:88", "buyer 5", "in transit", "2031-06-30 23:59:59", "12345.678")
 
 
 def test_csv_by_header_name_with_bom_quotes_and_empty_cells(spark, tmp_path):
@@ -35,6 +35,13 @@ def test_csv_by_header_name_with_bom_quotes_and_empty_cells(spark, tmp_path):
     assert read_csv_text(spark, str(path)).columns[0] == "order_id"
 
 
+def test_files_of_another_header_fail_the_scan(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("order_id,payment_value\no1,1.00\n")
+    (tmp_path / "b.csv").write_text("payment_value,order_id\n2.00,o2\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_raw_payments(spark, str(tmp_path)).collect()
+
+
 def test_payments_scan_reads_only_its_columns(spark, tmp_path):
     path = tmp_path / "payments.csv"
     path.write_text("order_id,kind,payment_value\no1,card,99.90\n")
@@ -104,8 +111,8 @@ def test_kafka_options(spark):
         "kafka.bootstrap.servers": "broker:9092",
         "subscribe": "raw",
         "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": "1000",
     }
+    assert kafka_options("b", "t", max_offsets_per_trigger=7)["maxOffsetsPerTrigger"] == "7"
     try:
         assert kafka_stream(spark, "broker:9092", "raw").isStreaming
     except AnalysisException as error:

@@ -4,15 +4,22 @@ from pyspark.sql import functions as F
 from tallywell.operators.validate import classify
 from tallywell.schemas import EVENT_FIELDS
 from tallywell.sinks import Layers, create_layers, upsert_table
-from tallywell.sources import current_table, file_stream
+from tallywell.sources import current_table, decode_events, file_stream
 from tallywell.streaming import PipelineOptions, process_batch, start_pipeline
-from tallywell.streaming.pipeline import pending_from, silver_from
+from tallywell.streaming.pipeline import PENDING_KEYS, pending_from, silver_from
 
+# Two of each kind: sound, to be repaired, negative, and without a customer.
 MICRO_BATCH = [
-    ("i_clean", "o_clean", "c1", "delivered", "2026-01-01 10:00:00", "150.00"),
-    ("i_remed", "o_remed", "c2", "", "2026-01-02 11:00:00", "50.25"),
-    ("i_pending", "o_pending", "c3", "shipped", "2026-01-03 12:00:00", "-250.00"),
+    ("k01", "A-7", "anna", "packed", "2031-03-09 08:15:00", "19.99"),
+    ("k02", "A-8", "bert", "shipped", "2031-03-10 09:30:00", "1e2"),
+    ("k03", "B-1", "anna", "", "2031-03-09 23:59:59", "0.01"),
+    ("k04", "B-2", "cora", None, "2031-03-11 00:00:00", "7"),
+    ("k05", "C-1", "bert", "packed", "2031-03-10 12:00:00", "-3.50"),
+    ("k06", "C-2", "dora", "packed", "2031-03-12 12:00:00", "-0.01"),
+    ("k07", "D-1", "", "packed", "2031-03-12 12:00:00", "5"),
+    ("k08", "D-2", None, "packed", "2031-03-13 12:00:00", "6"),
 ]
+SOUND, REPAIRED, HELD = {"A-7", "A-8"}, {"B-1", "B-2"}, {"C-1", "C-2", "D-1", "D-2"}
 
 
 def run(spark, layers, batch, batch_id=0, **kwargs):
@@ -27,13 +34,20 @@ def snapshot(spark, layers):
 def test_batch_is_routed_repaired_and_replayable(spark, layers, events):
     run(spark, layers, events(*MICRO_BATCH))
     first = snapshot(spark, layers)
-    silver = {r["order_id"]: r for r in first[0]}
-    assert set(silver) == {"o_clean", "o_remed"}
-    assert silver["o_remed"]["order_status"] == "UNKNOWN" and silver["o_remed"]["_is_remediated"] is True
-    assert silver["o_remed"]["_remediation_rule"] == "FIX_EMPTY_STATUS"
-    assert silver["o_clean"]["_is_remediated"] is False and silver["o_clean"]["_remediation_rule"] is None
-    assert [(r["order_id"], r["_status"]) for r in first[1]] == [("o_pending", "PENDING")]
-    assert len(first[2]) == 3
+    shown = {r["order_id"]: (r["order_status"], r["_is_remediated"], r["_remediation_rule"]) for r in first[0]}
+    assert shown == {
+        "A-7": ("packed", False, None),
+        "A-8": ("shipped", False, None),
+        "B-1": ("UNKNOWN", True, "FIX_EMPTY_STATUS"),
+        "B-2": ("UNKNOWN", True, "FIX_EMPTY_STATUS"),
+    }
+    assert {(r["order_id"], r["_status"], r["validation_status"]) for r in first[1]} == {
+        ("C-1", "PENDING", "NEGATIVE_VALUE"),
+        ("C-2", "PENDING", "NEGATIVE_VALUE"),
+        ("D-1", "PENDING", "INVALID"),
+        ("D-2", "PENDING", "INVALID"),
+    }
+    assert len(first[2]) == len(MICRO_BATCH)
     run(spark, layers, events(*MICRO_BATCH))
     assert snapshot(spark, layers) == first
 
@@ -70,9 +84,9 @@ def test_redelivery_options(spark, layers, events):
 def test_replay_does_not_reopen_a_closed_review(spark, layers, events):
     run(spark, layers, events(*MICRO_BATCH))
     closed = current_table(spark, layers.pending).withColumn("_status", F.lit("REJECTED"))
-    upsert_table(closed, layers.pending, ["order_id", "ingest_id"])
+    upsert_table(closed, layers.pending, PENDING_KEYS)
     run(spark, layers, events(*MICRO_BATCH))
-    assert [r["_status"] for r in current_table(spark, layers.pending).collect()] == ["REJECTED"]
+    assert [r["_status"] for r in current_table(spark, layers.pending).collect()] == ["REJECTED"] * len(HELD)
 
 
 def test_alerts_are_advisory(spark, layers, events):
@@ -80,7 +94,6 @@ def test_alerts_are_advisory(spark, layers, events):
     # An empty status hides the negative amount, so the row reaches the clean table.
     run(spark, layers, events(("1", "o", "c", "", "2026-01-01 10:00:00", "-5")), on_alert=alerts.append)
     assert alerts == ["quality check at_least_0(parsed_payment_value) failed for 1 of 1 rows"]
-    assert current_table(spark, layers.silver).count() == 1
     run(spark, layers, events(*MICRO_BATCH), 1, on_alert=alerts.append)
     assert len(alerts) == 1
 
@@ -119,8 +132,8 @@ def test_new_checkpoint_keeps_older_bronze(spark, layers, events, tmp_path):
     events(*MICRO_BATCH).write.parquet(f"{tmp_path}/in")
     for n in range(2):
         start_pipeline(file_stream(spark, f"{tmp_path}/in"), layers, f"{tmp_path}/cp{n}", trigger=None).awaitTermination()
-    assert current_table(spark, layers.bronze).count() == 6
-    assert current_table(spark, layers.silver).count() == 2
+    assert current_table(spark, layers.bronze).count() == 2 * len(MICRO_BATCH)
+    assert current_table(spark, layers.silver).count() == len(SOUND | REPAIRED)
 
 
 def test_interval_trigger(spark, tmp_path, layers, events):
@@ -128,7 +141,7 @@ def test_interval_trigger(spark, tmp_path, layers, events):
     q = start_pipeline(file_stream(spark, f"{tmp_path}/in"), layers, f"{tmp_path}/cp", trigger="1 second")
     q.processAllAvailable()
     q.stop()
-    assert current_table(spark, layers.silver).count() == 2
+    assert current_table(spark, layers.silver).count() == len(SOUND | REPAIRED)
 
 
 def test_failed_batch_is_replayed_whole(spark, tmp_path, layers, events):
@@ -143,8 +156,27 @@ def test_failed_batch_is_replayed_whole(spark, tmp_path, layers, events):
         raise AssertionError("the batch should have failed")
     except Exception as error:
         assert "silver_pending_review" in str(error)
-    assert current_table(spark, missing.bronze).count() == 3 and current_table(spark, missing.silver).count() == 0
+    assert current_table(spark, missing.bronze).count() == len(MICRO_BATCH)
+    assert current_table(spark, missing.silver).count() == 0
     create_layers(spark, missing, location=f"{tmp_path}/lake2")
     start_pipeline(file_stream(spark, f"{tmp_path}/in"), missing, f"{tmp_path}/cp", trigger=None).awaitTermination()
-    assert current_table(spark, missing.bronze).count() == 3 and current_table(spark, missing.silver).count() == 2
-    assert current_table(spark, missing.pending).count() == 1
+    assert current_table(spark, missing.bronze).count() == len(MICRO_BATCH)
+    assert {r["order_id"] for r in current_table(spark, missing.silver).collect()} == SOUND | REPAIRED
+    assert {r["order_id"] for r in current_table(spark, missing.pending).collect()} == HELD
+
+
+def test_unreadable_payloads_and_blank_ids_are_all_kept(spark, tmp_path, layers):
+    for part in (["{a", "{b", "{a"], ["{a", "{c"]):
+        spark.createDataFrame([(p.encode(),) for p in part], "value binary").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        for checkpoint in ("cp", f"again{len(part)}"):
+            raw = file_stream(spark, f"{tmp_path}/in", "value binary", position=True)
+            start_pipeline(decode_events(raw, origin=True), layers, f"{tmp_path}/{checkpoint}", trigger=None).awaitTermination()
+    kept = sorted(r["payload"] for r in current_table(spark, layers.pending).collect())
+    assert kept == ["{a", "{a", "{a", "{b", "{c"]
+
+
+def test_rows_with_the_same_ids_are_all_kept(spark, layers, events):
+    rows = [("9", "", f"c{k}", "s", "2031-01-01 00:00:00", "1") for k in range(3)]
+    run(spark, layers, events(*rows, rows[0]), 0)
+    run(spark, layers, events(*rows, ("9", "", "c9", "s", "2031-01-01 00:00:00", "1")), 1)
+    assert sorted(r["customer_id"] for r in current_table(spark, layers.pending).collect()) == ["c0", "c1", "c2", "c9"]

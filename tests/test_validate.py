@@ -11,9 +11,9 @@ DAY = "2026-01-01 10:00:00"
 
 # status, amount, order id, customer id, time -> label, route
 TABLE = [
-    (("delivered", "150.00", "o", "c", DAY), "VALID", "clean"),
-    (("", "50.25", "o", "c", DAY), "EMPTY_STATUS", "clean"),
-    (("shipped", "-250.00", "o", "c", DAY), "NEGATIVE_VALUE", "quarantine"),
+    (("packed", "1e3", "o", "c", DAY), "VALID", "clean"),
+    (("", "7.125", "o", "c", DAY), "EMPTY_STATUS", "clean"),
+    (("shipped", "-1_000", "o", "c", DAY), "NEGATIVE_VALUE", "quarantine"),
     (("", "-5", "o", "c", DAY), "EMPTY_STATUS", "clean"),
     (("   ", "5", "o", "c", DAY), "EMPTY_STATUS", "clean"),
     (("shipped", "abc", "o", "c", DAY), "VALID", "clean"),

@@ -6,6 +6,12 @@ and in standard SQL, so that query and check read the same input.
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallywell.plans.ingest import order_events
+
+# Times of delivery of two publishing runs, in milliseconds.
+FIRST_MS, SECOND_MS = 1_700_000_000_000, 1_700_000_060_000
 
 DELIVERIES_CASE = "CASE WHEN o_orderkey % 7 = 0 THEN {two} ELSE {one} END"
 
@@ -32,10 +38,14 @@ FIELDS = {
     ),
 }
 
-# Payments: one line item, one payment; some are not readable, a few not finite.
+# Payments: one line item, one payment; some are not readable, not finite, grouped, with exponents or very large.
 PAYMENT_TEXT = (
     "CASE WHEN l_orderkey % 59 = 0 AND l_linenumber = 1 THEN 'n/a' "
     "WHEN l_orderkey % 601 = 0 AND l_linenumber = 2 THEN 'NaN' "
+    "WHEN l_orderkey % 67 = 0 AND l_linenumber = 1 THEN '1_000.5' "
+    "WHEN l_orderkey % 73 = 0 AND l_linenumber = 1 THEN '12.5e2' "
+    "WHEN l_orderkey % 97 = 0 AND l_linenumber = 1 THEN '1e19' "
+    "WHEN l_orderkey % 401 = 0 AND l_linenumber = 1 THEN '-1e40' "
     "ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) END"
 )
 
@@ -80,6 +90,14 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def republished_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two publishes of all orders at one purchase time each: first as processing, later as they are."""
+    payments = raw_payments(spark, sf_dir)
+    orders = raw_orders(spark, sf_dir)
+    early = order_events(orders.withColumn("order_status", F.lit("processing")), payments, delivered_at=F.lit(FIRST_MS))
+    return early, order_events(orders, payments, delivered_at=F.lit(SECOND_MS))
+
+
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(
         "CAST(l_orderkey AS STRING) AS order_id", f"{PAYMENT_TEXT} AS payment_value"

@@ -1,6 +1,6 @@
 """The registered queries as standard SQL over the same tables, for checking results."""
 
-from workload.events import DELIVERIES_CASE, FIELDS, PAYMENT_TEXT
+from workload.events import DELIVERIES_CASE, FIELDS, FIRST_MS, PAYMENT_TEXT
 
 _BLANK = r"'^\s*$'"
 _NUMBER = r"'^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$'"
@@ -126,7 +126,7 @@ _STEPS = {
                'VALID' AS validation_status, true AS _is_remediated, 'HUMAN_OVERRIDE' AS _remediation_rule
         FROM decided WHERE verdict = 'APPROVED'""",
     "updates": "SELECT * FROM "
-    + _latest("approved", "order_id, CASE WHEN order_id IS NULL THEN ingest_id END", "ingest_id DESC"),
+    + _latest("approved", "coalesce(order_id, ''), CASE WHEN coalesce(order_id, '') = '' THEN ingest_id END", "ingest_id DESC"),
     "reviewed": f"""
         SELECT a.* REPLACE (coalesce(b.verdict, a._status) AS _status)
         FROM pending a LEFT JOIN final b ON {_SAME_DELIVERY}""",
@@ -268,11 +268,12 @@ _FAULTS = """
 _PAYMENTS = f"""
     SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
            o_orderstatus AS order_status, CAST(o_orderdate AS VARCHAR) AS order_purchase_timestamp,
-           CASE WHEN nans > 0 THEN 'nan' ELSE CAST(coalesce(paid, 0.00) AS VARCHAR) END AS payment_value
+           CASE WHEN nans > 0 THEN 'nan' WHEN huge > 0 THEN '-inf'
+                ELSE CAST(CAST(coalesce(paid, 0.00) AS DECIMAL(38,2)) AS VARCHAR) END AS payment_value
     FROM orders LEFT JOIN (
-        SELECT l_orderkey, sum(coalesce(CASE WHEN amount NOT IN ('n/a', 'NaN') THEN
-                               CAST(amount AS DECIMAL(18,2)) END, 0.00)) AS paid,
-               count(*) FILTER (amount = 'NaN') AS nans
+        SELECT l_orderkey, sum(coalesce(CASE WHEN amount NOT IN ('n/a', 'NaN', '-1e40') THEN
+                               CAST(replace(amount, '_', '') AS DECIMAL(30,2)) END, 0.00)) AS paid,
+               count(*) FILTER (amount = 'NaN') AS nans, count(*) FILTER (amount = '-1e40') AS huge
         FROM (SELECT l_orderkey, {PAYMENT_TEXT} AS amount FROM lineitem) GROUP BY l_orderkey
     ) ON l_orderkey = o_orderkey"""
 
@@ -281,10 +282,16 @@ _PUBLISHED = f"""
                   substr('89ab', ascii(substr(digest, 4, 1)) % 4 + 1, 1), substr(digest, 5, 3), '-',
                   substr(digest, 8, 12)) AS ingest_id,
            order_id, customer_id, order_status, order_purchase_timestamp, payment_value
-    FROM (SELECT *, lpad(format('{{:x}}', epoch_ms(CAST(order_purchase_timestamp AS TIMESTAMP))), 12, '0') AS stamp,
+    FROM (SELECT *, lpad(format('{{:x}}', {FIRST_MS}), 12, '0') AS stamp,
                  sha256(concat_ws(chr(31), order_id, customer_id, order_status, order_purchase_timestamp,
                                   payment_value)) AS digest FROM ({_PAYMENTS}))"""
 
+def _republished(status: str) -> str:
+    return f"""
+        SELECT order_id, {status} AS order_status, payment_value FROM ({_PAYMENTS})
+        WHERE payment_value NOT IN ('nan', '-inf')"""
+
+
 _MAX_DAILY = (
     "SELECT revenue_date, max(total_orders) AS total_orders, max(gross_revenue) AS gross_revenue, "
     "max(average_order_value) AS average_order_value "
@@ -329,7 +336,12 @@ ORACLES = {
             f"FROM raw WHERE {_ANY_NULL}"
         ),
         "orders_payments_join": _PAYMENTS,
-        "chronological_events": "SELECT * FROM raw",
+        "chronological_events": (
+            "SELECT * EXCLUDE (moment), rank() OVER (ORDER BY moment NULLS FIRST, order_id NULLS FIRST) AS place "
+            "FROM (SELECT *, try_cast(order_purchase_timestamp AS TIMESTAMP) AS moment FROM raw)"
+        ),
+        "redelivery_newest_wins": _republished("order_status"),
+        "upsert_last_batch_wins": _republished("'processing'"),
         "event_envelope": _ENVELOPE,
         "published_events": _PUBLISHED,
         "fault_injection": _FAULTS,
@@ -347,6 +359,13 @@ ORACLES = {
             "(SELECT order_id FROM silver_1 WHERE _is_remediated)"
         ),
         "upsert_pending": _PENDING,
+        "upsert_pending_closed": (
+            f"SELECT * REPLACE (CASE WHEN {_FIRST} THEN 'REJECTED' ELSE _status END AS _status) FROM pending"
+        ),
+        "quarantine_same_ids": (
+            "SELECT DISTINCT '9' AS ingest_id, '' AS order_id, customer_id, order_status, order_purchase_timestamp, "
+            "payment_value FROM raw"
+        ),
         "daily_revenue_model": "SELECT * FROM daily",
         "daily_revenue_all_deliveries": f"SELECT * FROM {_daily('clean')}",
         "daily_revenue_incremental": _incremental(0),
@@ -380,11 +399,30 @@ ORACLES = {
             "SELECT * FROM updates UNION ALL SELECT * FROM silver WHERE order_id NOT IN "
             "(SELECT order_id FROM updates WHERE order_id IS NOT NULL)"
         ),
+        "table_review_twice": (
+            "SELECT * FROM updates UNION ALL SELECT * FROM silver WHERE order_id NOT IN "
+            "(SELECT order_id FROM updates WHERE order_id IS NOT NULL)"
+        ),
+        "table_review_audit": "SELECT * FROM audit",
         "table_review_pending": "SELECT * FROM reviewed",
+        "table_purge_pending": (
+            f"SELECT * EXCLUDE (_is_remediated, _remediation_rule), 'PENDING' AS _status FROM legacy WHERE {_NO_KEY}"
+        ),
+        "table_activity_refresh": "SELECT * FROM activity",
+        "table_full_refresh": "SELECT * FROM daily",
+        "stored_views": "SELECT * FROM daily WHERE revenue_date IS NOT NULL",
+        "contracts_on_tables": _CONTRACTS.replace("legacy_daily", "daily").replace("legacy_activity", "activity").replace("legacy", "silver"),
+        "csv_orders_payments_join": _PAYMENTS,
         "table_purge_silver": f"SELECT * FROM legacy WHERE NOT {_NO_KEY}",
         "table_gold_refresh": _incremental(0),
         "stream_silver": _SILVER,
         "stream_quarantine": _PENDING,
         "stream_bronze": "SELECT *, CAST(0 AS BIGINT) AS batch_id FROM raw",
+        "stream_rate_limited": f"SELECT ingest_id, count(*) OVER (PARTITION BY {_FIRST}) AS in_batch FROM raw",
+        "stream_corrupt_quarantine": " UNION ALL ".join(
+            f"SELECT *, '{layer}' AS layer FROM raw WHERE CAST(ingest_id AS BIGINT) % 3 = 0 "
+            f"UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, '{layer}' FROM range(4)"
+            for layer in ("bronze", "quarantine")
+        ),
     }.items()
 }

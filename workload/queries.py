@@ -4,14 +4,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallywell.operators.ingest import chronological, envelope, inject_faults, join_payments
 from tallywell.operators.keyed import latest_per_key, upsert
 from tallywell.operators.purge import anomalies, without_anomalies, without_blank_days
-from tallywell.operators.quality import alert_messages, contract_results, expectation_results
+from tallywell.operators.quality import CONTRACTS, alert_messages, contract_results, expectation_results
 from tallywell.operators.remediate import EMPTY_STATUS_RULE, repair_column
-from tallywell.operators.report import BREAKDOWNS, inspect_layers, top_rows
-from tallywell.operators.review import ReviewOutcome, apply_decisions, pending_queue
+from tallywell.operators.report import BREAKDOWNS, breakdown, inspect_layers, top_rows
+from tallywell.operators.review import ORDER_KEYS, ReviewOutcome, apply_decisions, pending_queue
 from tallywell.operators.validate import Policy, clean_rows, classify, quarantined_rows, violations
 from tallywell.plans.gold import (
     customer_activity,
@@ -19,12 +20,13 @@ from tallywell.plans.gold import (
     daily_revenue_merged,
     one_row_per_key,
     published_files,
+    create_views,
     refresh_customer_activity,
     refresh_daily_revenue,
 )
 from tallywell.plans.governance import purge_job, review_job
 from tallywell.plans.ingest import order_events
-from tallywell.schemas import EVENT_FIELDS, EVENT_SCHEMA, SILVER_SCHEMA
+from tallywell.schemas import EVENT_FIELDS, EVENT_SCHEMA, ORIGIN_FIELDS, SILVER_SCHEMA
 from tallywell.sinks import Layers, append_batch, create_layers, upsert_table
 from tallywell.sinks.workspace import shared_folder
 from tallywell.sources import (
@@ -33,12 +35,16 @@ from tallywell.sources import (
     encode_events,
     file_stream,
     read_csv_text,
+    read_raw_orders,
+    read_raw_payments,
     split_structural,
 )
 from tallywell.sources.codec import CORRUPT
 from tallywell.streaming import start_pipeline
 from tallywell.streaming.pipeline import append_pending, merged_pending, pending_from, silver_from
-from workload.events import as_events, raw_events, raw_orders, raw_payments, table
+from workload.events import FIRST_MS, as_events, raw_events, raw_orders, raw_payments, republished_events, table
+
+CONTRACT_TABLES = {c.table for c in CONTRACTS}
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -61,6 +67,11 @@ def _pending(spark: SparkSession, sf_dir: str, delivery: int | None = None) -> D
     return pending_from(_classified(spark, sf_dir, delivery))
 
 
+def _shown(pending: DataFrame) -> DataFrame:
+    """Without the origin, which only unreadable payloads have."""
+    return pending.drop(*ORIGIN_FIELDS)
+
+
 # Scan, decode, ingest
 
 
@@ -107,7 +118,20 @@ def orders_payments_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def chronological_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chronological(raw_events(spark, sf_dir))
+    """With the place of each row: its place in its partition, after the rows of those before. Deliveries of one order at
+    one time get the first of their places."""
+    ordered = chronological(raw_events(spark, sf_dir)).withColumn("__id", F.monotonically_increasing_id())
+    kept = shared_folder(spark, "ordered")
+    ordered.write.parquet(kept)
+    rows = spark.read.parquet(kept).withColumn("__part", F.shiftright("__id", 33))
+    # One row for each partition.
+    sizes = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("__part", F.coalesce(before, F.lit(0)).alias("start"))
+    place = F.col("start") + F.col("__id").bitwiseAND((1 << 33) - 1) + 1
+    placed = rows.join(F.broadcast(starts), "__part").select(*EVENT_FIELDS, place.alias("place"))
+    same = Window.partitionBy("order_purchase_timestamp", "order_id")
+    return placed.withColumn("place", F.min("place").over(same))
 
 
 @query
@@ -122,7 +146,22 @@ def event_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def published_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders and payments to events, as the publishing job sends them."""
-    return order_events(raw_orders(spark, sf_dir), raw_payments(spark, sf_dir))
+    return order_events(raw_orders(spark, sf_dir), raw_payments(spark, sf_dir), delivered_at=F.lit(FIRST_MS))
+
+
+@query
+def redelivery_newest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders are published twice; within a batch the later delivery counts."""
+    early, late = republished_events(spark, sf_dir)
+    silver = silver_from(classify(late.unionByName(early)))
+    return silver.select("order_id", "order_status", "payment_value")
+
+
+@query
+def upsert_last_batch_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older delivery arrives in a later batch: by default the last batch counts."""
+    early, late = (silver_from(classify(e)) for e in republished_events(spark, sf_dir))
+    return upsert(late, early, ["order_id"]).select("order_id", "order_status", "payment_value")
 
 
 @query
@@ -197,7 +236,22 @@ def upsert_silver_protected(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def upsert_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second load repeats all of the first: nothing is inserted twice."""
-    return merged_pending(_pending(spark, sf_dir, 1), _pending(spark, sf_dir))
+    return _shown(merged_pending(_pending(spark, sf_dir, 1), _pending(spark, sf_dir)))
+
+
+@query
+def upsert_pending_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews of the first load are closed; loading all again opens only what was not there."""
+    closed = _pending(spark, sf_dir, 1).withColumn("_status", F.lit("REJECTED"))
+    return _shown(merged_pending(closed, _pending(spark, sf_dir)))
+
+
+@query
+def quarantine_same_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All deliveries lose their ids: rows that differ in anything else stay apart."""
+    lost = raw_events(spark, sf_dir).withColumns({"ingest_id": F.lit("9"), "order_id": F.lit("")})
+    pending = pending_from(classify(lost))
+    return merged_pending(pending, pending).select(*EVENT_FIELDS)
 
 
 # Gold
@@ -299,7 +353,7 @@ def _review(spark: SparkSession, sf_dir: str) -> ReviewOutcome:
 
 @query
 def pending_queue_open(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pending_queue(_review(spark, sf_dir).pending)
+    return _shown(pending_queue(_review(spark, sf_dir).pending))
 
 
 @query
@@ -309,7 +363,7 @@ def review_silver_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def review_pending_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _review(spark, sf_dir).pending
+    return _shown(_review(spark, sf_dir).pending)
 
 
 @query
@@ -335,7 +389,7 @@ def purge_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def purge_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return anomalies(_legacy_silver(spark, sf_dir))
+    return _shown(anomalies(_legacy_silver(spark, sf_dir)))
 
 
 # Quality and inspection
@@ -370,6 +424,7 @@ def inspect_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = _silver(spark, sf_dir)
     outcome = _review(spark, sf_dir)
     return inspect_layers(
+        spark,
         {
             "bronze_transactions": raw_events(spark, sf_dir),
             "silver_transactions": silver,
@@ -377,14 +432,14 @@ def inspect_report(spark: SparkSession, sf_dir: str) -> DataFrame:
             "audit_log": outcome.audit,
             "daily_revenue": daily_revenue(silver, order_ids_unique=True),
             "customer_activity": None,
-        }
+        },
     )
 
 
 @query
 def inspect_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = BREAKDOWNS["silver_transactions"]
-    return _silver(spark, sf_dir).groupBy(*columns).agg(F.count(F.lit(1)).alias("count"))
+    return breakdown(_silver(spark, sf_dir), columns)
 
 
 @query
@@ -412,7 +467,7 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     append_batch(raw_events(spark, sf_dir, 1), layers.bronze, "orders", 0)
     for _ in range(2):
         append_batch(raw_events(spark, sf_dir, 2), layers.bronze, "orders", 1)
-    return current_table(spark, layers.bronze).drop("ingested_at", "stream_id")
+    return current_table(spark, layers.bronze).drop("ingested_at", "stream_id", *ORIGIN_FIELDS)
 
 
 @query
@@ -433,7 +488,24 @@ def table_review_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def table_review_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _reviewed_layers(spark, sf_dir)
-    return current_table(spark, layers.pending)
+    return _shown(current_table(spark, layers.pending))
+
+
+@query
+def table_review_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return current_table(spark, _reviewed_layers(spark, sf_dir).audit)
+
+
+@query
+def table_review_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job stops after its first write and is repeated: approved rows without order id are not doubled."""
+    layers = _fresh_layers(spark)
+    upsert_table(_silver(spark, sf_dir), layers.silver, ["order_id"])
+    append_pending(_pending(spark, sf_dir), layers)
+    upsert_table(_review(spark, sf_dir).silver_updates, layers.silver, ORDER_KEYS)
+    for _ in range(2):
+        review_job(spark, layers, decisions(spark, sf_dir))
+    return current_table(spark, layers.silver)
 
 
 def _reviewed_layers(spark: SparkSession, sf_dir: str) -> Layers:
@@ -452,6 +524,67 @@ def table_purge_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_table(spark, layers.silver)
 
 
+@query
+def table_purge_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the purged rows go; the job is repeated."""
+    layers = _fresh_layers(spark)
+    upsert_table(_legacy_silver(spark, sf_dir), layers.silver, ["ingest_id"])
+    purge_job(spark, layers)
+    purge_job(spark, layers)
+    return _shown(current_table(spark, layers.pending))
+
+
+@query
+def table_activity_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer activity is built anew on each refresh."""
+    layers = _fresh_layers(spark)
+    for delivery in (1, None):
+        upsert_table(_silver(spark, sf_dir, delivery), layers.silver, ["order_id"])
+        refresh_customer_activity(spark, layers)
+    return current_table(spark, layers.customer_activity)
+
+
+@query
+def table_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue of the first deliveries, then all of silver, built anew."""
+    layers = _fresh_layers(spark)
+    upsert_table(_silver(spark, sf_dir, 1), layers.silver, ["order_id"])
+    refresh_daily_revenue(spark, layers)
+    upsert_table(_silver(spark, sf_dir), layers.silver, ["order_id"])
+    refresh_daily_revenue(spark, layers, full_refresh=True)
+    return current_table(spark, layers.daily_revenue)
+
+
+@query
+def stored_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reporting view of revenue, read by name from the catalog."""
+    layers = _fresh_layers(spark)
+    upsert_table(_silver(spark, sf_dir), layers.silver, ["order_id"])
+    refresh_daily_revenue(spark, layers)
+    refresh_customer_activity(spark, layers)
+    create_views(spark, layers)
+    return spark.table(f"{layers.schema('gold_finance')}.v_daily_revenue")
+
+
+@query
+def contracts_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contracts over the stored tables."""
+    layers = _fresh_layers(spark)
+    upsert_table(_silver(spark, sf_dir), layers.silver, ["order_id"])
+    refresh_daily_revenue(spark, layers)
+    refresh_customer_activity(spark, layers)
+    return contract_results({k: v for k, v in layers.frames(spark).items() if v is not None and k in CONTRACT_TABLES})
+
+
+@query
+def csv_orders_payments_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and payments as the CSV files that the publishing job reads."""
+    folder = shared_folder(spark, "raw")
+    for name, rows in (("orders", raw_orders(spark, sf_dir)), ("payments", raw_payments(spark, sf_dir))):
+        rows.write.option("header", True).csv(f"{folder}/{name}")
+    return join_payments(read_raw_orders(spark, f"{folder}/orders"), read_raw_payments(spark, f"{folder}/payments"))
+
+
 @query
 def table_gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full build, more silver rows, then the incremental merge of stored gold."""
@@ -486,10 +619,54 @@ def _streamed_from_table(spark: SparkSession, sf_dir: str) -> Layers:
 
 @query
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return current_table(spark, _streamed_from_table(spark, sf_dir).pending)
+    return _shown(current_table(spark, _streamed_from_table(spark, sf_dir).pending))
 
 
 @query
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = current_table(spark, _streamed_from_table(spark, sf_dir).bronze)
-    return bronze.drop("ingested_at", "stream_id")
+    return bronze.drop("ingested_at", "stream_id", *ORIGIN_FIELDS)
+
+
+@query
+def stream_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file a batch, and one file without rows, whose batch writes nothing: each delivery with its batch's size."""
+    layers, inbox = _fresh_layers(spark), shared_folder(spark, "inbox")
+    for delivery in (1, 2):
+        raw_events(spark, sf_dir, delivery).coalesce(1).write.mode("append").parquet(inbox)
+    raw_events(spark, sf_dir, 1).filter("false").coalesce(1).write.mode("append").parquet(inbox)
+    stream = file_stream(spark, inbox, max_files_per_trigger=1)
+    start_pipeline(stream, layers, shared_folder(spark, "offsets"), trigger=None).awaitTermination()
+    bronze = current_table(spark, layers.bronze)
+    sizes = bronze.groupBy("batch_id").agg(F.count(F.lit(1)).alias("in_batch"))
+    return bronze.join(sizes, "batch_id").select("ingest_id", "in_batch")
+
+
+@query
+def stream_corrupt_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third payload is spoiled, alike for all; two batches, then all of it again. What bronze and quarantine keep
+    of each spoiled payload, read back."""
+    layers, inbox, checkpoint = _fresh_layers(spark), shared_folder(spark, "inbox"), shared_folder(spark, "offsets")
+
+    def stream(offsets: str) -> None:
+        raw = file_stream(spark, inbox, "value binary", position=True)
+        start_pipeline(decode_events(raw, origin=True), layers, offsets, trigger=None).awaitTermination()
+
+    spoil = F.col("ingest_id").cast("bigint") % 3 == 0
+    for delivery in (1, 2):
+        events = raw_events(spark, sf_dir, delivery)
+        broken = encode_events(events.filter(spoil)).select(F.concat(F.lit("{broken").cast("binary"), "value").alias("value"))
+        broken.unionByName(encode_events(events.filter(~spoil))).write.mode("append").parquet(inbox)
+        # The same garbage twice: nothing but its place tells one from the other.
+        spark.range(2).select(F.lit("garbage").cast("binary").alias("value")).coalesce(1).write.mode("append").parquet(inbox)
+        stream(checkpoint)
+    first = current_table(spark, layers.bronze).select("stream_id").distinct().first()[0]
+    stream(shared_folder(spark, "offsets"))
+
+    def read(layer: str, rows: DataFrame) -> DataFrame:
+        payload = rows.filter("payload IS NOT NULL").select(F.regexp_replace("payload", r"^\{broken", "").alias("value"))
+        return decode_events(payload).withColumn("layer", F.lit(layer))
+
+    bronze = current_table(spark, layers.bronze).filter(F.col("stream_id") == first)
+    return read("bronze", bronze).unionByName(read("quarantine", current_table(spark, layers.pending)))
+
