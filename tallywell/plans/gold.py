@@ -5,7 +5,6 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywell.functions import is_blank
 from tallywell.operators.keyed import upsert
 from tallywell.schemas import CUSTOMER_ACTIVITY_SCHEMA, DAILY_REVENUE_SCHEMA, MONEY
 from tallywell.sinks.layers import Layers
