@@ -2,7 +2,6 @@ import random
 
 import numpy as np
 import pytest
-from conftest_llm import ODD  # noqa: F401
 
 from tallywell.llm import topk
 from tallywell.llm.topk import quantised, top_k
