@@ -8,8 +8,9 @@ Only pieces whose anchor occurs at least twice matter. Anchors are counted over
 of fixed size, sent to all tasks, then drops most others while the documents are read again. What passes the sieve by
 chance meets nothing and changes nothing.
 
-Pieces of one content are one row, so copies, however many, are searched once. An anchor with very many different pieces
-(a phrase that stands in many contexts) is dealt out again, by window: see ``searched``.
+The pieces of an anchor meet in one bucket, packed by bucket where they are made. An anchor that occurs very often is
+crowded: copied many times over, or a phrase in many contexts. Its pieces go another way, see ``crowded_spans``: they
+are first reduced to one row for each content, and then dealt out by the content of each window.
 """
 
 from collections.abc import Callable, Iterable, Iterator
@@ -20,20 +21,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywell.llm.common import keep, mixed, ranges, run_hashes, signed, span_hashes, strings, text_chunks, texts_of, word_spans
+from tallywell.llm.common import byte_array, keep, mixed, ranges, release, run_hashes, signed, span_hashes, strings, text_chunks, texts_of, word_spans
 
 #: Bytes of text worked on at a time.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 #: Windows in a piece at most; a longer run of one anchor becomes several pieces.
 LONGEST = 256
 #: Bits kept of an anchor. Two anchors that fall together only bring pieces together that do not match.
 ANCHOR_BITS = 48
 SIEVE_BITS = 28
 _SIEVE_BLOCK = 15
-#: An anchor with more different pieces is dealt out by window.
-CROWDED = 2000
-#: Bytes of pieces searched together, on average.
-BUCKET_BYTES = 1 << 20
+CROWDED_SIEVE_BITS = 24
+#: Bytes of pieces searched together, on average. An anchor whose pieces alone have more is crowded.
+BUCKET_BYTES = 4 << 20
 
 
 _BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
@@ -49,6 +49,16 @@ class Units:
     words: bool
     inner: bool
 
+    @property
+    def piece_bytes(self) -> int:
+        """About so many bytes has a piece; it sets the number of buckets and when an anchor is crowded."""
+        return self.width * (10 if self.words else 2)
+
+    @property
+    def crowded(self) -> int:
+        """An anchor that occurs more often is crowded."""
+        return max(1, BUCKET_BYTES // self.piece_bytes)
+
     def split(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Hash, start and end of each unit, and the number of each text's first unit (one more at the end)."""
         if self.words:
@@ -119,7 +129,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_anchors(rows: DataFrame, units: Units) -> DataFrame:
-    """``anchor``: those of two or more texts, and those whose units occur twice in a text."""
+    """``anchor`` and ``n``, how often it occurs: those of two or more texts, and those whose units occur twice in one."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, bounds in text_chunks(batches, limit=CHUNK):
@@ -134,13 +144,13 @@ def repeated_anchors(rows: DataFrame, units: Units) -> DataFrame:
             np.add.at(n, np.searchsorted(anchors, found.anchor[found.twice]), 1)
             yield pa.RecordBatch.from_arrays([pa.array(anchors), pa.array(n.astype(np.int64))], ["anchor", "n"])
 
-    return rows.select("text").mapInArrow(count, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor")
+    return rows.select("text").mapInArrow(count, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1")
 
 
-def sieve(anchors: DataFrame):
-    """A bit for each value that an anchor's last SIEVE_BITS bits can take, as a broadcast of fixed size."""
+def sieve(anchors: DataFrame, size_bits: int = SIEVE_BITS):
+    """A bit for each value that an anchor's last ``size_bits`` bits can take, as a broadcast of fixed size."""
     spark = anchors.sparkSession
-    places = anchors.select(F.col("anchor").bitwiseAND((1 << SIEVE_BITS) - 1).alias("place")).distinct()
+    places = anchors.select(F.col("anchor").bitwiseAND((1 << size_bits) - 1).alias("place")).distinct()
 
     def block(rows: pa.Table) -> pa.Table:
         places = rows.column("place").to_numpy()
@@ -149,7 +159,7 @@ def sieve(anchors: DataFrame):
         return pa.table({"block": [int(places[0]) >> _SIEVE_BLOCK], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
     blocks = places.groupBy(F.shiftright("place", _SIEVE_BLOCK).alias("b")).applyInArrow(block, "block long, bits binary")
-    out = np.zeros(1 << (SIEVE_BITS - 3), np.uint8)
+    out = np.zeros(1 << (size_bits - 3), np.uint8)
     size = 1 << (_SIEVE_BLOCK - 3)
     for r in blocks.toLocalIterator():
         out[r.block * size : (r.block + 1) * size] = np.frombuffer(bytes(r.bits), np.uint8)
@@ -157,37 +167,40 @@ def sieve(anchors: DataFrame):
 
 
 def passes(bits: np.ndarray, anchors: np.ndarray) -> np.ndarray:
-    low = anchors & ((1 << SIEVE_BITS) - 1)
+    low = anchors & (8 * len(bits) - 1)
     return (bits[low >> 3] >> (low & 7).astype(np.uint8)) & 1 == 1
 
 
-PIECE = "anchor long, d long, t long, at int, n int"
-
-
-def found_pieces(rows: DataFrame, units: Units, sieve, content: bool) -> DataFrame:
-    """The pieces that pass the sieve: anchor, document (d, t), first window (at), windows (n), and either their content
-    (the units' bytes, words joined by single spaces) or a hash of it (c)."""
-
-    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, bounds in text_chunks(batches, limit=CHUNK):
-            hashes, starts, ends, first = units.split(data, bounds)
-            p = pieces(hashes, first, units)
-            some = np.flatnonzero(passes(sieve.value, p.anchor))
-            if not len(some):
-                continue
-            start, count, text = p.start[some], p.count[some], p.text[some]
-            last = start + count + units.width - 2
-            columns = [pa.array(p.anchor[some]), part.column("d").take(pa.array(text)), part.column("t").take(pa.array(text))]
-            columns += [pa.array((start - first[text]).astype(np.int32)), pa.array(count.astype(np.int32))]
-            joined, at, to = _joined(data, starts, ends, start, last) if units.words else (data, starts[start], ends[last])
-            if content:
-                lengths = to - at
-                values = strings(joined[ranges(at, lengths)], np.concatenate([[0], np.cumsum(lengths)])).cast(pa.binary())
-            else:
-                values = pa.array(signed(span_hashes(joined, at, to)))
-            yield pa.RecordBatch.from_arrays([*columns, values], ["anchor", "d", "t", "at", "n", "c"])
+@dataclass
+class Found:
+    """Of a chunk: the pieces that pass the sieve, whether they are crowded, and where their contents lie in ``data``."""
 
-    return rows.select("d", "t", "text").mapInArrow(scan, PIECE + (", c binary" if content else ", c long"))
+    start: np.ndarray
+    count: np.ndarray
+    text: np.ndarray
+    anchor: np.ndarray
+    at: np.ndarray
+    crowd: np.ndarray
+    data: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
+
+    def contents(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lengths = (self.ends - self.begins)[chosen]
+        return self.data[ranges(self.begins[chosen], lengths)], np.concatenate([[0], np.cumsum(lengths)])
+
+
+def _found(data: np.ndarray, bounds: np.ndarray, units: Units, bits: np.ndarray, crowds: np.ndarray) -> Found:
+    hashes, starts, ends, first = units.split(data, bounds)
+    p = pieces(hashes, first, units)
+    some = np.flatnonzero(passes(bits, p.anchor))
+    start, count, text, anchor = p.start[some], p.count[some], p.text[some], p.anchor[some]
+    last = start + count + units.width - 2
+    if units.words:
+        data, begins, stops = _joined(data, starts, ends, start, last)
+    else:
+        begins, stops = start, last + 1
+    return Found(start, count, text, anchor, start - first[text], passes(crowds, anchor), data, begins, stops)
 
 
 def _joined(data, starts, ends, first, last) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -199,51 +212,127 @@ def _joined(data, starts, ends, first, last) -> tuple[np.ndarray, np.ndarray, np
     return out, at[first], at[last + 1] - 1
 
 
-#: What a search gives for each piece: stretches of windows and where the first occurrence of each lies.
-FIRSTS = "array<struct<w:int,n:int,d:long,t:long,at:int>>"
-SEARCHED = f"anchor long, c long, firsts {FIRSTS}"
-
 #: From contents and their anchors, sorted by first occurrence: for each window of each content, one content after the
 #: other, the number of the content and the window in it where it occurs first.
 Search = Callable[[list[bytes], np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
-def searched(rows: DataFrame, units: Units, sieve, search: Search) -> DataFrame:
-    """anchor, c (hash of a piece's content) and ``firsts``: the first occurrence of each of its windows.
+@dataclass
+class Stretches:
+    """Windows of different contents, in stretches: content, first window, windows, and the content (``owner``) and
+    window in it (``place``) where the first of them occurs first; the others follow there one by one."""
 
-    Pieces are dealt into buckets by anchor; the pieces of a crowded anchor, by each window's own content.
-    """
-    own = keep(
-        found_pieces(rows, units, sieve, True).groupBy("anchor", "c").agg(F.min(F.struct("d", "t", "at")).alias("first")), "pieces"
-    )
-    sizes = own.groupBy("anchor").agg(F.count(F.lit(1)).alias("pieces"), F.sum(F.octet_length("c")).alias("bytes"))
-    total = sizes.agg(F.sum("bytes")).first()[0] or 0
-    crowded = keep(sizes.filter(F.col("pieces") > CROWDED).select("anchor", F.lit(True).alias("crowd")), "crowded")
-    buckets = max(1, -(-total // BUCKET_BYTES))
-    marked = own.join(crowded, "anchor", "left")
-
-    def bucketed(pieces: DataFrame, bucket) -> DataFrame:
-        held = pieces.withColumn("bucket", F.pmod(bucket, F.lit(buckets)))
-        return held.groupBy("bucket").applyInArrow(lambda t: _searched(t, search), SEARCHED)
-
-    plain = marked.filter("crowd IS NULL").drop("crowd")
-    usual = bucketed(plain, F.xxhash64("anchor"))
-    if crowded.isEmpty():
-        return usual
-    windows = keep(_windows(marked.filter("crowd").drop("crowd"), units), "windows")
-    each = windows.groupBy("anchor", "c").agg(F.min(F.struct("d", "t", "at")).alias("first"))
-    firsts = bucketed(each, F.xxhash64("c")).select("anchor", F.col("c").alias("window"), F.col("firsts")[0].alias("f"))
-    back = (
-        windows.select("anchor", "piece", "w", "window")
-        .join(firsts, ["anchor", "window"])
-        .groupBy("anchor", F.col("piece").alias("c"))
-        .agg(F.sort_array(F.collect_list(F.struct("w", F.lit(1).alias("n"), "f.d", "f.t", "f.at"))).alias("firsts"))
+    number: np.ndarray
+    w: np.ndarray
+    n: np.ndarray
+    owner: np.ndarray
+    place: np.ndarray
+
+
+def _stretches(contents: list[bytes], anchor: np.ndarray, search: Search) -> Stretches:
+    number, owner, place = search(contents, anchor)
+    w = np.arange(len(number)) - np.searchsorted(number, number)
+    new = np.ones(len(number), bool)
+    new[1:] = (number[1:] != number[:-1]) | (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + 1)
+    begin = np.flatnonzero(new)
+    return Stretches(number[begin], w[begin], np.diff(np.append(begin, len(number))), owner[begin], place[begin])
+
+
+# the usual way: all pieces of an anchor in one bucket ------------------------------------------------
+
+PACKED = "bucket long, d array<long>, t array<long>, at array<int>, n array<int>, anchor array<int>, size array<int>, contents binary"
+SPANS = "d long, t long, a int, b int"
+
+
+def packed_pieces(rows: DataFrame, units: Units, bits, crowds, buckets: int) -> DataFrame:
+    """The pieces that are not crowded: of each chunk a row for each bucket."""
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, bounds in text_chunks(batches, limit=CHUNK):
+            f = _found(data, bounds, units, bits.value, crowds.value)
+            bucket = mixed(f.anchor.view(np.uint64)) % np.uint64(buckets)
+            chosen = np.flatnonzero(~f.crowd)
+            chosen = chosen[np.argsort(bucket[chosen], kind="stable")]
+            if not len(chosen):
+                continue
+            bucket = bucket[chosen]
+            edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            lists = pa.array(np.append(edge, len(chosen)).astype(np.int32))
+            contents, at = f.contents(chosen)
+            d, t = (part.column(c).to_numpy()[f.text[chosen]] for c in ("d", "t"))
+            values = [d, t, f.at[chosen].astype(np.int32), f.count[chosen].astype(np.int32)]
+            values += [f.anchor[chosen].astype(np.int32), np.diff(at).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(bucket[edge].view(np.int64)),
+                    *(pa.ListArray.from_arrays(lists, pa.array(v)) for v in values),
+                    strings(contents, at[np.append(edge, len(chosen))]).cast(pa.binary()),
+                ],
+                [x.split()[0] for x in PACKED.split(", ")],
+            )
+
+    return rows.select("d", "t", "text").mapInArrow(scan, PACKED)
+
+
+def _bucket_spans(rows: pa.Table, units: Units, search: Search) -> pa.Table:
+    d, t, at, n, anchor, size = (
+        pa.concat_arrays([c.flatten() for c in rows.column(name).chunks]).to_numpy()
+        for name in ("d", "t", "at", "n", "anchor", "size")
     )
-    return usual.union(back.select("anchor", "c", F.col("firsts").cast(FIRSTS)))
+    at = at.astype(np.int64)
+    data, _ = byte_array(rows.column("contents"))
+    coded = strings(data, np.concatenate([[0], np.cumsum(size.astype(np.int64))])).dictionary_encode()
+    code = coded.indices.to_numpy()
+    # Contents in the order of their first occurrences.
+    order = np.lexsort([at, t, d])
+    _, first = np.unique(code[order], return_index=True)
+    first = np.sort(first)
+    owner = order[first]
+    place = np.empty(len(owner), np.int64)
+    place[code[owner]] = np.arange(len(owner))
+    number = place[code]
+    contents = coded.dictionary.take(pa.array(code[owner])).to_pylist()
+    s = _stretches(contents, anchor[owner], search)
+    # Each occurrence with the stretches of its content.
+    from_, to = np.searchsorted(s.number, number), np.searchsorted(s.number, number, "right")
+    own = np.repeat(np.arange(len(d)), to - from_)
+    k = ranges(from_, to - from_)
+    f, begin = owner[s.owner[k]], at[own] + s.w[k]
+    hit = d[f] < d[own]
+    if units.inner:
+        hit |= (d[f] == d[own]) & ((t[f] < t[own]) | (t[f] == t[own]) & (at[f] + s.place[k] < begin))
+    own, begin, n = own[hit], begin[hit], s.n[k[hit]]
+    end = begin + n + (units.width - 1)
+    return pa.table({"d": d[own], "t": t[own], "a": begin.astype(np.int32), "b": end.astype(np.int32)})
+
+
+# crowded anchors: one row for each content, then one bucket for each window's content -------------------
 
+PIECE = "anchor long, d long, t long, at int, n int"
+FIRSTS = "array<struct<w:int,n:int,d:long,t:long,at:int>>"
+
+
+def crowded_pieces(rows: DataFrame, units: Units, bits, crowds, content: bool) -> DataFrame:
+    """The crowded pieces: anchor, document (d, t), first window (at), windows (n), and c: their content (the units' bytes,
+    words joined by single spaces) or a hash of it."""
 
-def _windows(crowded: DataFrame, units: Units) -> DataFrame:
-    """Each window of each piece as a content of its own, and a hash of the piece and of the window."""
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, bounds in text_chunks(batches, limit=CHUNK):
+            f = _found(data, bounds, units, bits.value, crowds.value)
+            chosen = np.flatnonzero(f.crowd)
+            if not len(chosen):
+                continue
+            text = pa.array(f.text[chosen])
+            values = strings(*f.contents(chosen)).cast(pa.binary()) if content else pa.array(signed(span_hashes(f.data, f.begins[chosen], f.ends[chosen])))
+            columns = [pa.array(f.anchor[chosen]), part.column("d").take(text), part.column("t").take(text)]
+            columns += [pa.array(f.at[chosen].astype(np.int32)), pa.array(f.count[chosen].astype(np.int32)), values]
+            yield pa.RecordBatch.from_arrays(columns, ["anchor", "d", "t", "at", "n", "c"])
+
+    return rows.select("d", "t", "text").mapInArrow(scan, PIECE + (", c binary" if content else ", c long"))
+
+
+def _windows(pieces: DataFrame, units: Units) -> DataFrame:
+    """Each window of each content as a content of its own, with hashes of both."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in text_chunks(batches, "c", CHUNK):
@@ -253,14 +342,12 @@ def _windows(crowded: DataFrame, units: Units) -> DataFrame:
             w = ranges(np.zeros(part.num_rows, np.int64), count)
             begin = first[piece] + w
             at, to = starts[begin], ends[begin + units.width - 1]
-            value = strings(data[ranges(at, to - at)], np.concatenate([[0], np.cumsum(to - at)])).cast(pa.binary())
-            owner = part.column("first")
-            take = pa.array(piece)
+            owner, take = part.column("first"), pa.array(piece)
             columns = {
                 "anchor": part.column("anchor").take(take),
                 "piece": pa.array(signed(span_hashes(data, bounds[:-1], bounds[1:]))).take(take),
                 "w": pa.array(w.astype(np.int32)),
-                "c": value,
+                "c": strings(data[ranges(at, to - at)], np.concatenate([[0], np.cumsum(to - at)])).cast(pa.binary()),
                 "window": pa.array(signed(span_hashes(data, at, to))),
                 "d": owner.field("d").take(take),
                 "t": owner.field("t").take(take),
@@ -268,42 +355,46 @@ def _windows(crowded: DataFrame, units: Units) -> DataFrame:
             }
             yield pa.RecordBatch.from_pydict(columns)
 
-    return crowded.mapInArrow(run, "anchor long, piece long, w int, c binary, window long, d long, t long, at int")
+    return pieces.mapInArrow(run, "anchor long, piece long, w int, c binary, window long, d long, t long, at int")
 
 
-def _searched(rows: pa.Table, search: Search) -> pa.Table:
+def _window_firsts(rows: pa.Table, search: Search) -> pa.Table:
+    """Of contents that are one window each: hash, and where it occurs first."""
     first = rows.column("first").combine_chunks()
     d, t, at = (first.field(x).to_numpy() for x in ("d", "t", "at"))
     order = np.lexsort([at, t, d])
     d, t, at, anchor = d[order], t[order], at[order].astype(np.int64), rows.column("anchor").to_numpy()[order]
-    contents = rows.column("c").combine_chunks().take(pa.array(order)).to_pylist()
-    number, owner, place = search(contents, anchor)
-    # A stretch goes on while both the window and its first occurrence move on by one.
-    w = np.arange(len(number)) - np.searchsorted(number, number)
-    new = np.ones(len(number), bool)
-    new[1:] = (number[1:] != number[:-1]) | (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + 1)
-    begin = np.flatnonzero(new)
-    own = owner[begin]
-    stretches = pa.StructArray.from_arrays(
-        [
-            pa.array(w[begin].astype(np.int32)),
-            pa.array(np.diff(np.append(begin, len(number))).astype(np.int32)),
-            pa.array(d[own]),
-            pa.array(t[own]),
-            pa.array((at[own] + place[begin]).astype(np.int32)),
-        ],
-        ["w", "n", "d", "t", "at"],
-    )
-    lists = np.searchsorted(number[begin], np.arange(len(contents) + 1)).astype(np.int32)
-    data = np.frombuffer(b"".join(contents), np.uint8)
-    bounds = np.concatenate([[0], np.cumsum([len(c) for c in contents])]).astype(np.int64)
+    contents = rows.column("c").combine_chunks().take(pa.array(order))
+    s = _stretches(contents.to_pylist(), anchor, search)
+    data, bounds = byte_array(contents)
+    window = signed(span_hashes(data, bounds[:-1], bounds[1:]))[s.number]
     return pa.table(
-        {
-            "anchor": pa.array(anchor),
-            "c": pa.array(signed(span_hashes(data, bounds[:-1], bounds[1:]))),
-            "firsts": pa.ListArray.from_arrays(pa.array(lists), stretches),
-        }
+        {"anchor": anchor[s.number], "window": window, "d": d[s.owner], "t": t[s.owner], "at": (at[s.owner] + s.place).astype(np.int32)}
+    )
+
+
+def crowded_spans(rows: DataFrame, units: Units, bits, crowds, search: Search) -> DataFrame:
+    """The spans of crowded pieces. A content is searched once, however often it occurs, and what was found for its
+    windows is joined with its occurrences; both joins can be split where a key is hot."""
+    first = F.min(F.struct("d", "t", "at")).alias("first")
+    contents = crowded_pieces(rows, units, bits, crowds, True).groupBy("anchor", "c").agg(first)
+    windows = keep(_windows(contents, units), "windows")
+    each = windows.groupBy("anchor", "c").agg(first)
+    total = windows.agg(F.sum(F.octet_length("c"))).first()[0] or 0
+    bucket = F.pmod(F.xxhash64("c"), F.lit(max(1, -(-total // BUCKET_BYTES))))
+    firsts = each.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(
+        lambda t: _window_firsts(t, search), "anchor long, window long, d long, t long, at int"
     )
+    found = windows.select("anchor", "piece", "w", "window").join(firsts, ["anchor", "window"])
+    # A content has no more than LONGEST windows.
+    found = found.groupBy("anchor", F.col("piece").alias("c")).agg(F.collect_list(F.struct("w", "d", "t", "at")).alias("firsts"))
+    own = crowded_pieces(rows, units, bits, crowds, False).withColumnRenamed("at", "from")
+    at = F.col("from") + F.col("f.w")
+    each = own.join(keep(found, "firsts"), ["anchor", "c"]).select("d", "t", "from", F.explode("firsts").alias("f"))
+    earlier = F.col("f.d") < F.col("d")
+    if units.inner:
+        earlier = F.struct("f.d", "f.t", "f.at") < F.struct("d", "t", at.alias("at"))
+    return each.filter(earlier).select("d", "t", at.alias("a"), (at + units.width).alias("b"))
 
 
 def alone(anchor: np.ndarray) -> np.ndarray:
@@ -312,17 +403,26 @@ def alone(anchor: np.ndarray) -> np.ndarray:
     return n[place] == 1
 
 
-def covered(rows: DataFrame, units: Units, search: Search, earlier: Callable) -> DataFrame:
-    """d, t and ``spans``: for each document, in units, the stretches (a, b) covered by windows whose first occurrence is
-    ``earlier`` than they are. ``earlier(first, own)`` compares columns (d, t, at); stretches may touch or overlap."""
-    bits = sieve(keep(repeated_anchors(rows, units), "anchors"))
-    firsts = keep(searched(rows, units, bits, search), "firsts")
-    own = found_pieces(rows, units, bits, False).withColumnRenamed("at", "from")
-    each = own.join(firsts, ["anchor", "c"]).select("d", "t", "from", F.explode("firsts").alias("f"))
-    at = F.col("from") + F.col("f.w")
-    hit = each.filter(earlier(F.struct("f.d", "f.t", "f.at"), F.struct("d", "t", at.alias("at"))))
-    spans = hit.select("d", "t", F.struct(at.alias("a"), (at + F.col("f.n") + (units.width - 1)).alias("b")).alias("s")).distinct()
-    return spans.groupBy("d", "t").agg(F.sort_array(F.collect_list("s")).alias("spans"))
+def covered(rows: DataFrame, units: Units, search: Search) -> DataFrame:
+    """d, t and ``spans``: for each document, in units, the stretches (a, b) covered by windows that occur earlier: in a document
+    of a smaller d or, if windows can repeat their own document, anywhere earlier by d, t and place. Stretches may overlap.
+    """
+    anchors = keep(repeated_anchors(rows, units), "anchors")
+    bits, crowds = sieve(anchors), sieve(anchors.filter(F.col("n") > units.crowded), CROWDED_SIEVE_BITS)
+    usual = F.col("n") <= units.crowded
+    total, crowded = anchors.agg(F.sum(F.when(usual, F.col("n"))), F.count_if(~usual)).first()
+    buckets = max(1, -(-(total or 0) * units.piece_bytes // BUCKET_BYTES))
+    spans = (
+        packed_pieces(rows, units, bits, crowds, buckets)
+        .groupBy("bucket")
+        .applyInArrow(lambda t: _bucket_spans(t, units, search), SPANS)
+    )
+    if crowded:
+        spans = spans.union(crowded_spans(rows, units, bits, crowds, search))
+    # Repeated rows give the same spans.
+    found = keep(spans.groupBy("d", "t").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("spans")), "spans")
+    release(anchors)
+    return found
 
 
 def cut(rows: DataFrame, spans: DataFrame, units: Units) -> DataFrame:

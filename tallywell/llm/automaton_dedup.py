@@ -11,7 +11,6 @@ can match it, rather than every automaton being sent to every document, which wo
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallywell.llm.anchors import Units, alone, covered, cut, keyed
 
@@ -131,5 +130,5 @@ def deduplicated_words(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) ->
     """
     units = Units(width, gram, True, True)
     rows = keyed(docs)
-    spans = covered(rows, units, lambda c, a: first_words(c, a, width), lambda first, own: first < own)
+    spans = covered(rows, units, lambda c, a: first_words(c, a, width))
     return cut(rows, spans, units)

@@ -110,5 +110,5 @@ def deduplicated_bytes(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) ->
     """
     units = Units(width, gram, False, False)
     rows = keyed(docs)
-    spans = covered(rows, units, lambda c, a: first_bytes(c, a, width), lambda first, own: first["d"] < own["d"])
+    spans = covered(rows, units, lambda c, a: first_bytes(c, a, width))
     return cut(rows, spans, units)

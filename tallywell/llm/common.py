@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from tallywell.sinks.workspace import shared_folder
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: Odd multipliers of the hashes below; any odd 64-bit numbers do, but they have to stay the same.
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -38,10 +40,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written to the shared folder and read again: later steps neither repeat nor lose the work."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows, written to the shared folder and read again: later steps neither repeat nor lose the work.
+
+    Shuffle files of the write are removed once it is done, as nothing reads them again.
+    """
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, name)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    rows = spark.read.schema(df.schema).parquet(path)
+    rows._kept_in = path
+    return rows
+
+
+def release(*kept: DataFrame) -> None:
+    """Remove what ``keep`` wrote, once nothing reads it any more."""
+    for rows in kept:
+        spark = rows.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(rows._kept_in)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def texts_of(docs: DataFrame, *more: str) -> DataFrame:
@@ -133,6 +153,15 @@ def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(starts, bounds)
 
 
+def counted(parts: Iterable[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of all parts and how often each occurs, counted part by part."""
+    found = [np.unique(p, return_counts=True) for p in parts if len(p)]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    values, place = np.unique(np.concatenate([v for v, _ in found]), return_inverse=True)
+    return values, np.bincount(place, weights=np.concatenate([n for _, n in found])).astype(np.int64)
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Every bit of the outcome depends on every bit of ``h`` (uint64)."""
     h = h ^ (h >> np.uint64(30))

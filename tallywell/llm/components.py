@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywell.llm.common import keep
+from tallywell.llm.common import keep, release
 
 
 def _state(pairs: DataFrame) -> tuple:
@@ -27,6 +27,7 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = keep(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
+        last, pairs = pairs, keep(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
+        release(last)
         before, now = now, _state(pairs)
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))

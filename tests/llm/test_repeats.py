@@ -75,21 +75,19 @@ def corpus(seed, unit):
 UNITS = (["ab ", "b", "c é", "d ", "\n"], [" a", " b", " c", "\td"], [" a"])
 
 
-@pytest.mark.parametrize("crowded", [2000, 2])
+@pytest.mark.parametrize("bucket_bytes", [1 << 20, 2000, 50])
 @pytest.mark.parametrize("seed", [0, 1, 2])
-def test_bytes(docs, monkeypatch, seed, crowded):
-    monkeypatch.setattr(anchors, "CROWDED", crowded)
-    monkeypatch.setattr(anchors, "BUCKET_BYTES", 2000)
+def test_bytes(docs, monkeypatch, seed, bucket_bytes):
+    monkeypatch.setattr(anchors, "BUCKET_BYTES", bucket_bytes)  # 50: all anchors are crowded
     monkeypatch.setattr(anchors, "LONGEST", (256, 3, 1)[seed])
     rows = [*(x for x in ODD if x[0] != 11), *corpus(seed, UNITS[seed])]
     assert found(deduplicated_bytes(docs(*rows), 12, 5)) == by_hand_bytes(rows, 12)
 
 
-@pytest.mark.parametrize("crowded", [2000, 2])
+@pytest.mark.parametrize("bucket_bytes", [1 << 20, 2000, 50])
 @pytest.mark.parametrize("seed", [0, 1, 2])
-def test_words(docs, monkeypatch, seed, crowded):
-    monkeypatch.setattr(anchors, "CROWDED", crowded)
-    monkeypatch.setattr(anchors, "BUCKET_BYTES", 2000)
+def test_words(docs, monkeypatch, seed, bucket_bytes):
+    monkeypatch.setattr(anchors, "BUCKET_BYTES", bucket_bytes)  # 50: all anchors are crowded
     monkeypatch.setattr(anchors, "LONGEST", (256, 3, 1)[seed])
     rows = [*(x for x in ODD if x[0] != 11), *corpus(seed, UNITS[seed])]
     assert found(deduplicated_words(docs(*rows), 6, 2)) == by_hand_words(rows, 6)
