@@ -24,11 +24,14 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywell.llm.common import keep, least_count, ranges, strings, text_chunks, texts_of
+from tallywell.llm.common import keep, least_count, ranges, release, strings, text_chunks, texts_of
 
 #: So many of the most frequent words are compiled. A bound on the file, not on what is encoded.
 LEXICON_WORDS = 262_144
 
+#: Bytes of text worked on at a time: more find fewer different words for each.
+CHUNK = 4 << 20
+
 #: Words of more bytes are merged one by one.
 WIDE = 32
 
@@ -425,7 +428,7 @@ def word_counts(docs: DataFrame, vocabulary) -> DataFrame:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, numbers = [], []
-            for _, data, bounds in text_chunks([batch]):
+            for _, data, bounds in text_chunks([batch], limit=CHUNK):
                 if len(data):
                     starts, _, special = words(data, bounds, vocabulary.value)
                     coded = strings(data, starts).dictionary_encode()
@@ -465,6 +468,7 @@ class BytePairCoder:
         counts = keep(word_counts(docs, sent).filter("n > 1"), "words")
         least = least_count(counts, lexicon_words)
         found = sorted(bytes(r.word) for r in counts.filter(F.col("n") >= least).select("word").toLocalIterator())
+        release(counts)
         data = np.frombuffer(b"".join(found), np.uint8)
         at = np.concatenate([[0], np.cumsum([len(w) for w in found])]).astype(np.int64)
         ids, n = merge_words(data, at[:-1], at[1:], vocabulary)
@@ -476,7 +480,7 @@ class BytePairCoder:
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = _mapped(lexicon, name)
-            for rows, data, bounds in text_chunks(batches):
+            for rows, data, bounds in text_chunks(batches, limit=CHUNK):
                 ids, at = encode_chunk(data, bounds, vocabulary.value, own)
                 lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(np.diff(at)), lists], ["doc_id", "n_tokens", "ids"])
@@ -504,7 +508,7 @@ class BytePairCoder:
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = _mapped(lexicon, name)
-            for rows, data, bounds in text_chunks(batches):
+            for rows, data, bounds in text_chunks(batches, limit=CHUNK):
                 ids, at = encode_chunk(data, bounds, vocabulary.value, own)
                 texts, text_at = decode_chunk(ids, at, vocabulary.value)
                 yield pa.RecordBatch.from_arrays(
