@@ -13,7 +13,7 @@ from tallywell.llm.common import keep, reach_workers, table
 from tallywell.llm.decontaminate import without_overlaps
 from tallywell.llm.kneser_ney import judged
 from tallywell.llm.secrets import redact_secrets
-from tallywell.llm.simhash import near_duplicates
+from tallywell.llm.simhash import representatives
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -31,15 +31,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest doc_id.
 
-    Where that doc_id has several rows, the one with the smallest text stays. Documents without doc_id stay only if all of
-    their group are, and then one of them.
+    Where that doc_id has several texts in the group, the one with the smallest hash stays; different texts under one doc_id
+    that are in different groups stay all. Documents without doc_id stay only if all of their group are, and then one of
+    them.
     """
     reach_workers(spark)
-    found = near_duplicates(docs).filter("doc_id <=> component_id").select("doc_id", "fingerprint").distinct()
-    own = docs.select(*COLUMNS)
-    first = own.join(found.select(F.col("doc_id").alias("id")).distinct(), F.col("doc_id").cast("long").eqNullSafe(F.col("id")), "left_semi")
-    # Only repeated ids need to be told apart, so rows are grouped by id alone.
-    return first.groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("row")).select("doc_id", "row.*")
+    found = representatives(docs).withColumnRenamed("doc_id", "id")
+    t = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("id")) & (t == F.col("t"))
+    first = docs.select(*COLUMNS).join(found, same, "left_semi")
+    # Rows of one doc_id and text are in one group; of them one stays.
+    rows = first.groupBy("doc_id", t.alias("t")).agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("row"))
+    return rows.select("doc_id", "row.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

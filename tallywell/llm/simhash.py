@@ -68,15 +68,17 @@ def fingerprint_array(data: np.ndarray, bounds: np.ndarray, width: int) -> np.nd
     return out
 
 
-def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id and fingerprint (64 bits in a long) of every row."""
+def fingerprints(docs: DataFrame, width: int = WIDTH, *, hashes: bool = False) -> DataFrame:
+    """doc_id and fingerprint (64 bits in a long) of every row; with ``hashes`` also t, a hash of the text."""
+    own = ["doc_id", "t"] if hashes else ["doc_id"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds in text_chunks(batches):
             found = pa.array(signed(fingerprint_array(data, bounds, width)))
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), found], ["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in own), found], [*own, "fingerprint"])
 
-    return texts_of(docs).mapInArrow(run, "doc_id long, fingerprint long")
+    rows = texts_of(docs).withColumn("t", F.xxhash64("text")) if hashes else texts_of(docs)
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in (*own, "fingerprint")))
 
 
 # grouping bits and allocating thresholds -----------------------------------------------------------
@@ -231,6 +233,25 @@ def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return a.join(b, same & near).select("a", "b").distinct()
 
 
+def _rooted(nodes: DataFrame, distance: int) -> DataFrame:
+    """fingerprint, first and root, the same for all fingerprints that are linked."""
+    linked = components(links(nodes, distance))
+    return nodes.join(linked.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
+        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
+    )
+
+
+def representatives(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE) -> DataFrame:
+    """doc_id and t (XXH64 of the text, null as empty) of one row of each group of near duplicates.
+
+    That with the smallest doc_id, nulls last, and of several such texts the one with the smallest hash.
+    """
+    rows = fingerprints(docs, width, hashes=True)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("first")
+    rooted = _rooted(keep(rows.groupBy("fingerprint").agg(first), "nodes"), distance)
+    return rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.t")
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE) -> DataFrame:
     """Every row's doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id it is linked with.
 
@@ -240,10 +261,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, distance: int = DISTANC
     """
     rows = keep(fingerprints(docs, width), "fingerprints")
     nodes = keep(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "nodes")
-    linked = components(links(nodes, distance))
-    rooted = nodes.join(linked.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
-    )
+    rooted = _rooted(nodes, distance)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = rooted.join(least, "root").select("fingerprint", "component_id")
     return rows.join(classes, "fingerprint").select(

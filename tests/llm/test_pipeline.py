@@ -91,3 +91,12 @@ def test_empty_tables(spark, tmp_path):
     ):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_ids_do_not_tell_groups_apart(spark):
+    r = random.Random(12)
+    a, b, c, d, e = (text(r, 60) for _ in range(5))
+    rows = [(None, a), (None, b), (1, c), (1, d), (2, d), (3, None), (3, e), (None, e), (4, a), (1, c)]
+    docs = spark.createDataFrame([(i, t, "en", "src", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = [(r.doc_id, r.text) for r in corpus_pipeline.distinct_documents(spark, docs, "").collect()]
+    assert sorted(found, key=str) == sorted([(None, b), (1, c), (1, d), (3, None), (3, e), (4, a)], key=str)
