@@ -5,12 +5,18 @@ documents are joined with those of the benchmark by their hashes. Where one hits
 other there, and the stretch of the item that fits best is found: tokens that agree count 1, others -4, so four fifths of
 the best stretch agree. It is an overlap if enough tokens agree in it.
 
-Tokens are runs of letters, digits and other characters that are no ASCII sign or white space, in lower case.
+An item of fewer than 16 tokens is an overlap too where the whole of it lies upon the document and four fifths of it agree.
+Its seeds are parts of the whole item, chosen so that whatever may differ leaves one of them alone. An item under eight
+tokens has to agree in all.
+
+Tokens are runs of letters, digits and other characters that are no ASCII sign or white space, in lower case. In scripts
+without spaces between words each character is a token.
 The benchmark is sent to the tasks in blocks of at most ``BLOCK_BYTES`` of text (or one item): documents are read once for
 each block, so a larger benchmark takes more time but no more memory.
 """
 
 from collections.abc import Iterable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -22,27 +28,53 @@ from tallywell.llm.common import byte_array, mixed, ranges, span_hashes, text_ch
 
 #: Positions that count, of span 12 and weight 8.
 MASKS = ("111011001011", "110101110011", "101110011101", "111100101011")
-#: So many agreeing tokens make an overlap; of a shorter item, all its tokens.
+#: So many agreeing tokens of a stretch make an overlap.
 LEAST = 13
-#: Shorter items occur by chance; they are left out.
+#: Shorter items occur by chance; they are left out unless a caller asks for them.
 SHORTEST = 8
+#: Shorter items are compared as a whole, from which on some tokens may differ.
+WHOLE, TOLERANT = 16, 8
 MISMATCH = 4
 BLOCK_BYTES = 8 << 20
 
 _CLEAN = np.arange(256, dtype=np.uint8)
 _CLEAN[:128] = [b if chr(b).isalnum() else 32 for b in range(128)]
 
+#: Scripts without spaces between words, and the first bytes of their characters (and of some others).
+_UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
+_LEADS = np.zeros(256, bool)
+_LEADS[[0xE0, 0xE1, *range(0xE3, 0xEA), 0xEF, 0xF0]] = True
+
 OVERLAPS = "doc_id long, item_id long, first_token long, n_tokens long, n_matched long"
 
 
 def token_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A hash of each token of all texts, and the number of each text's first token (one more at the end)."""
-    data, bounds = byte_array(pc.utf8_lower(column))
+    column = pc.utf8_lower(column)
+    data, bounds = byte_array(column)
+    if _LEADS[data].any():
+        data, bounds = byte_array(pc.replace_substring_regex(column, _UNSPACED, r" \1 "))
     clean = _CLEAN[data]
     starts, ends, first = word_spans(clean, bounds)
     return span_hashes(clean, starts, ends), first
 
 
+def least_agreeing(length: int) -> int:
+    """Of a whole item of so many tokens, those that have to agree."""
+    return -(-4 * length // 5) if length >= TOLERANT else length
+
+
+def whole_masks(length: int) -> list[np.ndarray]:
+    """Parts of an item so that each choice of tokens that may differ leaves one part alone.
+
+    The item is cut into two pieces more than tokens may differ; a part is any two of the pieces.
+    """
+    differ = length - least_agreeing(length)
+    if not differ:
+        return [np.arange(length)]
+    return [np.sort(np.concatenate(two)) for two in combinations(np.array_split(np.arange(length), differ + 2), 2)]
+
+
 def _seed_keys(hashes: np.ndarray, at: np.ndarray, mask: np.ndarray) -> np.ndarray:
     keys = np.zeros(len(at), np.uint64)
     for p in mask.tolist():
@@ -53,14 +85,14 @@ def _seed_keys(hashes: np.ndarray, at: np.ndarray, mask: np.ndarray) -> np.ndarr
 class Benchmark:
     """The seeds of a block of items."""
 
-    def __init__(self, ids: list[int], texts: list[str]):
+    def __init__(self, ids: list[int], texts: list[str], shortest: int = SHORTEST):
         hashes, first = token_hashes(pa.array(texts, pa.string()))
         self.ids, self.hashes, self.first = np.array(ids, np.int64), hashes, first
         self.known = np.unique(hashes)
         lengths = np.diff(first)
         span = len(MASKS[0])
         masks = [(span, np.flatnonzero([c == "1" for c in m]), lengths >= span) for m in MASKS]
-        masks += [(n, np.arange(n), lengths == n) for n in range(SHORTEST, span)]
+        masks += [(n, m, lengths == n) for n in range(max(shortest, 1), WHOLE) for m in whole_masks(n)]
         self.seeds = []
         for width, mask, chosen in masks:
             items = np.flatnonzero(chosen)
@@ -107,7 +139,9 @@ class Benchmark:
             same = own[low:high] == other[low - shift : high - shift]
             start, end = _best_stretch(same)
             matched = int(same[start:end].sum())
-            if matched >= min(LEAST, len(other)):
+            if matched < LEAST and len(other) < WHOLE and len(same) == len(other):
+                start, end, matched = 0, len(other), int(same.sum())
+            if matched >= (least_agreeing(len(other)) if end - start == len(other) < WHOLE else LEAST):
                 found = (matched, low + start, end - start)
                 best[text, item] = max(best.get((text, item), found), found)
         return [(t, int(self.ids[i]), at, n, matched) for (t, i), (matched, at, n) in sorted(best.items())]
@@ -121,7 +155,7 @@ def _best_stretch(same: np.ndarray) -> tuple[int, int]:
     return int(np.flatnonzero(sums[: end + 1] == lowest[end])[-1]), end
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[Benchmark]:
+def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, *, shortest: int = SHORTEST) -> Iterator[Benchmark]:
     """The items in blocks. Their bytes are counted first, so that no more than a block comes to the driver at a time.
 
     An item without item_id or text takes no part; repeated items are one.
@@ -137,17 +171,17 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> It
     for k in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
         if rows:
-            yield Benchmark([r.item_id for r in rows], [r.text for r in rows])
+            yield Benchmark([r.item_id for r in rows], [r.text for r in rows], shortest)
 
 
-def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def find_overlaps(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """Rows (doc_id, item_id, first_token, n_tokens, n_matched): the best overlap of each document with each item, if any.
 
-    A null or empty text has none. Rows with a null or repeated doc_id are documents like any other. Without documents or
+    Items of fewer than ``shortest`` tokens take no part. A null or empty text has none. Rows with a null or repeated doc_id are documents like any other. Without documents or
     items there are no rows. Other columns are not read.
     """
     spark, rows, found = docs.sparkSession, texts_of(docs), None
-    for block in benchmark_blocks(benchmark):
+    for block in benchmark_blocks(benchmark, shortest=shortest):
         sent = spark.sparkContext.broadcast(block)
 
         def scan(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -163,9 +197,9 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return spark.createDataFrame([], OVERLAPS) if found is None else found
 
 
-def without_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text overlaps with no item."""
-    for block in benchmark_blocks(benchmark):
+def without_overlaps(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text overlaps with no item of at least ``shortest`` tokens."""
+    for block in benchmark_blocks(benchmark, shortest=shortest):
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def scan(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:

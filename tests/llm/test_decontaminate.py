@@ -85,3 +85,37 @@ def test_a_very_long_text(spark, docs):
     item = words(1, 20)
     rows = [(1, " ".join(words(2, 300_000) + item))]
     assert overlaps(find_overlaps(docs(*rows), made(spark, (5, " ".join(item))))) == {(1, 5): (300_000, 20, 20)}
+
+
+@pytest.mark.parametrize("length", range(8, 16))
+def test_whole_masks_leave_no_choice_of_differing_tokens_out(length):
+    from itertools import combinations
+
+    masks = [set(m.tolist()) for m in decontaminate.whole_masks(length)]
+    for places in combinations(range(length), length - -(-4 * length // 5)):
+        assert any(m.isdisjoint(places) for m in masks)
+
+
+def test_replaced_words_of_short_items_are_tolerated(spark, docs):
+    r, rows, items = random.Random(5), [], []
+    for length in range(8, 16):
+        for k in range(8):
+            at, item = 100 * length + k, words(1000 * length + k, length)
+            own = list(item)
+            for place in r.sample(range(length), length - -(-4 * length // 5) + k // 6):  # the last two of eight: one too many
+                own[place] = "other"
+            items.append((at, " ".join(item)))
+            rows.append((at, " ".join(words(5 * at, 20) + own + words(7 * at, 20))))
+    found = overlaps(find_overlaps(docs(*rows), made(spark, *items)))
+    assert set(found) == {(i, i) for i, _ in items if i % 100 < 6}
+    assert all(found[i, i][:2] == (20, i // 100) for i, _ in found)
+    assert {r.doc_id for r in without_overlaps(docs(*rows), made(spark, *items)).collect()} == {i for i, _ in items if i % 100 >= 6}
+
+
+def test_very_short_items_and_unspaced_scripts(spark, docs):
+    seven, one = words(3, 7), words(4, 1)
+    han = "\u4eca\u65e5\u306f\u5929\u6c17\u304c\u3068\u3066\u3082\u826f\u3044\u306e\u3067\u5916\u3067\u6563\u6b69\u3057\u305f\u3044"
+    rows = [(1, " ".join(words(9, 5) + seven)), (2, " ".join(seven[:6] + ["x"])), (3, " ".join(one)), (4, "\u6628" + han + "\u304b")]
+    items = made(spark, (1, " ".join(seven)), (2, one[0]), (3, han))
+    assert overlaps(find_overlaps(docs(*rows), items, shortest=1)) == {(1, 1): (5, 7, 7), (3, 2): (0, 1, 1), (4, 3): (1, len(han), len(han))}
+    assert [r.doc_id for r in without_overlaps(docs(*rows), items, shortest=1).collect()] == [2]
