@@ -42,8 +42,3 @@ def events(spark):
         return spark.createDataFrame(list(rows), EVENT_SCHEMA)
 
     return make
-
-
-def as_dicts(df, *key):
-    rows = [r.asDict() for r in df.collect()]
-    return sorted(rows, key=lambda r: str([r[k] for k in key or sorted(r)]))

@@ -1,7 +1,7 @@
 import datetime
 from decimal import Decimal
 
-from conftest import as_dicts
+from plain_rows import as_dicts
 from pyspark.sql import functions as F
 
 from tallywell.operators.quality import alert_messages, contract_results, expectation_results

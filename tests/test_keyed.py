@@ -1,4 +1,4 @@
-from conftest import as_dicts
+from plain_rows import as_dicts
 from pyspark.sql import functions as F
 
 from tallywell.operators.keyed import delete_rows, latest_per_key, update_columns, upsert

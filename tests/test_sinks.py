@@ -2,7 +2,7 @@ import datetime
 import random
 
 import pytest
-from conftest import as_dicts
+from plain_rows import as_dicts
 from pyspark.sql import functions as F
 
 from tallywell.operators.keyed import upsert

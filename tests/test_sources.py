@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import as_dicts
+from plain_rows import as_dicts
 from pyspark.errors import AnalysisException
 
 from tallywell.schemas import EVENT_FIELDS, EVENT_SCHEMA, PENDING_SCHEMA, event_avro_schema
