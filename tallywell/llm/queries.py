@@ -15,6 +15,7 @@ from tallywell.llm.decontaminate import find_overlaps
 from tallywell.llm.kneser_ney import judged
 from tallywell.llm.secrets import BASE_RULES, find_secrets
 from tallywell.llm.simhash import near_duplicates
+from tallywell.llm.spelling import counted_words, letter_runs, spelling_variants
 from tallywell.llm.topk import quantised, top_k
 from tallywell.llm.warc import resolve_revisits
 
@@ -103,6 +104,16 @@ def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(docs, labels).filter("keep").drop("t")
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 97th run, by its hash, loses a letter, as misspelt words do."""
+    runs = letter_runs(table(spark, sf_dir, "documents"))
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run").cast("binary"))
+    gone = (h % F.length("run")).cast("int")
+    short = F.concat(F.substring("run", F.lit(1), gone), F.substring(F.col("run"), gone + 2, F.length("run")))
+    return spelling_variants(counted_words(runs.select(F.when(h % 97 == 0, short).otherwise(F.col("run")).alias("word"))))
+
+
 def captures(pages: DataFrame) -> DataFrame:
     """Web captures that the pages table stands for: each page captured, and again later without a change.
 
