@@ -12,8 +12,10 @@ from tallywell.llm.bwt_dedup import deduplicated_bytes
 from tallywell.llm.chat import END, START, conversation_digests, format_conversations
 from tallywell.llm.common import keep, table
 from tallywell.llm.decontaminate import find_overlaps
+from tallywell.llm.hard_negatives import mined_negatives
 from tallywell.llm.kneser_ney import judged
 from tallywell.llm.secrets import BASE_RULES, find_secrets
+from tallywell.llm.sharding import sharded
 from tallywell.llm.simhash import near_duplicates
 from tallywell.llm.spelling import counted_words, letter_runs, spelling_variants
 from tallywell.llm.topk import quantised, top_k
@@ -114,6 +116,20 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(counted_words(runs.select(F.when(h % 97 == 0, short).otherwise(F.col("run")).alias("word"))))
 
 
+@query
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharded(table(spark, sf_dir, "documents"))
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return rows.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row is labelled wrongly first, as real labels are."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mined_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 def captures(pages: DataFrame) -> DataFrame:
     """Web captures that the pages table stands for: each page captured, and again later without a change.
 
@@ -193,3 +209,28 @@ SELECT page_id * 2 + 1 AS record_id, canonical, response * 2 AS response_id, out
        CASE WHEN outcome = 'resolved' THEN 'text/html' WHEN own IS NULL THEN NULL ELSE 'none' END AS content_type
 FROM judged
 """
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, c.vec_id, c.label,
+         CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+  FROM whole a JOIN whole c ON c.vec_id <> a.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT anchor_id, positive_id,
+         CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id AS negative_id, positive_score, score AS negative_score
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE label <> anchor_label AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
