@@ -60,7 +60,7 @@ def _arguments() -> argparse.ArgumentParser:
 
     refresh = jobs.add_parser("refresh", help="rebuild the gold tables and their views")
     refresh.add_argument("--full-refresh", action="store_true")
-    refresh.add_argument("--lookback-days", type=int, default=0)
+    refresh.add_argument("--lookback-days", type=int, help="recompute so many days before the newest, not the touched ones")
     refresh.add_argument("--order-ids-unique", action="store_true", help="silver holds each order once")
     queue = jobs.add_parser("queue", help="write the open reviews to a folder, as CSV")
     queue.add_argument("folder")

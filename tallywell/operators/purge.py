@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywell.operators.identity import with_identity
 from tallywell.operators.keyed import delete_rows
 from tallywell.operators.validate import DEFAULT_POLICY, Policy, key_contract_breach
 from tallywell.schemas import ORIGIN_FIELDS, PENDING_SCHEMA
@@ -15,7 +16,7 @@ def anomalies(silver: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataFrame:
     """Clean-table rows that belong in quarantine, in its layout and opened as PENDING."""
     bad = silver.filter(key_contract_breach(policy)).withColumn("_status", F.lit("PENDING"))
     bad = bad.withColumns({name: F.lit(None).cast("string") for name in ORIGIN_FIELDS})
-    return bad.select(*PENDING_SCHEMA.fieldNames())
+    return with_identity(bad).select(*PENDING_SCHEMA.fieldNames())
 
 
 def without_anomalies(silver: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataFrame:

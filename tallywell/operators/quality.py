@@ -4,7 +4,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -57,6 +57,26 @@ def expectation_results(df: DataFrame, expectations: Sequence[Expectation] | Non
     )
 
 
+def observed_expectations(
+    df: DataFrame, expectations: Sequence[Expectation] | None = None
+) -> tuple[DataFrame, Observation]:
+    """The same rows, counted on their way to whatever reads them first; ``observed_results`` gives the outcome then."""
+    checks = batch_expectations() if expectations is None else list(expectations)
+    seen = Observation()
+    counts = [F.count_if(e.failing).alias(f"f{i}") for i, e in enumerate(checks)]
+    return df.observe(seen, F.count(F.lit(1)).alias("total"), *counts), seen
+
+
+def observed_results(
+    spark: SparkSession, seen: Observation, expectations: Sequence[Expectation] | None = None
+) -> DataFrame:
+    """What ``expectation_results`` gives, from the counts of a write that is done."""
+    checks = batch_expectations() if expectations is None else list(expectations)
+    got = seen.get
+    rows = [(e.name, e.column, got[f"f{i}"], got["total"], got[f"f{i}"] == 0) for i, e in enumerate(checks)]
+    return spark.createDataFrame(rows, "check string, column string, failed bigint, total bigint, success boolean")
+
+
 def alert_messages(results: DataFrame) -> DataFrame:
     """One ``message`` per failed expectation; no rows when all is well."""
     text = F.format_string(
@@ -122,10 +142,19 @@ def contract_failures(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def contract_results(
-    frames: Mapping[str, DataFrame], contracts: Sequence[Contract] = CONTRACTS
+    frames: Mapping[str, DataFrame | None], contracts: Sequence[Contract] = CONTRACTS
 ) -> DataFrame:
-    """Failures of every contract whose table is in ``frames``; a test passes at 0."""
-    parts = [contract_failures(frames[c.table], c) for c in contracts if c.table in frames]
-    if not parts:
-        raise ValueError(f"none of {[c.table for c in contracts]} was given")
+    """Failures of every contract whose table is in ``frames``; a test passes at 0.
+
+    Where the table is None, as it does not exist, all of its tests fail: ``failures`` is NULL, there is nothing to count.
+    """
+    there = [c for c in contracts if frames.get(c.table) is not None]
+    if not there:
+        raise ValueError(f"none of {[c.table for c in contracts]} is there")
+    parts = [contract_failures(frames[c.table], c) for c in there]
+    missing = [c for c in contracts if c.table in frames and frames[c.table] is None]
+    if missing:
+        rows = [(c.table, c.unique, "unique", None) for c in missing]
+        rows += [(c.table, column, "not_null", None) for c in missing for column in c.not_null]
+        parts.append(parts[0].sparkSession.createDataFrame(rows, parts[0].schema))
     return reduce(DataFrame.unionByName, parts)

@@ -4,15 +4,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallywell.functions import exact_money
-from tallywell.operators.keyed import join_on_keys, latest_per_key, update_columns
+from tallywell.operators.identity import ROW_KEY
+from tallywell.operators.keyed import content_hash, latest_per_key, update_columns
+from tallywell.operators.validate import DEFAULT_POLICY, Policy, key_contract_breach
 from tallywell.schemas import AUDIT_SCHEMA, DECISION_SCHEMA, SILVER_SCHEMA
 
 # A decision file may not tell an empty id from a missing one.
 REVIEW_KEYS = ("coalesce(order_id, '')", "coalesce(ingest_id, '')")
-# Rows without an order id cannot be merged on it; each delivery stays a row of its own.
-ORDER_KEYS = ("coalesce(order_id, '')", "if(coalesce(order_id, '') = '', ingest_id, null)")
 
 # Accepted decision words, and what each writes.
 APPROVE_WORDS = ("Y", "APPROVED")
@@ -43,6 +44,10 @@ def pending_queue(pending: DataFrame) -> DataFrame:
 def _sorted_out(decisions: DataFrame) -> DataFrame:
     """Decisions with the word read, the amount typed, and the fault of those not applicable."""
     word = F.upper(F.trim(F.coalesce("decision", F.lit(""))))
+    if "row_key" not in decisions.columns:
+        decisions = decisions.withColumn("row_key", F.lit(None).cast("string"))
+    # A file writes a missing key as an empty text.
+    decisions = decisions.withColumn("row_key", F.when(F.trim("row_key") != "", F.trim("row_key")))
     read = decisions.select(*DECISION_SCHEMA.fieldNames()).withColumns(
         {
             "__verdict": F.when(word.isin(*APPROVE_WORDS), F.lit("APPROVED"))
@@ -57,21 +62,29 @@ def _sorted_out(decisions: DataFrame) -> DataFrame:
     return read.withColumn("reason", fault)
 
 
-def apply_decisions(pending: DataFrame, decisions: DataFrame) -> ReviewOutcome:
+def apply_decisions(pending: DataFrame, decisions: DataFrame, policy: Policy = DEFAULT_POLICY) -> ReviewOutcome:
     """Apply ``decisions`` to the open rows of ``pending``.
 
-    A skip changes nothing. Of several applicable decisions on one row the latest ``reviewed_at``
-    counts. Whatever cannot be applied comes back in ``bad_decisions`` with a reason.
+    A decision is meant for the row whose ``row_key`` it names. Without a key, as in files that know only ids, it is meant for
+    the one open row that has its order id and ingest id; if several have, it is not applied, as it does not tell which.
+
+    A skip changes nothing. Of several applicable decisions on one row the latest ``reviewed_at`` counts. An approval corrects
+    the amount: a row that would still lack its order, customer or day stays open. Whatever cannot be applied comes back in
+    ``bad_decisions`` with a reason.
     """
     read = _sorted_out(decisions)
     usable = read.filter(F.col("reason").isNull() & (F.col("__verdict") != "SKIP")).drop("reason")
-    final = latest_per_key(usable, REVIEW_KEYS, ["reviewed_at", "__verdict"])
-
-    queue = pending_queue(pending)
+    judged = _located(usable, pending_queue(pending), policy)
+    sound = judged.filter(F.col("reason").isNull())
+    # Equal decisions share a place. A row has as many decisions as people made on it.
+    newest = Window.partitionBy("__key").orderBy(F.desc_nulls_last("reviewed_at"), F.desc("__verdict"), content_hash(_names()))
+    placed = sound.withColumn("__place", F.dense_rank().over(newest)).withColumn("__row", F.row_number().over(newest))
+    decided = placed.filter("__row = 1")
+
+    row = [F.col(f"__found.{c}").alias(c) for c in pending.columns if c != "_status"]
     verdict = [F.col(c) for c in ("__verdict", "__amount", "reviewed_by", "reviewed_at")]
-    decided = join_on_keys(queue, final, REVIEW_KEYS, "inner", keep=verdict)
-
-    approved = decided.filter(F.col("__verdict") == "APPROVED").withColumns(
+    rows = decided.select(*row, *verdict)
+    approved = rows.filter(F.col("__verdict") == "APPROVED").withColumns(
         {
             "payment_value": F.col("__amount").cast("string"),
             "parsed_payment_value": F.col("__amount"),
@@ -80,19 +93,48 @@ def apply_decisions(pending: DataFrame, decisions: DataFrame) -> ReviewOutcome:
             "_remediation_rule": F.lit(HUMAN_RULE),
         }
     )
-    newest = latest_per_key(approved, ORDER_KEYS, ["reviewed_at", "ingest_id"])
-
-    states = final.withColumn("_status", F.col("__verdict"))
-    closed = decided.select(
-        *[F.col("__verdict").alias(c) if c == "_status" else F.col(c) for c in pending.columns]
-    )
+    updates = latest_per_key(approved, ["order_id"], ["reviewed_at", "ingest_id"])
+    states = rows.select("row_key", F.col("__verdict").alias("_status"))
+    closed = rows.withColumn("_status", F.col("__verdict")).select(*pending.columns)
+    overruled = placed.filter("__place > 1").withColumn("reason", F.lit("SUPERSEDED"))
+    names = [*DECISION_SCHEMA.fieldNames(), "reason"]
+    bad = read.filter(F.col("reason").isNotNull()).select(*names)
+    bad = bad.unionByName(judged.filter(F.col("reason").isNotNull()).select(*names)).unionByName(overruled.select(*names))
     return ReviewOutcome(
-        silver_updates=newest.select(*SILVER_SCHEMA.fieldNames()),
-        pending=update_columns(pending, states, REVIEW_KEYS, ["_status"], where="_status = 'PENDING'"),
+        silver_updates=updates.select(*SILVER_SCHEMA.fieldNames()),
+        pending=update_columns(pending, states, ROW_KEY, ["_status"], where="_status = 'PENDING'"),
         closed=closed,
-        audit=_audit_rows(decided),
-        bad_decisions=_bad_decisions(read, usable, final, queue),
+        audit=_audit_rows(rows),
+        bad_decisions=bad,
+    )
+
+
+def _names() -> list[str]:
+    return DECISION_SCHEMA.fieldNames()
+
+
+def _located(usable: DataFrame, queue: DataFrame, policy: Policy) -> DataFrame:
+    """Decisions with the key and the row (``__found``) they are meant for, or the reason why there is none."""
+    by_ids = queue.groupBy(*[F.expr(k).alias(f"__id{i}") for i, k in enumerate(REVIEW_KEYS)]).agg(
+        F.count(F.lit(1)).alias("__n"), F.min("row_key").alias("__only")
+    )
+    same = F.col("row_key").isNull()
+    for i, key in enumerate(REVIEW_KEYS):
+        same = same & (F.expr(key) == F.col(f"__id{i}"))
+    keyed = usable.join(by_ids, same, "left").withColumn(
+        "__key", F.coalesce("row_key", F.when(F.col("__n") == 1, F.col("__only")))
+    )
+    rows = queue.select(
+        F.col("row_key").alias("__row_key"),
+        F.expr(key_contract_breach(policy)).alias("__breach"),
+        F.struct(*[c for c in queue.columns if c != "_status"]).alias("__found"),
     )
+    reason = (
+        F.when(F.col("__n") > 1, F.lit("AMBIGUOUS"))
+        .when(F.col("__row_key").isNull(), F.lit("NOT_PENDING"))
+        .when((F.col("__verdict") == "APPROVED") & F.col("__breach"), F.lit("BREAKS_KEY_CONTRACT"))
+    )
+    return keyed.join(rows, F.col("__key") == F.col("__row_key"), "left").withColumn("reason", reason)
 
 
 def _audit_rows(decided: DataFrame) -> DataFrame:
@@ -107,20 +149,3 @@ def _audit_rows(decided: DataFrame) -> DataFrame:
         "reviewed_at": F.col("reviewed_at"),
     }
     return decided.select(*[columns[n].alias(n) for n in AUDIT_SCHEMA.fieldNames()])
-
-
-def _bad_decisions(read: DataFrame, usable: DataFrame, final: DataFrame, queue: DataFrame) -> DataFrame:
-    names = [*DECISION_SCHEMA.fieldNames(), "reason"]
-    faulty = read.filter(F.col("reason").isNotNull()).select(*names)
-    unmatched = join_on_keys(final, queue, REVIEW_KEYS, "left_anti").withColumn("reason", F.lit("NOT_PENDING"))
-    winner = [F.struct("reviewed_at", "__verdict", *_payload(final)).alias("__winner")]
-    overruled = (
-        join_on_keys(usable, final, REVIEW_KEYS, "inner", keep=winner)
-        .filter(~F.struct("reviewed_at", "__verdict", *_payload(final)).eqNullSafe(F.col("__winner")))
-        .withColumn("reason", F.lit("SUPERSEDED"))
-    )
-    return faulty.unionByName(unmatched.select(*names)).unionByName(overruled.select(*names))
-
-
-def _payload(final: DataFrame) -> list[str]:
-    return [c for c in final.columns if c not in ("order_id", "ingest_id", "reviewed_at", "__verdict")]

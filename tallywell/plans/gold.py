@@ -1,12 +1,14 @@
 """Gold models: revenue per day and activity per customer, and the views that publish them."""
 
 import datetime
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell.operators.keyed import upsert
 from tallywell.schemas import CUSTOMER_ACTIVITY_SCHEMA, DAILY_REVENUE_SCHEMA, MONEY
+from tallywell.sinks.companions import TouchedDays
 from tallywell.sinks.layers import Layers
 from tallywell.sinks.writes import replace_table, upsert_table
 from tallywell.sources.tables import current_table
@@ -126,28 +128,49 @@ def create_views(spark: SparkSession, layers: Layers) -> None:
         )
 
 
+def revenue_of_days(silver: DataFrame, existing: DataFrame, days: Collection, *, order_ids_unique: bool = False) -> DataFrame:
+    """``existing`` with the given days computed anew; days without orders go."""
+    fresh = daily_revenue(silver.filter(F.col("created_date").isin(*days)), order_ids_unique=order_ids_unique)
+    return existing.filter(~F.coalesce(F.col("revenue_date").isin(*days), F.lit(False))).unionByName(fresh)
+
+
 def refresh_daily_revenue(
     spark: SparkSession,
     layers: Layers,
     *,
     full_refresh: bool = False,
-    lookback_days: int = 0,
+    lookback_days: int | None = None,
     provider: str = "parquet",
     order_ids_unique: bool = False,
 ) -> None:
     """Incremental by default; builds the whole table on the first run and on ``full_refresh``.
 
+    An increment computes exactly the days anew that batches, reviews and purges have touched since the last refresh, late
+    ones included, so it ends as a full refresh would. ``lookback_days`` asks for the newest published day and so many days
+    before it instead, whatever was touched; so does silver without a log of its days.
+
     ``order_ids_unique`` promises that silver holds each order once and saves the distinct count. A write that
     was interrupted can leave an order twice.
     """
-    silver, table = current_table(spark, layers.silver), layers.daily_revenue
+    table = layers.daily_revenue
+    log = TouchedDays.of(spark, layers.silver)
+    # Read before silver is: what is done by now is in it.
+    days, done = log.read() if log else ([], [])
+    silver = current_table(spark, layers.silver)
     if full_refresh or not spark.catalog.tableExists(table):
         replace_table(daily_revenue(silver, order_ids_unique=order_ids_unique), table, provider)
+    elif log is None or lookback_days is not None:
+        increment = daily_revenue_increment(
+            silver, current_table(spark, table), lookback_days=lookback_days or 0, order_ids_unique=order_ids_unique
+        )
+        upsert_table(increment, table, ["revenue_date"])
         return
-    increment = daily_revenue_increment(
-        silver, current_table(spark, table), lookback_days=lookback_days, order_ids_unique=order_ids_unique
-    )
-    upsert_table(increment, table, ["revenue_date"])
+    elif days:
+        # One row for each day: the table is small whatever silver holds.
+        existing = current_table(spark, table)
+        replace_table(revenue_of_days(silver, existing, days, order_ids_unique=order_ids_unique), table, provider)
+    if log:
+        log.remove(done)
 
 
 def refresh_customer_activity(spark: SparkSession, layers: Layers, *, provider: str = "parquet") -> None:

@@ -5,16 +5,17 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from tallywell.operators.identity import ROW_KEY
 from tallywell.operators.purge import NO_DAY, anomalies
 from tallywell.operators.quality import CONTRACTS, contract_results
-from tallywell.operators.review import ORDER_KEYS, ReviewOutcome, apply_decisions, pending_queue
+from tallywell.operators.review import ReviewOutcome, apply_decisions, pending_queue
 from tallywell.operators.validate import DEFAULT_POLICY, Policy, key_contract_breach
 from tallywell.schemas import AUDIT_SCHEMA, BAD_DECISION_SCHEMA, PENDING_SCHEMA
 from tallywell.sinks.layers import Layers
 from tallywell.sinks.workspace import ensure_checkpoint_dir
-from tallywell.sinks.writes import append_absent, append_rows, delete_from_table, upsert_table
+from tallywell.sinks.writes import append_absent, delete_from_table, upsert_table
 from tallywell.sources.tables import current_table, rows_or_empty
-from tallywell.streaming.pipeline import PENDING_KEYS, absent_from_pending
+from tallywell.streaming.pipeline import append_pending
 
 
 def open_reviews(spark: SparkSession, layers: Layers) -> DataFrame:
@@ -35,7 +36,7 @@ def review_job(spark: SparkSession, layers: Layers, decisions: DataFrame) -> Dat
     """Apply a batch of decisions to the tables; returns the decisions that could not be applied, which are stored too.
 
     The queue is updated last: a job that stops before that finds the rows still open, and the
-    earlier writes are keyed, so repeating them changes nothing. Rows without order id are keyed by delivery.
+    earlier writes are keyed, so repeating them changes nothing.
     """
     outcome: ReviewOutcome = apply_decisions(current_table(spark, layers.pending), decisions)
     updates = outcome.silver_updates.persist(StorageLevel.MEMORY_AND_DISK)
@@ -44,10 +45,10 @@ def review_job(spark: SparkSession, layers: Layers, decisions: DataFrame) -> Dat
     # Read before the queue changes; a reliable checkpoint cuts it from the table.
     bad = outcome.bad_decisions.checkpoint()
     try:
-        upsert_table(updates, layers.silver, ORDER_KEYS)
+        upsert_table(updates, layers.silver, ["order_id"])
         append_absent(outcome.audit, layers.audit, AUDIT_SCHEMA.fieldNames())
         append_absent(bad, layers.bad_decisions, BAD_DECISION_SCHEMA.fieldNames())
-        upsert_table(closed, layers.pending, PENDING_KEYS)
+        upsert_table(closed, layers.pending, ROW_KEY, null_safe=False, key_fixes=["arrival"])
     finally:
         updates.unpersist()
         closed.unpersist()
@@ -55,13 +56,13 @@ def review_job(spark: SparkSession, layers: Layers, decisions: DataFrame) -> Dat
 
 
 def contracts_job(spark: SparkSession, layers: Layers, report: Callable[[str], object]) -> int:
-    """Run the contracts on the stored tables, report each, and return 1 if one is broken."""
+    """Run the contracts on the stored tables, report each, and return 1 if one is broken or its table missing."""
     tested = {c.table for c in CONTRACTS}
-    frames = {name: df for name, df in layers.frames(spark).items() if name in tested and df is not None}
+    frames = {name: df for name, df in layers.frames(spark).items() if name in tested}
     failed = 0
     for row in contract_results(frames).collect():  # one row for each contract
-        failed += row["failures"] > 0
-        state = f"FAIL {row['failures']}" if row["failures"] else "PASS"
+        failed += row["failures"] != 0
+        state = "FAIL no table" if row["failures"] is None else f"FAIL {row['failures']}" if row["failures"] else "PASS"
         report(f"{state} {row['test']} {row['table']}.{row['column']}")
     return int(failed > 0)
 
@@ -73,8 +74,7 @@ def purge_job(spark: SparkSession, layers: Layers, policy: Policy = DEFAULT_POLI
     """
     moving = anomalies(current_table(spark, layers.silver), policy)
     # Compared with the open rows only: a delivery closed earlier is opened again.
-    held = open_reviews(spark, layers)
-    append_rows(absent_from_pending(moving, held), layers.pending)
+    append_pending(moving, layers, only_open=True)
     moved = delete_from_table(spark, layers.silver, key_contract_breach(policy))
     if spark.catalog.tableExists(layers.daily_revenue):
         delete_from_table(spark, layers.daily_revenue, NO_DAY)

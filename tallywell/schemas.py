@@ -29,6 +29,9 @@ EVENT_SCHEMA = T.StructType(_strings(*EVENT_FIELDS))
 RAW_ORDERS_SCHEMA = T.StructType(_strings(*RAW_ORDER_FIELDS))
 RAW_PAYMENTS_SCHEMA = T.StructType(_strings(*RAW_PAYMENT_FIELDS))
 
+# What tells a quarantined row from all others, and the day of its delivery, see ``operators.identity``.
+IDENTITY_FIELDS = ("row_key", "arrival")
+
 # The stream id and batch id are not business columns: they make a replayed append replace itself.
 BRONZE_SCHEMA = T.StructType(
     [
@@ -37,6 +40,7 @@ BRONZE_SCHEMA = T.StructType(
         T.StructField("ingested_at", T.TimestampType(), True),
         T.StructField("stream_id", T.StringType(), True),
         T.StructField("batch_id", T.LongType(), True),
+        T.StructField("arrived_on", T.DateType(), True),
     ]
 )
 
@@ -54,7 +58,7 @@ SILVER_SCHEMA = T.StructType(
         *_strings("_remediation_rule"),
     ]
 )
-PENDING_SCHEMA = T.StructType([*_CLASSIFIED, *_strings(*ORIGIN_FIELDS, "_status")])
+PENDING_SCHEMA = T.StructType([*_CLASSIFIED, *_strings(*ORIGIN_FIELDS, *IDENTITY_FIELDS, "_status")])
 AUDIT_SCHEMA = T.StructType(
     _strings(
         "order_id",
@@ -85,7 +89,7 @@ CUSTOMER_ACTIVITY_SCHEMA = T.StructType(
     ]
 )
 DECISION_SCHEMA = T.StructType(
-    _strings("order_id", "ingest_id", "decision", "corrected_value", "reviewed_by", "reviewed_at")
+    _strings("order_id", "ingest_id", "decision", "corrected_value", "reviewed_by", "reviewed_at", "row_key")
 )
 BAD_DECISION_SCHEMA = T.StructType([*DECISION_SCHEMA.fields, *_strings("reason")])
 

@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallywell import schemas
 from tallywell.schemas import ddl
+from tallywell.sinks.companions import Batches, KeyDays, TouchedDays
 from tallywell.sources.tables import table_or_none
 
+# Hash buckets of the orders' partitions; a batch reads those its orders fall into.
+KEY_BUCKETS = 16
+
 # Formats whose catalog has no MERGE/UPDATE/DELETE; the writes emulate them on partitions.
 FILE_FORMATS = ("parquet", "orc", "avro", "csv", "json", "text")
 
@@ -27,6 +31,18 @@ class Layers:
     def bronze(self) -> str:
         return f"{self.schema('bronze')}.bronze_transactions"
 
+    @property
+    def bronze_batches(self) -> str:
+        return f"{self.schema('bronze')}.bronze_batches"
+
+    @property
+    def silver_keys(self) -> str:
+        return f"{self.schema('silver')}.silver_key_days"
+
+    @property
+    def touched_days(self) -> str:
+        return f"{self.schema('silver')}.silver_touched_days"
+
     @property
     def silver(self) -> str:
         return f"{self.schema('silver')}.silver_transactions"
@@ -72,24 +88,35 @@ def create_table(spark: SparkSession, name: str, schema, provider: str, partitio
 
 
 def create_layers(
-    spark: SparkSession, layers: Layers | None = None, *, provider: str = "parquet", location: str | None = None
+    spark: SparkSession,
+    layers: Layers | None = None,
+    *,
+    provider: str = "parquet",
+    location: str | None = None,
+    key_buckets: int = KEY_BUCKETS,
 ) -> Layers:
     """Create schemas and tables that do not exist yet; safe to repeat.
 
     ``provider`` is any installed table format. ``location`` places file tables under one folder,
-    which must be on storage shared by the cluster.
+    which must be on storage shared by the cluster. ``key_buckets`` deals out the orders of file tables; many orders want
+    many, so that a small batch reads few.
     """
     layers = layers or Layers()
     for name in SCHEMA_NAMES:
         place = f" LOCATION '{location.rstrip('/')}/{layers.prefix}{name}'" if location else ""
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layers.schema(name)}{place}")
     for name, schema, partitions in (
-        (layers.bronze, schemas.BRONZE_SCHEMA, ("stream_id", "batch_id")),
+        # By day of arrival: the number of partitions does not depend on that of batches.
+        (layers.bronze, schemas.BRONZE_SCHEMA, ("arrived_on",)),
         (layers.silver, schemas.SILVER_SCHEMA, ("created_date",)),
-        # By state: the open queue is one partition, and closing rows never rewrites closed ones.
-        (layers.pending, schemas.PENDING_SCHEMA, ("_status",)),
+        # By state, so that closing rows never rewrites closed ones, and by day of delivery, which a row's key fixes.
+        (layers.pending, schemas.PENDING_SCHEMA, ("_status", "arrival")),
         (layers.audit, schemas.AUDIT_SCHEMA, ()),
         (layers.bad_decisions, schemas.BAD_DECISION_SCHEMA, ()),
     ):
         create_table(spark, name, schema, provider, partitions)
+    TouchedDays.create(spark, layers.silver, layers.touched_days, "created_date", provider)
+    if provider in FILE_FORMATS:
+        Batches.create(spark, layers.bronze, layers.bronze_batches, provider)
+        KeyDays.create(spark, layers.silver, layers.silver_keys, "order_id", key_buckets, provider)
     return layers

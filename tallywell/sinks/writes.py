@@ -3,8 +3,8 @@
 On a table format with row-level operations these are MERGE and DELETE. On plain file tables they
 rewrite exactly the partitions that hold an affected row, and append everything else:
 
-1. one pass over the key columns finds the partitions with matches (their number bounds what the
-   driver sees),
+1. the partitions that can hold a match are looked up by key (``KeyDays``), or else all are searched; their number bounds
+   what the driver sees,
 2. rows for partitions without a match are appended,
 3. partitions with a match are overwritten, emptied ones dropped.
 
@@ -13,14 +13,17 @@ write settles it. File tables replace a partition by delete and rename, so a dri
 that step needs the format with row-level operations to be safe.
 """
 
+import datetime
 import re
 from collections.abc import Collection, Sequence
+from contextlib import nullcontext
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell.operators.keyed import accepted_rows, delete_rows, join_on_keys, rows_absent_from, upsert
+from tallywell.sinks.companions import Batches, KeyDays, TouchedDays
 from tallywell.sinks.layers import FILE_FORMATS
 from tallywell.sources.codec import with_origin
 from tallywell.sources.tables import current_table
@@ -68,13 +71,12 @@ def require_dynamic_overwrite(spark: SparkSession, table: str) -> None:
         )
 
 
-def _rows_per_partition(df: DataFrame, partitions: Sequence[str]) -> dict[tuple, int]:
-    counts = df.groupBy(*partitions).agg(F.count(F.lit(1)).alias("rows")).collect()
-    return {tuple(r[: len(partitions)]): r["rows"] for r in counts}
-
-
 def append_batch(events: DataFrame, table: str, stream_id: str, batch_id: int) -> None:
-    """Append a micro-batch with its arrival time; appending the same batch again replaces it."""
+    """Append a micro-batch with its time and day of arrival; appending the same batch again replaces it.
+
+    The ledger of batches says under which day a batch was filed. A new one is a plain append. A replayed one goes to the same
+    day, whose partition is rewritten without the batch's earlier rows, if there are any.
+    """
     stamped = with_origin(events).withColumns(
         {
             "ingested_at": F.current_timestamp(),
@@ -83,13 +85,32 @@ def append_batch(events: DataFrame, table: str, stream_id: str, batch_id: int) -
         }
     )
     spark = events.sparkSession
+    same = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
+    ledger = Batches.of(spark, table)
+    known = ledger.day_of(stream_id, batch_id) if ledger else None
+    day = known or datetime.datetime.now(datetime.UTC).date()
+    columns = spark.table(table).columns
+    if "arrived_on" in columns:
+        stamped = stamped.withColumn("arrived_on", F.lit(day))
     if supports_row_level(spark, table):
-        same = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
-        stamped.select(*spark.table(table).columns).writeTo(table).overwrite(same)
-    else:
+        stamped.select(*columns).writeTo(table).overwrite(same)
+        return
+    # All rows fall into one partition: nothing to cluster, and no shuffle.
+    rows = stamped.select(*columns)
+    if ledger is None:
         require_dynamic_overwrite(spark, table)
-        # All rows fall into one partition: nothing to cluster, and no shuffle.
-        stamped.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        rows.write.insertInto(table, overwrite=True)
+        return
+    if known is None:
+        ledger.enter(stream_id, batch_id, day)
+        rows.write.insertInto(table)
+        return
+    filed = current_table(spark, table).filter(F.col("arrived_on") == F.lit(day))
+    if filed.filter(same).isEmpty():
+        rows.write.insertInto(table)
+        return
+    require_dynamic_overwrite(spark, table)
+    rows.unionByName(filed.filter(~same)).write.insertInto(table, overwrite=True)
 
 
 def append_rows(rows: DataFrame, table: str) -> None:
@@ -142,20 +163,24 @@ def upsert_table(
     newer_by: str | None = None,
     null_safe: bool = True,
     key_fixes_partition: bool = False,
+    key_fixes: Sequence[str] = (),
 ) -> None:
     """Merge ``source``, which must hold each key once, into ``table``.
 
-    By default a matching row is searched in the whole table, as its partition may have changed.
-    ``key_fixes_partition`` promises that it cannot, and limits the search to the partitions
-    present in ``source``.
+    A matching row may lie in another partition than its source row. It is looked up in the table's ``KeyDays`` if it has
+    them for this key, else searched in the whole table. ``key_fixes`` names partition columns that the key determines, and
+    limits the search to their values in ``source``; ``key_fixes_partition`` says so of all of them.
     """
     spark = source.sparkSession
     if insert_only:
         append_absent(source, table, keys)
-    elif supports_row_level(spark, table):
+        return
+    if key_fixes_partition:
+        key_fixes = partition_columns(spark, table)
+    if supports_row_level(spark, table):
         _merge(source, table, keys, protect, newer_by, null_safe)
     else:
-        _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_fixes_partition)
+        _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_fixes)
 
 
 def _merge(source, table, keys, protect, newer_by, null_safe) -> None:
@@ -174,7 +199,14 @@ def _merge(source, table, keys, protect, newer_by, null_safe) -> None:
         behind = F.expr(f"source.{newer_by} >= {table}.{newer_by}")
         allowed = F.coalesce(behind, F.lit(True))
     merge = source.alias("source").mergeInto(table, on)
-    merge.whenMatched(allowed).updateAll().whenNotMatched().insertAll().merge()
+    log = TouchedDays.of(source.sparkSession, table)
+    days: list = []
+    if log is not None:
+        target = current_table(source.sparkSession, table)
+        replaced = join_on_keys(target, source, keys, "left_semi", null_safe=null_safe).select(log.day)
+        days = [r[0] for r in replaced.unionByName(source.select(log.day)).distinct().collect()]
+    with log.changing(days) if log else nullcontext():
+        merge.whenMatched(allowed).updateAll().whenNotMatched().insertAll().merge()
 
 
 def _literal(value) -> str:
@@ -205,7 +237,7 @@ def _drop_partitions(spark: SparkSession, table: str, partitions: Sequence[str],
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs[first : first + 500])}")
 
 
-def _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_fixes_partition) -> None:
+def _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_fixes) -> None:
     spark = source.sparkSession
     target = current_table(spark, table)
     partitions = partition_columns(spark, table)
@@ -219,38 +251,45 @@ def _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_f
             merged = upsert(target, source, keys, protect=protect, newer_by=newer_by, null_safe=null_safe)
             replace_table(merged, table, provider_of(spark, table))
             return
-        arriving = _rows_per_partition(source, partitions)
-        if not arriving:
+        index = KeyDays.of(spark, table)
+        width = len(partitions)
+        # One row for each partition that the batch has rows for.
+        bucket = index.bucket() if index else F.lit(0)
+        rows = source.groupBy(*partitions).agg(F.count(F.lit(1)).alias("n"), F.collect_set(bucket).alias("buckets")).collect()
+        if not rows:
             return
-        searched = target.filter(_among(target, partitions, arriving)) if key_fixes_partition else target
-        if protect or newer_by:
+        arriving = {tuple(r[:width]): r["n"] for r in rows}
+        buckets = sorted({b for r in rows for b in r["buckets"]})
+        searched = target
+        if key_fixes:
+            fixed = {tuple(value[partitions.index(c)] for c in key_fixes) for value in arriving}
+            searched = target.filter(_among(target, key_fixes, fixed))
+        if index and list(keys) == [index.key]:
+            places = index.partitions_of(source, partitions, buckets)
+            searched = searched.filter(_among(target, partitions, places)) if places else None
+        if searched is not None and (protect or newer_by):
             accepted = accepted_rows(
                 searched, source, keys, protect=protect, newer_by=newer_by, null_safe=null_safe
             ).persist(StorageLevel.MEMORY_AND_DISK)
-            arriving = _rows_per_partition(accepted, partitions)
-        marked = join_on_keys(
-            searched, accepted, keys, "left", keep=[F.lit(True).alias("__hit")], null_safe=null_safe
-        )
-        touched = (
-            marked.groupBy(*partitions)
-            .agg(F.count(F.lit(1)).alias("total"), F.count("__hit").alias("hits"))
-            .filter("hits > 0")
-            .collect()
-        )
-        width = len(partitions)
-        left_over = {tuple(r[:width]): r["total"] - r["hits"] for r in touched}
+            counts = accepted.groupBy(*partitions).agg(F.count(F.lit(1)).alias("n")).collect()
+            arriving = {tuple(r[:width]): r["n"] for r in counts}
+        left_over = _left_over(searched, accepted, keys, partitions, null_safe) if searched is not None else {}
         inside = f"coalesce({_among(target, partitions, left_over)}, false)"
 
-        added = {p: n for p, n in arriving.items() if p not in left_over}
-        if added:
-            _insert(accepted.filter(f"NOT {inside}"), table)
-        rewritten = {p: n + arriving.get(p, 0) for p, n in left_over.items() if n + arriving.get(p, 0)}
-        if rewritten:
-            kept = target.filter(_among(target, partitions, rewritten))
-            kept = rows_absent_from(kept, accepted, keys, null_safe=null_safe)
-            rows = kept.unionByName(accepted.filter(inside))
-            _insert(rows, table, overwrite=True)
-        _drop_partitions(spark, table, partitions, [p for p in left_over if p not in rewritten])
+        log = TouchedDays.of(spark, table)
+        changed = {value[partitions.index(log.day)] for value in {**arriving, **left_over}} if log else ()
+        if index:
+            index.add(accepted, partitions, buckets)
+        with log.changing(changed) if log else nullcontext():
+            added = {p: n for p, n in arriving.items() if p not in left_over}
+            if added:
+                _insert(accepted.filter(f"NOT {inside}"), table)
+            rewritten = {p: n + arriving.get(p, 0) for p, n in left_over.items() if n + arriving.get(p, 0)}
+            if rewritten:
+                kept = target.filter(_among(target, partitions, rewritten))
+                kept = rows_absent_from(kept, accepted, keys, null_safe=null_safe)
+                _insert(kept.unionByName(accepted.filter(inside)), table, overwrite=True)
+            _drop_partitions(spark, table, partitions, [p for p in left_over if p not in rewritten])
     finally:
         if accepted is not source:
             accepted.unpersist()
@@ -258,18 +297,33 @@ def _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_f
             given.unpersist()
 
 
+def _left_over(searched, accepted, keys, partitions, null_safe) -> dict[tuple, int]:
+    """The partitions that hold a row to be replaced, with the number of their other rows."""
+    marked = join_on_keys(searched, accepted, keys, "left", keep=[F.lit(True).alias("__hit")], null_safe=null_safe)
+    touched = (
+        marked.groupBy(*partitions)
+        .agg(F.count(F.lit(1)).alias("total"), F.count("__hit").alias("hits"))
+        .filter("hits > 0")
+        .collect()
+    )
+    return {tuple(r[: len(partitions)]): r["total"] - r["hits"] for r in touched}
+
+
 def delete_from_table(spark: SparkSession, table: str, where: str) -> int:
     """Delete the rows for which ``where`` is TRUE; returns their number."""
     target = current_table(spark, table)
     hit = F.coalesce(F.expr(where), F.lit(False))
     partitions = partition_columns(spark, table)
     row_level = supports_row_level(spark, table)
-    if row_level or not partitions:
+    log = TouchedDays.of(spark, table)
+    if not partitions:
         doomed = target.filter(hit).count()
-        if doomed and row_level:
-            spark.sql(f"DELETE FROM {table} WHERE {where}")
-        elif doomed:
-            replace_table(delete_rows(target, where), table, provider_of(spark, table))
+        days = [r[0] for r in target.filter(hit).select(log.day).distinct().collect()] if log and doomed else []
+        with log.changing(days) if log else nullcontext():
+            if doomed and row_level:
+                spark.sql(f"DELETE FROM {table} WHERE {where}")
+            elif doomed:
+                replace_table(delete_rows(target, where), table, provider_of(spark, table))
         return doomed
     touched = (
         target.groupBy(*partitions)
@@ -279,9 +333,15 @@ def delete_from_table(spark: SparkSession, table: str, where: str) -> int:
     )
     width = len(partitions)
     left_over = {tuple(r[:width]): r["total"] - r["hits"] for r in touched}
-    rewritten = {p: n for p, n in left_over.items() if n}
-    if rewritten:
-        kept = delete_rows(target.filter(_among(target, partitions, rewritten)), where)
-        _insert(kept, table, overwrite=True)
-    _drop_partitions(spark, table, partitions, [p for p in left_over if p not in rewritten])
+    changed = {value[partitions.index(log.day)] for value in left_over} if log else ()
+    with log.changing(changed) if log else nullcontext():
+        if row_level:
+            if touched:
+                spark.sql(f"DELETE FROM {table} WHERE {where}")
+            return sum(r["hits"] for r in touched)
+        rewritten = {p: n for p, n in left_over.items() if n}
+        if rewritten:
+            kept = delete_rows(target.filter(_among(target, partitions, rewritten)), where)
+            _insert(kept, table, overwrite=True)
+        _drop_partitions(spark, table, partitions, [p for p in left_over if p not in rewritten])
     return sum(r["hits"] for r in touched)

@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tallywell.operators.identity import ROW_KEY, with_identity
 from tallywell.operators.keyed import latest_per_key, rows_absent_from
-from tallywell.operators.quality import alert_messages, expectation_results
+from tallywell.operators.quality import alert_messages, observed_expectations, observed_results
 from tallywell.operators.remediate import BLANK_STATUS_RULE, EMPTY_STATUS_RULE, repair_column
-from tallywell.operators.review import HUMAN_RULE
+from tallywell.operators.review import HUMAN_RULE, pending_queue
 from tallywell.operators.validate import DEFAULT_POLICY, Policy, clean_rows, classify, quarantined_rows
 from tallywell.schemas import EVENT_FIELDS, ORIGIN_FIELDS, PENDING_SCHEMA, SILVER_SCHEMA
 from tallywell.sinks.layers import Layers
@@ -26,11 +27,6 @@ from tallywell.sources.tables import current_table
 # Fixed value: default trigger interval.
 TRIGGER = "15 seconds"
 
-# A quarantined row is known by all it holds: rows that share ids but differ, and unreadable payloads, are rows of
-# their own. A readable row that is delivered again at another place is the same row.
-PENDING_KEYS = (*EVENT_FIELDS, *ORIGIN_FIELDS)
-
-
 @dataclass(frozen=True)
 class PipelineOptions:
     """``protect_reviewed`` keeps a human-corrected order when the order is delivered again.
@@ -55,12 +51,13 @@ def pending_from(classified: DataFrame) -> DataFrame:
     """Quarantined rows, each once, in quarantine layout."""
     rows = quarantined_rows(with_origin(classified))
     place = F.when(F.col("payload").isNotNull(), F.col("source"))
-    return rows.withColumn("source", place).select(*PENDING_SCHEMA.fieldNames()).dropDuplicates([*PENDING_KEYS])
+    rows = with_identity(rows.withColumn("source", place))
+    return rows.select(*PENDING_SCHEMA.fieldNames()).dropDuplicates([*ROW_KEY])
 
 
 def absent_from_pending(rows: DataFrame, pending: DataFrame) -> DataFrame:
     """Rows that ``pending`` does not hold, whatever their state there."""
-    return rows_absent_from(rows, pending, PENDING_KEYS)
+    return rows_absent_from(rows, pending, ROW_KEY, null_safe=False)
 
 
 def merged_pending(pending: DataFrame, rows: DataFrame) -> DataFrame:
@@ -68,9 +65,24 @@ def merged_pending(pending: DataFrame, rows: DataFrame) -> DataFrame:
     return pending.unionByName(absent_from_pending(rows, pending))
 
 
-def append_pending(rows: DataFrame, layers: Layers) -> None:
+def append_pending(rows: DataFrame, layers: Layers, *, only_open: bool = False) -> None:
+    """Add the rows that quarantine does not hold yet, or with ``only_open`` does not hold open.
+
+    A row's key fixes its day of delivery, so only the days among ``rows`` are compared.
+    """
     pending = current_table(rows.sparkSession, layers.pending)
-    append_rows(absent_from_pending(rows, pending), layers.pending)
+    own, kept = not rows.is_cached, rows
+    if own:
+        kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        days = [r["arrival"] for r in kept.select("arrival").distinct().collect()]
+        if not days:
+            return
+        held = pending.filter(F.col("arrival").isin(*days))
+        append_rows(absent_from_pending(kept, pending_queue(held) if only_open else held), layers.pending)
+    finally:
+        if own:
+            kept.unpersist()
 
 
 def process_batch(
@@ -81,9 +93,14 @@ def process_batch(
     stream_id: str,
     options: PipelineOptions | None = None,
     on_alert: Callable[[str], None] | None = None,
+    on_results: Callable[[DataFrame], None] | None = None,
 ) -> None:
-    """Write one batch of events to bronze, quarantine and silver."""
-    options = options or PipelineOptions()
+    """Write one batch of events to bronze, quarantine and silver.
+
+    ``on_results`` gets the outcome of the expectations on the rows for silver, ``on_alert`` a message for each that failed.
+    Both hear of it after the write.
+    """
+    options, spark = options or PipelineOptions(), batch.sparkSession
     if batch.isEmpty():
         return
     events = with_origin(batch).select(*EVENT_FIELDS, *ORIGIN_FIELDS)
@@ -92,11 +109,9 @@ def process_batch(
     try:
         append_batch(classified.select(*EVENT_FIELDS, *ORIGIN_FIELDS), layers.bronze, stream_id, batch_id)
         append_pending(pending_from(classified), layers)
-        silver = silver_from(classified, options.policy).persist(StorageLevel.MEMORY_AND_DISK)
-        if on_alert is not None:
-            # At most one row per expectation.
-            for row in alert_messages(expectation_results(silver)).collect():
-                on_alert(row["message"])
+        # The expectations are counted while the rows are made for the write: no job of their own.
+        checked, seen = observed_expectations(silver_from(classified, options.policy))
+        silver = checked.persist(StorageLevel.MEMORY_AND_DISK)
         upsert_table(
             silver,
             layers.silver,
@@ -105,6 +120,14 @@ def process_batch(
             newer_by="ingest_id" if options.keep_newest else None,
             key_fixes_partition=options.order_day_is_fixed,
         )
+        if on_results is not None or on_alert is not None:
+            results = observed_results(spark, seen)
+            if on_results is not None:
+                on_results(results)
+            if on_alert is not None:
+                # At most one row per expectation.
+                for row in alert_messages(results).collect():
+                    on_alert(row["message"])
     finally:
         if silver is not None:
             silver.unpersist()
@@ -119,6 +142,7 @@ def start_pipeline(
     trigger: str | None = TRIGGER,
     options: PipelineOptions | None = None,
     on_alert: Callable[[str], None] | None = None,
+    on_results: Callable[[DataFrame], None] | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """Start the stream; ``trigger=None`` works off what is there and stops.
@@ -131,7 +155,7 @@ def start_pipeline(
         stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         if not stream_id:
             raise RuntimeError("the stream's id is unknown, so its batches cannot be told from those of others")
-        process_batch(batch, batch_id, layers, stream_id=stream_id, options=options, on_alert=on_alert)
+        process_batch(batch, batch_id, layers, stream_id=stream_id, options=options, on_alert=on_alert, on_results=on_results)
 
     writer = events.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     if name:

@@ -6,7 +6,7 @@ from tallywell.schemas import EVENT_FIELDS
 from tallywell.sinks import Layers, create_layers, upsert_table
 from tallywell.sources import current_table, decode_events, file_stream
 from tallywell.streaming import PipelineOptions, process_batch, start_pipeline
-from tallywell.streaming.pipeline import PENDING_KEYS, pending_from, silver_from
+from tallywell.streaming.pipeline import pending_from, silver_from
 
 # Two of each kind: sound, to be repaired, negative, and without a customer.
 MICRO_BATCH = [
@@ -84,7 +84,7 @@ def test_redelivery_options(spark, layers, events):
 def test_replay_does_not_reopen_a_closed_review(spark, layers, events):
     run(spark, layers, events(*MICRO_BATCH))
     closed = current_table(spark, layers.pending).withColumn("_status", F.lit("REJECTED"))
-    upsert_table(closed, layers.pending, PENDING_KEYS)
+    upsert_table(closed, layers.pending, ["row_key"])
     run(spark, layers, events(*MICRO_BATCH))
     assert [r["_status"] for r in current_table(spark, layers.pending).collect()] == ["REJECTED"] * len(HELD)
 

@@ -67,6 +67,7 @@ def _repaired(source: str) -> str:
 
 _EVENTS = ", ".join(FIELDS)
 _FIRST = "CAST(ingest_id AS BIGINT) < 2000000000000"
+_NO_KEY_OF_A = "(coalesce(a.order_id, '') = '' OR coalesce(a.customer_id, '') = '' OR a.created_date IS NULL)"
 _SAME_DELIVERY = "a.order_id IS NOT DISTINCT FROM b.order_id AND a.ingest_id IS NOT DISTINCT FROM b.ingest_id"
 
 # Every step by name; a statement lists only those it needs.
@@ -113,9 +114,13 @@ _STEPS = {
                              WHEN upper(trim(decision)) IN ('N', 'REJECTED') THEN 'REJECTED'
                              WHEN upper(trim(decision)) IN ('S', 'SKIP') THEN 'SKIP' END AS verdict,
                      try_cast(corrected_value AS DECIMAL(18,2)) AS amount FROM decisions)""",
+    "located": f"""
+        SELECT b.* REPLACE (CASE WHEN a.ingest_id IS NULL THEN 'NOT_PENDING'
+                                 WHEN b.verdict = 'APPROVED' AND {_NO_KEY_OF_A} THEN 'BREAKS_KEY_CONTRACT' END AS reason)
+        FROM judged b LEFT JOIN pending a ON {_SAME_DELIVERY} WHERE b.reason IS NULL AND b.verdict <> 'SKIP'""",
     "ranked": """
         SELECT *, row_number() OVER (PARTITION BY order_id, ingest_id ORDER BY reviewed_at DESC) AS place
-        FROM judged WHERE reason IS NULL AND verdict <> 'SKIP'""",
+        FROM located WHERE reason IS NULL""",
     "final": "SELECT * FROM ranked WHERE place = 1",
     "decided": f"""
         SELECT a.*, b.verdict, b.amount, b.reviewed_by, b.reviewed_at
@@ -125,8 +130,7 @@ _STEPS = {
                CAST(amount AS VARCHAR) AS payment_value, amount AS parsed_payment_value, created_date,
                'VALID' AS validation_status, true AS _is_remediated, 'HUMAN_OVERRIDE' AS _remediation_rule
         FROM decided WHERE verdict = 'APPROVED'""",
-    "updates": "SELECT * FROM "
-    + _latest("approved", "coalesce(order_id, ''), CASE WHEN coalesce(order_id, '') = '' THEN ingest_id END", "ingest_id DESC"),
+    "updates": f"SELECT * FROM {_latest('approved', 'order_id', 'ingest_id DESC')}",
     "reviewed": f"""
         SELECT a.* REPLACE (coalesce(b.verdict, a._status) AS _status)
         FROM pending a LEFT JOIN final b ON {_SAME_DELIVERY}""",
@@ -316,8 +320,8 @@ _BAD_DECISIONS = f"""
     SELECT order_id, ingest_id, decision, corrected_value, reviewed_by, reviewed_at, 'SUPERSEDED'
     FROM ranked WHERE place > 1
     UNION ALL
-    SELECT order_id, ingest_id, decision, corrected_value, reviewed_by, reviewed_at, 'NOT_PENDING'
-    FROM final a WHERE NOT EXISTS (SELECT 1 FROM pending b WHERE {_SAME_DELIVERY})"""
+    SELECT order_id, ingest_id, decision, corrected_value, reviewed_by, reviewed_at, reason
+    FROM located WHERE reason IS NOT NULL"""
 
 _SILVER = "SELECT * FROM silver"
 _PENDING = "SELECT * FROM pending"

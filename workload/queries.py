@@ -12,7 +12,7 @@ from tallywell.operators.purge import anomalies, without_anomalies, without_blan
 from tallywell.operators.quality import CONTRACTS, alert_messages, contract_results, expectation_results
 from tallywell.operators.remediate import EMPTY_STATUS_RULE, repair_column
 from tallywell.operators.report import BREAKDOWNS, breakdown, inspect_layers, top_rows
-from tallywell.operators.review import ORDER_KEYS, ReviewOutcome, apply_decisions, pending_queue
+from tallywell.operators.review import ReviewOutcome, apply_decisions, pending_queue
 from tallywell.operators.validate import Policy, clean_rows, classify, quarantined_rows, violations
 from tallywell.plans.gold import (
     customer_activity,
@@ -26,7 +26,7 @@ from tallywell.plans.gold import (
 )
 from tallywell.plans.governance import purge_job, review_job
 from tallywell.plans.ingest import order_events
-from tallywell.schemas import EVENT_FIELDS, EVENT_SCHEMA, ORIGIN_FIELDS, SILVER_SCHEMA
+from tallywell.schemas import EVENT_FIELDS, EVENT_SCHEMA, IDENTITY_FIELDS, ORIGIN_FIELDS, SILVER_SCHEMA
 from tallywell.sinks import Layers, append_batch, create_layers, upsert_table
 from tallywell.sinks.workspace import shared_folder
 from tallywell.sources import (
@@ -68,8 +68,8 @@ def _pending(spark: SparkSession, sf_dir: str, delivery: int | None = None) -> D
 
 
 def _shown(pending: DataFrame) -> DataFrame:
-    """Without the origin, which only unreadable payloads have."""
-    return pending.drop(*ORIGIN_FIELDS)
+    """Without the origin, which only unreadable payloads have, and the hashes that tell rows apart."""
+    return pending.drop(*ORIGIN_FIELDS, *IDENTITY_FIELDS)
 
 
 # Scan, decode, ingest
@@ -373,7 +373,7 @@ def review_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def review_bad_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _review(spark, sf_dir).bad_decisions
+    return _review(spark, sf_dir).bad_decisions.drop("row_key")
 
 
 def _legacy_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -467,7 +467,7 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     append_batch(raw_events(spark, sf_dir, 1), layers.bronze, "orders", 0)
     for _ in range(2):
         append_batch(raw_events(spark, sf_dir, 2), layers.bronze, "orders", 1)
-    return current_table(spark, layers.bronze).drop("ingested_at", "stream_id", *ORIGIN_FIELDS)
+    return current_table(spark, layers.bronze).drop("ingested_at", "stream_id", "arrived_on", *ORIGIN_FIELDS)
 
 
 @query
@@ -498,11 +498,11 @@ def table_review_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def table_review_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The job stops after its first write and is repeated: approved rows without order id are not doubled."""
+    """The job stops after its first write and is repeated, and nothing is doubled."""
     layers = _fresh_layers(spark)
     upsert_table(_silver(spark, sf_dir), layers.silver, ["order_id"])
     append_pending(_pending(spark, sf_dir), layers)
-    upsert_table(_review(spark, sf_dir).silver_updates, layers.silver, ORDER_KEYS)
+    upsert_table(_review(spark, sf_dir).silver_updates, layers.silver, ["order_id"])
     for _ in range(2):
         review_job(spark, layers, decisions(spark, sf_dir))
     return current_table(spark, layers.silver)
@@ -592,7 +592,7 @@ def table_gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     upsert_table(_silver(spark, sf_dir, 1).filter("created_date < DATE'2000-01-01'"), layers.silver, ["order_id"])
     refresh_daily_revenue(spark, layers)
     upsert_table(_silver(spark, sf_dir), layers.silver, ["order_id"])
-    refresh_daily_revenue(spark, layers)
+    refresh_daily_revenue(spark, layers, lookback_days=0)
     refresh_customer_activity(spark, layers)
     return current_table(spark, layers.daily_revenue)
 
@@ -625,7 +625,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = current_table(spark, _streamed_from_table(spark, sf_dir).bronze)
-    return bronze.drop("ingested_at", "stream_id", *ORIGIN_FIELDS)
+    return bronze.drop("ingested_at", "stream_id", "arrived_on", *ORIGIN_FIELDS)
 
 
 @query
