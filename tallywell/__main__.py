@@ -12,7 +12,6 @@ from tallywell.operators.validate import Policy
 from tallywell.plans.gold import create_views, refresh_customer_activity, refresh_daily_revenue
 from tallywell.plans.governance import contracts_job, open_reviews, purge_job, review_job
 from tallywell.plans.ingest import order_events
-from tallywell.schemas import DECISION_SCHEMA
 from tallywell.sinks import Layers, create_layers, file_writer, kafka_writer, publish_events
 from tallywell.sources import (
     decode_events,
@@ -119,8 +118,8 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> int:
         refresh_customer_activity(spark, layers, provider=args.provider)
         create_views(spark, layers)
     elif args.job == "review":
-        decisions = read_csv_text(spark, args.decisions, DECISION_SCHEMA.fieldNames())
-        bad = review_job(spark, layers, decisions)
+        # Files may go without the row_key that ``queue`` writes.
+        bad = review_job(spark, layers, read_csv_text(spark, args.decisions))
         print(f"{bad.count()} decisions could not be applied, see {layers.bad_decisions}")
     elif args.job == "queue":
         open_reviews(spark, layers).write.option("header", True).csv(args.folder)

@@ -50,9 +50,9 @@ def sum_payments(payments: DataFrame) -> DataFrame:
     return totals.select("order_id", text.alias("paid"))
 
 
-def join_payments(orders: DataFrame, payments: DataFrame, *, hot: Sequence | None = None) -> DataFrame:
+def join_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Every order with the text sum of its payments, '0.00' where there are none."""
-    joined = lookup_join(orders, sum_payments(payments), "order_id", hot=hot)
+    joined = lookup_join(orders, sum_payments(payments), "order_id")
     paid = F.coalesce(F.col("paid"), F.lit(FIELD_DEFAULTS["payment_value"]))
     return joined.withColumn("payment_value", paid).drop("paid")
 

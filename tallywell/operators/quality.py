@@ -156,5 +156,5 @@ def contract_results(
     if missing:
         rows = [(c.table, c.unique, "unique", None) for c in missing]
         rows += [(c.table, column, "not_null", None) for c in missing for column in c.not_null]
-        parts.append(parts[0].sparkSession.createDataFrame(rows, parts[0].schema))
+        parts.append(parts[0].sparkSession.createDataFrame(rows, "table string, column string, test string, failures bigint"))
     return reduce(DataFrame.unionByName, parts)

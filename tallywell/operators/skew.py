@@ -1,61 +1,19 @@
 """Left lookup join that no single key can overload."""
 
-from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, key: str, share: float) -> tuple[list, bool]:
-    """Values of ``key`` that make up at least ``share`` of the rows, and whether NULL does.
-
-    At most ``1 / share`` values. A frequent-items sketch proposes a superset in one pass over the
-    key column, a second pass counts the proposals exactly.
-    """
-    proposed = [v for v in df.select(key).stat.freqItems([key], share).first()[0] if v is not None]
-    k = F.col(key)
-    counts = (
-        df.groupBy(k.isNull().alias("missing"), F.when(k.isin(proposed), k).alias("value")).count().collect()
-    )
-    bar = share * sum(r["count"] for r in counts)
-    hot = [r["value"] for r in counts if r["value"] is not None and r["count"] >= bar]
-    return hot, any(r["missing"] and r["count"] >= bar for r in counts)
-
-
-def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    *,
-    share: float = 0.01,
-    hot: Sequence | None = None,
-) -> DataFrame:
-    """``left`` LEFT JOIN ``right`` on ``key``, where ``right`` holds each key at most once.
+def lookup_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left`` LEFT JOIN ``right`` on the text column ``key``, where ``right`` holds each key at most once.
 
-    Rows of a hot key meet their one right-hand row by broadcast: those are at most ``1 / share``
-    rows by construction. Rows without a key match nothing and are never shuffled. All other rows
-    take the ordinary join. Without hot keys the plan is the ordinary join alone. Pass ``hot`` to
-    skip the detection, an empty list for "none".
+    One join, and no job before it. Rows without a key match nothing: they are dealt out by their content instead of meeting in
+    one task. A key of very many rows is split by adaptive execution, which measures the shuffled partitions and reads the
+    other side's one row for each part. It does so only for a shuffle that stands right below the join; an aggregated ``right``
+    is partitioned by its key already and would get none, so its key is written as an expression that hides that.
     """
-    if hot is None:
-        hot, null_is_hot = hot_keys(left, key, share)
-    else:
-        null_is_hot = bool(hot)
-    if not hot and not null_is_hot:
-        return left.join(right, key, "left")
-    k = F.col(key)
-    is_hot = k.isin(list(hot))
-    right_only = [f for f in right.schema.fields if f.name != key]
-    columns = [*left.columns, *[f.name for f in right_only]]
-
-    # A missing key passes neither test on the right, where it could match nothing anyway.
-    parts = [
-        left.filter(k.isNotNull() & ~is_hot).join(right.filter(~is_hot), key, "left").select(*columns),
-        left.filter(k.isNull()).withColumns({f.name: F.lit(None).cast(f.dataType) for f in right_only}),
-    ]
-    if hot:
-        parts.append(
-            left.filter(is_hot).join(F.broadcast(right.filter(is_hot)), key, "left").select(*columns)
-        )
-    return reduce(DataFrame.unionByName, parts)
+    names = [c for c in right.columns if c != key]
+    spread = F.when(F.col(key).isNull(), F.xxhash64(*left.columns)).otherwise(F.lit(0))
+    own = left.withColumns({"__asked": F.coalesce(F.concat(F.lit("="), key), F.concat(F.lit("-"), spread.cast("string")))})
+    other = right.filter(F.col(key).isNotNull()).select(F.concat(F.lit("="), key).alias("__held"), *names)
+    return own.join(other, F.col("__asked") == F.col("__held"), "left").select(*left.columns, *names)

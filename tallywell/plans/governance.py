@@ -59,6 +59,9 @@ def contracts_job(spark: SparkSession, layers: Layers, report: Callable[[str], o
     """Run the contracts on the stored tables, report each, and return 1 if one is broken or its table missing."""
     tested = {c.table for c in CONTRACTS}
     frames = {name: df for name, df in layers.frames(spark).items() if name in tested}
+    if not any(df is not None for df in frames.values()):
+        report("FAIL no table")
+        return 1
     failed = 0
     for row in contract_results(frames).collect():  # one row for each contract
         failed += row["failures"] != 0

@@ -18,7 +18,7 @@ from tallywell.plans.gold import (
     register_views,
 )
 from tallywell.schemas import CUSTOMER_ACTIVITY_SCHEMA, DAILY_REVENUE_SCHEMA, SILVER_SCHEMA
-from tallywell.sinks import upsert_table
+from tallywell.sinks import delete_from_table, upsert_table
 from tallywell.streaming.pipeline import silver_from
 
 D1, D2, D3 = (datetime.date(2026, 1, d) for d in (1, 2, 3))
@@ -80,10 +80,15 @@ def test_stored_models_and_views(spark, layers, events):
         refresh_customer_activity(spark, layers)
     assert spark.table(layers.daily_revenue).count() == 2
     upsert_table(silver(events, ("8", "y", "c1", "s", at(D1), "1"), ("9", "z", "c9", "s", at(D3), "5")), layers.silver, ["order_id"])
+    for options, first in (({"lookback_days": 0}, 2), ({}, 3), ({"full_refresh": True}, 3)):
+        refresh_daily_revenue(spark, layers, **options)
+        assert {r["revenue_date"]: r["total_orders"] for r in spark.table(layers.daily_revenue).collect()} == {D1: first, D2: 2, D3: 1}
+    # A day that loses its last order goes.
+    delete_from_table(spark, layers.silver, "order_id = 'z'")
+    refresh_daily_revenue(spark, layers)
+    assert {r["revenue_date"] for r in spark.table(layers.daily_revenue).collect()} == {D1, D2}
+    upsert_table(silver(events, ("9", "z", "c9", "s", at(D3), "5")), layers.silver, ["order_id"])
     refresh_daily_revenue(spark, layers)
-    assert {r["revenue_date"]: r["total_orders"] for r in spark.table(layers.daily_revenue).collect()} == {D1: 2, D2: 2, D3: 1}
-    refresh_daily_revenue(spark, layers, full_refresh=True)
-    assert {r["revenue_date"]: r["total_orders"] for r in spark.table(layers.daily_revenue).collect()} == {D1: 3, D2: 2, D3: 1}
 
     create_views(spark, layers)
     home = layers.daily_revenue.rsplit(".", 1)[0]

@@ -53,6 +53,9 @@ def test_jobs_end_to_end(spark, tmp_path, capsys):
     assert [r["reason"] for r in current_table(spark, layers.bad_decisions).collect()] == ["UNKNOWN_DECISION"]
     job("purge")
     assert "0 rows moved" in capsys.readouterr().out
+    assert run(spark, [*shared, "contracts"]) == 1  # gold is not there yet
+    shown = capsys.readouterr().out
+    assert shown.count("PASS") == 3 and shown.count("FAIL no table") == 10
     job("refresh")
     job("refresh", "--lookback-days", "2")
     revenue = {str(r["revenue_date"]): str(r["gross_revenue"]) for r in current_table(spark, layers.daily_revenue).collect()}
@@ -82,3 +85,8 @@ def test_faults_reach_the_dead_letters(spark, tmp_path, capsys):
 def test_unknown_job_is_refused(spark):
     with pytest.raises(SystemExit):
         run(spark, ["dance"])
+
+
+def test_contracts_without_any_table_fail(spark, capsys):
+    assert run(spark, ["--prefix", "nowhere_", "contracts"]) == 1
+    assert "FAIL no table" in capsys.readouterr().out

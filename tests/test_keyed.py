@@ -2,7 +2,7 @@ from plain_rows import as_dicts
 from pyspark.sql import functions as F
 
 from tallywell.operators.keyed import delete_rows, latest_per_key, update_columns, upsert
-from tallywell.operators.skew import hot_keys, lookup_join
+from tallywell.operators.skew import lookup_join
 
 SCHEMA = "k string, i string, v int"
 
@@ -61,17 +61,35 @@ def skewed(spark):
     return spark.range(3000).select(key.alias("k"), F.col("id").alias("n"))
 
 
-def test_hot_keys_are_exact(spark):
-    assert hot_keys(skewed(spark), "k", 0.05) == (["hot"], True)
-    assert hot_keys(spark.range(1000).select(F.col("id").cast("string").alias("k")), "k", 0.05) == ([], False)
-
-
 def test_lookup_join_equals_left_join_under_skew(spark):
     left = skewed(spark)
     right = left.filter("k IS NOT NULL AND n % 2 = 0").groupBy("k").agg(F.sum("n").alias("s"))
-    right = right.unionByName(spark.createDataFrame([("extra", 1)], "k string, s bigint"))
-    expected = as_dicts(left.join(right, "k", "left"))
-    for hot in (None, ["hot"], []):
-        got = lookup_join(left, right, "k", share=0.05, hot=hot)
-        assert got.columns == ["k", "n", "s"]
-        assert as_dicts(got) == expected
+    right = right.unionByName(spark.createDataFrame([("extra", 1), (None, 2), ("", 3)], "k string, s bigint"))
+    got = lookup_join(left, right, "k")
+    assert got.columns == ["k", "n", "s"]
+    assert as_dicts(got) == as_dicts(left.join(right, "k", "left"))
+
+
+def test_a_hot_key_is_split_and_nothing_runs_while_planning(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        left = skewed(spark).repartition(8)
+        right = left.filter("k IS NOT NULL").groupBy("k").agg(F.sum("n").alias("s"))
+        spark.sparkContext.setJobGroup("planning", "")
+        got = lookup_join(left, right, "k")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        rows = got.collect()
+        assert len(rows) == 3000 and {r["s"] for r in rows if r["k"] == "hot"} == {sum(range(0, 3000, 3))}
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -1,11 +1,15 @@
+import shutil
+
 from plain_rows import as_dicts
 from pyspark.sql import functions as F
 
 from tallywell.operators.validate import classify
 from tallywell.schemas import EVENT_FIELDS
 from tallywell.sinks import Layers, create_layers, upsert_table
+from tallywell.sinks.publish import batch_file_writer, publish_stream
 from tallywell.sources import current_table, decode_events, file_stream
 from tallywell.streaming import PipelineOptions, process_batch, start_pipeline
+from tallywell.streaming.dedup import without_redeliveries
 from tallywell.streaming.pipeline import pending_from, silver_from
 
 # Two of each kind: sound, to be repaired, negative, and without a customer.
@@ -180,3 +184,57 @@ def test_rows_with_the_same_ids_are_all_kept(spark, layers, events):
     run(spark, layers, events(*rows, rows[0]), 0)
     run(spark, layers, events(*rows, ("9", "", "c9", "s", "2031-01-01 00:00:00", "1")), 1)
     assert sorted(r["customer_id"] for r in current_table(spark, layers.pending).collect()) == ["c0", "c1", "c2", "c9"]
+
+
+def test_expectations_ride_on_the_write(spark, layers, events):
+    heard, jobs = [], spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("expectations", "")
+    run(spark, layers, events(("1", "o", "c", "", "2026-01-01 10:00:00", "-5"), *MICRO_BATCH), on_results=heard.append)
+    with_results = len(jobs.getJobIdsForGroup("expectations"))
+    spark.sparkContext.setJobGroup("plain", "")
+    run(spark, layers, events(("2", "p", "c", "", "2026-01-01 10:00:00", "-5"), *MICRO_BATCH), 1)
+    assert with_results <= len(jobs.getJobIdsForGroup("plain")) + 1  # the first batch also files its rows anew
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    rows = {(r["check"], r["column"]): (r["failed"], r["total"], r["success"]) for r in heard[0].collect()}
+    assert rows == {("not_null", "order_id"): (0, 5, True), ("at_least_0", "parsed_payment_value"): (1, 5, False)}
+
+
+def test_publishing_a_stream_reads_it_once_and_counts_dead_letters(spark, events, tmp_path):
+    inbox, alerts = f"{tmp_path}/in", []
+    for part in (MICRO_BATCH[:3], MICRO_BATCH[3:], [("k09", None, None, "s", "", "1")]):
+        events(*part).coalesce(1).write.mode("append").parquet(inbox)
+        writers = [batch_file_writer(f"{tmp_path}/{name}") for name in ("main", "dead")]
+        publish_stream(file_stream(spark, inbox), *writers, f"{tmp_path}/cp", on_dead=alerts.append).awaitTermination()
+    assert alerts == [2, 1]
+    dead = spark.read.parquet(f"{tmp_path}/dead").collect()
+    assert sorted(r["error"].split(": ")[1] for r in dead) == ["customer_id", "order_id,customer_id", "order_status"]
+    assert spark.read.parquet(f"{tmp_path}/main").count() == 6
+    # A batch that is repeated replaces its own files.
+    shutil.rmtree(f"{tmp_path}/cp/commits")
+    publish_stream(file_stream(spark, inbox), *writers, f"{tmp_path}/cp").awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/main").count() + spark.read.parquet(f"{tmp_path}/dead").count() == 9
+
+
+def timed_id(ms, n):
+    stamp = f"{ms:012x}"
+    return f"{stamp[:8]}-{stamp[8:]}-7abc-8def-{n:012}"
+
+
+def test_redeliveries_are_dropped_within_the_watermark(spark, events, tmp_path):
+    hour, inbox = 3_600_000, f"{tmp_path}/in"
+
+    def row(at, n):
+        return (timed_id(at, n), f"o{n}", "c", "s", "2031-03-09 08:15:00", "1")
+
+    batches = [
+        [row(hour, 1), row(hour, 1), row(hour, 2), ("plain", "o3", "c", "s", "2031-03-09 08:15:00", "1")],
+        [row(hour, 1), row(hour + 60_000, 4)],  # again after a restart
+        [row(5 * hour, 5)],
+    ]
+    for part in batches:
+        events(*part).coalesce(1).write.mode("append").parquet(inbox)
+        once = without_redeliveries(file_stream(spark, inbox), "30 minutes")
+        assert once.columns == [*EVENT_FIELDS]
+        writer = once.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True)
+        writer.start(f"{tmp_path}/out").awaitTermination()
+    assert sorted(r["order_id"] for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["o1", "o2", "o3", "o4", "o5"]

@@ -140,6 +140,16 @@ _STEPS = {
                'payment_value' AS field_changed,
                CASE WHEN verdict = 'APPROVED' THEN 'APPROVE_AND_FIX' ELSE 'REJECT' END AS action,
                reviewed_by, reviewed_at FROM decided""",
+    "reviewed_silver": (
+        "SELECT * FROM updates UNION ALL SELECT * FROM silver WHERE order_id NOT IN (SELECT order_id FROM updates)"
+    ),
+    "silver_2": f"SELECT * FROM {_latest('(SELECT * FROM repaired WHERE NOT ' + _FIRST + ')', 'order_id', 'ingest_id DESC')}",
+    "same_ids": f"""
+        SELECT DISTINCT CASE WHEN order_id <> '' THEN concat('c', coalesce(try_cast(customer_id AS BIGINT), 0) % 10)
+                             ELSE order_id END AS order_id,
+               customer_id, order_status, order_purchase_timestamp, payment_value, created_date,
+               length(concat_ws('|', order_purchase_timestamp, payment_value, customer_id)) % 3 AS verdict
+        FROM classified WHERE route = 'quarantine'""",
     "legacy_daily": f"SELECT * FROM {_daily('legacy')}",
     "legacy_activity": f"SELECT * FROM {_activity('legacy')}",
 }
@@ -329,6 +339,11 @@ _WITH_BATCH = f"SELECT *, CASE WHEN {_FIRST} THEN CAST(0 AS BIGINT) ELSE CAST(1
 _MISSING = ", ".join(f"CASE WHEN {f} IS NULL THEN '{f}' END" for f in FIELDS)
 _ANY_NULL = " OR ".join(f"{f} IS NULL" for f in FIELDS)
 
+# The length of an event as JSON text without spaces, NULLs written out.
+_AS_JSON = "concat('{', " + ", ',', ".join(
+    f"'\"{f}\":', coalesce('\"' || {f} || '\"', 'null')" for f in FIELDS
+) + ", '}')"
+
 ORACLES = {
     name: _sql(select)
     for name, select in {
@@ -423,6 +438,39 @@ ORACLES = {
         "stream_quarantine": _PENDING,
         "stream_bronze": "SELECT *, CAST(0 AS BIGINT) AS batch_id FROM raw",
         "stream_rate_limited": f"SELECT ingest_id, count(*) OVER (PARTITION BY {_FIRST}) AS in_batch FROM raw",
+        "stream_expectations": " UNION ALL ".join(
+            f"SELECT {batch} AS batch, * FROM ({_EXPECTATIONS.replace('legacy', source)})"
+            for batch, source in enumerate(("silver_1", "silver_2"))
+        ),
+        "stream_structural_split": (
+            f"SELECT *, NULL AS error, CAST(NULL AS BIGINT) AS alert FROM raw WHERE NOT ({_ANY_NULL}) UNION ALL "
+            f"SELECT *, concat('required field is null: ', concat_ws(',', {_MISSING})) AS error, "
+            f"count(*) OVER (PARTITION BY {_FIRST}) AS alert FROM raw WHERE {_ANY_NULL}"
+        ),
+        "stream_watermark_dedup": " UNION ALL ".join(
+            f"SELECT order_id, {status} AS order_status, payment_value FROM ({_PAYMENTS})"
+            for status in ("'processing'", "order_status")
+        ),
+        "gold_touched_days": f"SELECT * FROM {_daily('reviewed_silver')}",
+        "table_review_same_ids": f"""
+            SELECT 'row' AS what, order_id, customer_id, payment_value,
+                   CASE verdict WHEN 1 THEN 'REJECTED' WHEN 2 THEN 'PENDING'
+                                ELSE CASE WHEN {_NO_KEY} THEN 'PENDING' ELSE 'APPROVED' END END AS _status FROM same_ids
+            UNION ALL
+            SELECT 'silver', order_id, NULL, '12.50', NULL FROM same_ids WHERE verdict = 0 AND NOT {_NO_KEY} GROUP BY order_id
+            UNION ALL
+            SELECT 'bad', order_id, NULL, NULL, 'BREAKS_KEY_CONTRACT' FROM same_ids WHERE verdict = 0 AND {_NO_KEY}
+            UNION ALL
+            SELECT CASE kind WHEN 1 THEN 'payload' ELSE 'bad' END, CASE kind WHEN 1 THEN order_id END,
+                   CASE kind WHEN 1 THEN customer_id END, CASE kind WHEN 1 THEN payment_value END,
+                   CASE WHEN kind = 2 THEN 'BREAKS_KEY_CONTRACT' WHEN verdict = 1 THEN 'REJECTED' ELSE 'PENDING' END
+            FROM (SELECT *, (7 + length({_AS_JSON})) % 3 AS verdict FROM raw WHERE NOT {_FIRST}), (VALUES (1), (2)) AS k(kind)
+            WHERE kind = 1 OR verdict = 0""",
+        "review_found": "SELECT * FROM pending WHERE order_id <> '' ORDER BY order_id, ingest_id LIMIT 1",
+        "temporary_views": (
+            "SELECT customer_id, last_purchase_date, total_spent, gross_revenue FROM activity "
+            "LEFT JOIN daily ON last_purchase_date = revenue_date WHERE customer_id IS NOT NULL"
+        ),
         "stream_corrupt_quarantine": " UNION ALL ".join(
             f"SELECT *, '{layer}' AS layer FROM raw WHERE CAST(ingest_id AS BIGINT) % 3 = 0 "
             f"UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, '{layer}' FROM range(4)"

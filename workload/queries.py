@@ -23,11 +23,13 @@ from tallywell.plans.gold import (
     create_views,
     refresh_customer_activity,
     refresh_daily_revenue,
+    register_views,
 )
-from tallywell.plans.governance import purge_job, review_job
+from tallywell.plans.governance import find_review, open_reviews, purge_job, review_job
 from tallywell.plans.ingest import order_events
 from tallywell.schemas import EVENT_FIELDS, EVENT_SCHEMA, IDENTITY_FIELDS, ORIGIN_FIELDS, SILVER_SCHEMA
 from tallywell.sinks import Layers, append_batch, create_layers, upsert_table
+from tallywell.sinks.publish import batch_file_writer, publish_stream
 from tallywell.sinks.workspace import shared_folder
 from tallywell.sources import (
     current_table,
@@ -41,6 +43,7 @@ from tallywell.sources import (
 )
 from tallywell.sources.codec import CORRUPT
 from tallywell.streaming import start_pipeline
+from tallywell.streaming.dedup import without_redeliveries
 from tallywell.streaming.pipeline import append_pending, merged_pending, pending_from, silver_from
 from workload.events import FIRST_MS, as_events, raw_events, raw_orders, raw_payments, republished_events, table
 
@@ -670,3 +673,143 @@ def stream_corrupt_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = current_table(spark, layers.bronze).filter(F.col("stream_id") == first)
     return read("bronze", bronze).unionByName(read("quarantine", current_table(spark, layers.pending)))
 
+
+@query
+def stream_expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expectations on each of two micro-batches, counted while silver is written."""
+    layers, inbox, found = _fresh_layers(spark), shared_folder(spark, "inbox"), []
+    for delivery in (1, 2):
+        raw_events(spark, sf_dir, delivery).coalesce(1).write.mode("append").parquet(inbox)
+
+    def heard(results: DataFrame) -> None:
+        found.append([(len(found), *r) for r in results.collect()])
+
+    stream = file_stream(spark, inbox, max_files_per_trigger=1)
+    start_pipeline(stream, layers, shared_folder(spark, "offsets"), trigger=None, on_results=heard).awaitTermination()
+    columns = "batch int, check string, column string, failed bigint, total bigint, success boolean"
+    return spark.createDataFrame([row for batch in found for row in batch], columns)
+
+
+@query
+def stream_structural_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two micro-batches are published; every event with where it went, dead letters with the number their batch's alert
+    named."""
+    inbox, out, alerts = shared_folder(spark, "inbox"), shared_folder(spark, "published"), []
+    for delivery in (1, 2):
+        raw_events(spark, sf_dir, delivery).coalesce(1).write.mode("append").parquet(inbox)
+    stream = file_stream(spark, inbox, max_files_per_trigger=1)
+    main, dead = batch_file_writer(f"{out}/main"), batch_file_writer(f"{out}/dead")
+    publish_stream(stream, main, dead, shared_folder(spark, "offsets"), on_dead=alerts.append).awaitTermination()
+    sound = decode_events(spark.read.parquet(f"{out}/main")).select(
+        *EVENT_FIELDS, F.lit(None).cast("string").alias("error"), F.lit(None).cast("bigint").alias("alert")
+    )
+    letters = spark.read.parquet(f"{out}/dead")
+    batches = [r["batch"] for r in letters.select("batch").distinct().orderBy("batch").collect()]
+    heard = spark.createDataFrame(list(zip(batches, alerts, strict=True)), "batch int, alert bigint")
+    event = F.from_json(F.col("value").cast("string"), EVENT_SCHEMA).alias("event")
+    dead = letters.select(event, "error", "batch").join(heard, "batch").select("event.*", "error", "alert")
+    return sound.unionByName(dead)
+
+
+@query
+def stream_watermark_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders published twice, the first time again after a restart: each delivery passes once, and reaches silver."""
+    layers, inbox, checkpoint = _fresh_layers(spark), shared_folder(spark, "inbox"), shared_folder(spark, "offsets")
+    early, late = republished_events(spark, sf_dir)
+    for events in (early, late, early.unionByName(late)):
+        events.write.mode("append").parquet(inbox)
+        once = without_redeliveries(file_stream(spark, inbox))
+        start_pipeline(once, layers, checkpoint, trigger=None).awaitTermination()
+    bronze = current_table(spark, layers.bronze)
+    return bronze.select("order_id", "order_status", "payment_value")
+
+
+@query
+def gold_touched_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late deliveries, reviews and a purge change old days of silver; each refresh computes those anew, as a full one would."""
+    layers = _fresh_layers(spark)
+    upsert_table(_silver(spark, sf_dir, 1), layers.silver, ["order_id"])
+    refresh_daily_revenue(spark, layers)
+    upsert_table(_silver(spark, sf_dir), layers.silver, ["order_id"])
+    no_customer = _legacy_silver(spark, sf_dir).filter("coalesce(customer_id, '') = '' AND order_id <> ''")
+    upsert_table(latest_per_key(no_customer, ["order_id"], ["ingest_id"]), layers.silver, ["order_id"])
+    refresh_daily_revenue(spark, layers)
+    append_pending(_pending(spark, sf_dir), layers)
+    review_job(spark, layers, decisions(spark, sf_dir))
+    purge_job(spark, layers)
+    refresh_daily_revenue(spark, layers)
+    return current_table(spark, layers.daily_revenue)
+
+
+@query
+def table_review_same_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarantined rows lose what tells them apart by id, and half of the payloads are not readable; each is decided alone, by
+    its row key. The queue after it, the orders that reached silver, and the decisions that could not be applied."""
+    layers = _fresh_layers(spark)
+    events = raw_events(spark, sf_dir).withColumn("ingest_id", F.lit("9"))
+    by_customer = F.concat(F.lit("c"), F.pmod(F.coalesce(F.col("customer_id").try_cast("bigint"), F.lit(0)), F.lit(10)).cast("string"))
+    shared = events.withColumn("order_id", F.when(F.col("order_id") != "", by_customer).otherwise(F.col("order_id")))
+    append_pending(pending_from(classify(shared)), layers)
+    lost = encode_events(raw_events(spark, sf_dir, 2)).select(F.concat(F.lit("{broken").cast("binary"), "value").alias("value"))
+    append_pending(pending_from(classify(decode_events(lost, origin=True))), layers)
+    queue = open_reviews(spark, layers)
+    number = F.length(F.coalesce("payload", F.concat_ws("|", "order_purchase_timestamp", "payment_value", "customer_id")))
+    word = F.element_at(F.array(F.lit("Y"), F.lit("N"), F.lit("S")), (number % 3 + 1).cast("int"))
+    decided = queue.select(
+        "order_id",
+        "ingest_id",
+        word.alias("decision"),
+        F.lit("12.50").alias("corrected_value"),
+        F.lit("auditor").alias("reviewed_by"),
+        F.lit("2024-05-01T10:00:00").alias("reviewed_at"),
+        "row_key",
+    )
+    bad = review_job(spark, layers, decided)
+    pending = current_table(spark, layers.pending)
+    none = F.lit(None).cast("string")
+    payload = F.regexp_replace("payload", r"^\{broken", "")
+    read = pending.filter("payload IS NOT NULL").select(payload.alias("value"), "_status")
+    text = F.from_json("value", EVENT_SCHEMA)
+    return (
+        pending.filter("payload IS NULL")
+        .select(F.lit("row").alias("what"), "order_id", "customer_id", "payment_value", "_status")
+        .unionByName(
+            read.select(
+                F.lit("payload").alias("what"),
+                text["order_id"].alias("order_id"),
+                text["customer_id"].alias("customer_id"),
+                text["payment_value"].alias("payment_value"),
+                "_status",
+            )
+        )
+        .unionByName(
+            current_table(spark, layers.silver).select(
+                F.lit("silver").alias("what"), "order_id", none.alias("customer_id"), "payment_value", none.alias("_status")
+            )
+        )
+        .unionByName(
+            bad.select(
+                F.lit("bad").alias("what"), "order_id", none.alias("customer_id"), none.alias("payment_value"), F.col("reason").alias("_status")
+            )
+        )
+    )
+
+
+@query
+def review_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One review, looked up in the stored queue by two ids that are bound as parameters."""
+    layers = _fresh_layers(spark)
+    append_pending(_pending(spark, sf_dir), layers)
+    first = open_reviews(spark, layers).filter("order_id <> ''").agg(F.min(F.struct("order_id", "ingest_id")).alias("ids")).first().ids
+    return _shown(find_review(spark, layers, first.order_id, first.ingest_id))
+
+
+@query
+def temporary_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both reporting views of a session, joined by SQL over their names."""
+    silver = _silver(spark, sf_dir)
+    register_views(spark, daily_revenue(silver, order_ids_unique=True), customer_activity(silver))
+    return spark.sql(
+        "SELECT customer_id, last_purchase_date, total_spent, gross_revenue FROM v_customer_activity "
+        "LEFT JOIN v_daily_revenue ON last_purchase_date = revenue_date"
+    )
