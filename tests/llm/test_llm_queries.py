@@ -102,8 +102,9 @@ def test_repeated_words(spark, documents):
 def test_quality_keeps_good_documents(spark):
     kept = {r.doc_id for r in rows(spark, "op7_kneser_ney")}
     labels = spark.read.parquet(f"{SF}/labels.parquet").collect()
-    good = {r.doc_id for r in labels if r.quality == 1}
-    assert len(kept & good) >= 0.95 * len(good)
+    good = {r.doc_id for r in labels if r.quality == 1 and r.toxic == 0}
+    bad = {r.doc_id for r in labels} - good
+    assert len(kept & good) >= 0.95 * len(good) and len(kept & bad) <= 0.7 * len(bad)  # few to learn from here
 
 
 def test_revisits_match_sql(spark):
