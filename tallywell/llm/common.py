@@ -6,6 +6,7 @@ made on the way stay small whatever a batch holds; a single longer text is a chu
 
 import os
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -18,6 +19,7 @@ from tallywell.sinks.workspace import shared_folder
 
 CHUNK_BYTES = 1 << 20
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: Odd multipliers of the hashes below; any odd 64-bit numbers do, but they have to stay the same.
@@ -56,6 +58,17 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return rows
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Rows go to Python workers at most so many at a time in what is written inside."""
+    before = spark.conf.get(_BATCH_ROWS)
+    spark.conf.set(_BATCH_ROWS, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
+
+
 def release(*kept: DataFrame) -> None:
     """Remove what ``keep`` wrote, once nothing reads it any more."""
     for rows in kept:

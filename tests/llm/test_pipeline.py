@@ -22,7 +22,7 @@ def corpus():
     docs = [(k, text(r, r.randrange(30, 90)), "en") for k in range(400)]
     items = [(k, " ".join(f"q{r.randrange(40)}" for _ in range(25))) for k in range(3)]
     docs += [(500 + k, docs[k][1], "en") for k in range(40)]  # copies
-    docs += [(600 + k, f"{text(r, 60)} {items[k % 3][1]} {text(r, 60)}", "en") for k in range(12)]
+    docs += [(600 + k, f"{text(r, 150)} {items[k % 3][1]} {text(r, 150)}", "en") for k in range(12)]
     docs += [(700 + k, f"{text(r, 80)} password={KEY} {text(r, 20)} é", None) for k in range(12)]
     docs += [(800 + k, " ".join(f"zz{r.randrange(10**6)}" for _ in range(40)), "en") for k in range(12)]  # junk
     docs += [(900, None, "en"), (901, "", None), (902, " \n", "en"), (None, text(r, 50), "en"), (399, docs[399][1], "en")]
