@@ -10,7 +10,7 @@ from tallywell.llm.automaton_dedup import deduplicated_words
 from tallywell.llm.bpe import BytePairCoder
 from tallywell.llm.bwt_dedup import deduplicated_bytes
 from tallywell.llm.chat import END, START, conversation_digests, format_conversations
-from tallywell.llm.common import keep, table
+from tallywell.llm.common import table
 from tallywell.llm.decontaminate import find_overlaps
 from tallywell.llm.hard_negatives import mined_negatives
 from tallywell.llm.kneser_ney import judged
@@ -18,7 +18,7 @@ from tallywell.llm.secrets import BASE_RULES, find_secrets
 from tallywell.llm.sharding import sharded
 from tallywell.llm.simhash import near_duplicates
 from tallywell.llm.spelling import counted_words, letter_runs, spelling_variants
-from tallywell.llm.topk import quantised, top_k
+from tallywell.llm.topk import top_k
 from tallywell.llm.warc import resolve_revisits
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,8 +76,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = keep(quantised(table(spark, sf_dir, "embeddings")), "vectors")
-    return top_k(rows, rows.filter("vec_id % 50 = 0"))
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
 @query
@@ -211,6 +210,22 @@ FROM judged
 """
 
 
+ORACLES["op6_top_k"] = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON c.vec_id <> q.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 5
+"""
+
+
 ORACLES["op13_hard_negatives"] = """
 WITH whole AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,

@@ -1,10 +1,13 @@
 """Exact top-k by inner product with a pivot table.
 
-For quantised vectors |q-c|^2 = |q|^2 + |c|^2 - 2 q.c, so a lower bound on the distance is an upper bound on the score.
+For vectors of whole numbers |q-c|^2 = |q|^2 + |c|^2 - 2 q.c, so a lower bound on the distance is an upper bound on the score.
 Distances of all vectors to a fixed number of pivots are computed once; by the triangle inequality the largest difference
 of two vectors' distances to a pivot bounds their distance from below. Within a block of candidates each query takes them
 by falling bound and stops once the bound is below its k-th score, which leaves out only what cannot enter.
 
+Vectors whose squared length float64 does not hold exactly have no distances in the table. Products with them are bounded by their
+rounding error, and those that may be among the k best are computed as Python integers.
+
 Queries and candidates are dealt into a grid of blocks of bounded size; a task holds one cell of it.
 """
 
@@ -12,46 +15,24 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallywell.llm.common import keep
+from tallywell.llm.common import keep, release
+from tallywell.llm.vectors import EXACT, best_first, beyond, exact_products, held, matrix, top, whole_vectors
 
 K = 5
 PIVOTS = 24
-#: Pivots are chosen among so many vectors.
+#: Pivots are chosen among so many vectors of each length.
 PIVOT_SAMPLE = 512
 QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 8192
 #: Candidates evaluated at a time, before the bound is looked at again.
 STEP = 128
-#: Quantised components beyond this could give scores that are no exact long.
-LARGEST = 1 << 20
-
-
-def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """vec_id and v, floor(scale * x) of each component; one row for each vec_id.
-
-    Vectors that are null, or have a null or non-finite component or one beyond LARGEST, take no part; neither do rows
-    without vec_id. Of several vectors under one vec_id the smallest in array order counts.
-    """
-    x = F.col("embedding").cast("array<double>")
-    sound = F.col("vec_id").isNotNull() & x.isNotNull() & F.forall(x, lambda c: F.coalesce(F.abs(c) * scale < LARGEST, F.lit(False)))
-    rows = vectors.filter(sound).select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * scale).cast("int")).alias("v")
-    )
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
-
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), width)
 
-
-def _pivots(rows: DataFrame, width: int, count: int) -> np.ndarray:
-    """Far apart from each other, among a bounded number of vectors in the order of a hash of their ids."""
-    sample = rows.filter(F.size("v") == width).orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).collect()
-    points = np.array([r.v for r in sample], np.float64).reshape(len(sample), width)
+def _far_apart(points: np.ndarray, count: int) -> np.ndarray:
     chosen, away = [0], ((points - points[0]) ** 2).sum(axis=1)
     while len(chosen) < min(count, len(points)) and away.max() > 0:
         chosen.append(int(away.argmax()))
@@ -59,100 +40,155 @@ def _pivots(rows: DataFrame, width: int, count: int) -> np.ndarray:
     return points[chosen]
 
 
+def chosen_pivots(rows: DataFrame, count: int) -> dict[int, np.ndarray]:
+    """For each length of narrow vectors at most ``count`` of them, far apart, out of PIVOT_SAMPLE in the order of a hash.
+
+    The driver gets these alone.
+    """
+
+    def choose(key: tuple, sample: pa.Table) -> pa.Table:
+        width = key[0].as_py()
+        points = _far_apart(matrix(sample.column("v"), width), count)
+        return pa.table({"w": pa.array([width] * len(points), pa.int32()), "v": pa.array(points.tolist(), pa.list_(pa.float64()))})
+
+    place = F.row_number().over(Window.partitionBy("w").orderBy(F.xxhash64("row"), "row"))
+    sample = rows.filter("narrow").select("w", "v", place.alias("place")).filter(F.col("place") <= PIVOT_SAMPLE)
+    found: dict[int, list] = {}
+    for r in sample.groupBy("w").applyInArrow(choose, "w int, v array<double>").collect():
+        found.setdefault(r.w, []).append(r.v)
+    return {w: np.array(points, np.float64).reshape(len(points), w) for w, points in found.items()}
+
+
 def pivot_table(rows: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
-    """Adds ``to_pivots``, each vector's distances to the pivots of its length."""
+    """Adds ``to_pivots``, each narrow vector's distances to the pivots of its length; null for others."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            widths = batch.column("v").value_lengths().to_numpy()
-            for width in np.unique(widths).tolist():
-                part = batch.filter(pa.array(widths == width))
-                points = _matrix(part.column("v"), width)
-                own = pivots[width]
-                squares = (points**2).sum(1)[:, None] + (own**2).sum(1) - 2 * points @ own.T
-                away = np.sqrt(np.maximum(squares, 0))
-                at = np.arange(len(points) + 1, dtype=np.int32) * len(own)
-                lists = pa.ListArray.from_arrays(pa.array(at), pa.array(away.ravel()))
+            kinds = np.where(batch.column("narrow").to_numpy(zero_copy_only=False), batch.column("w").to_numpy(), -1)
+            for width in np.unique(kinds).tolist():
+                part = batch.filter(pa.array(kinds == width))
+                if width < 0:
+                    lists = pa.nulls(len(part), pa.list_(pa.float64()))
+                else:
+                    points, own = matrix(part.column("v"), width), pivots[width]
+                    squares = (points**2).sum(1)[:, None] + (own**2).sum(1) - 2 * points @ own.T
+                    away = np.sqrt(np.maximum(squares, 0))
+                    at = np.arange(len(points) + 1, dtype=np.int32) * len(own)
+                    lists = pa.ListArray.from_arrays(pa.array(at), pa.array(away.ravel()))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "to_pivots"])
 
-    return rows.mapInArrow(run, "vec_id long, v array<int>, to_pivots array<double>")
+    return rows.mapInArrow(run, "row long, vec_id long, v array<double>, asks boolean, w int, narrow boolean, to_pivots array<double>")
 
 
-def _best(query, candidates, ids, squares, bounds, own_id, k) -> tuple[np.ndarray, np.ndarray]:
-    """The query's k best in the block: by falling score, then by id."""
-    order = np.argsort(-bounds, kind="stable")
+def _best(query, points, ids, missing, bounds, able, k) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and places of the query's k best among the points at ``able``: by falling score, then by id."""
+    order = able[np.argsort(-bounds[able], kind="stable")]
     scores, found = np.zeros(0), np.zeros(0, np.int64)
     for at in range(0, len(order), STEP):
         part = order[at : at + STEP]
         if len(scores) == k and bounds[part[0]] < scores[-1]:
             break
-        part = part[ids[part] != own_id]
-        scores = np.concatenate([scores, candidates[part] @ query])
-        found = np.concatenate([found, ids[part]])
-        top = np.lexsort([found, -scores])[:k]
-        scores, found = scores[top], found[top]
+        scores = np.concatenate([scores, points[part] @ query])
+        found = np.concatenate([found, part])
+        first = top(scores, ids[found], missing[found], k)
+        scores, found = scores[first], found[first]
     return scores, found
 
 
-def _cell(table: pa.Table, k: int) -> pa.Table:
-    query = table.column("is_query").to_numpy()
-    queries, others = table.filter(pa.array(query)), table.filter(pa.array(~query))
-    out: tuple[list, list, list] = ([], [], [])
+def _possible(query: np.ndarray, points: np.ndarray, k: int) -> np.ndarray:
+    """Places of all points that may be among the k best, as far as products rounded in float64 tell."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        near = points @ query
+        doubt = (np.abs(points) @ np.abs(query)) * ((len(query) + 2) * 2.0**-52)
+        least, most = near - doubt, near + doubt
+    least = np.where(np.isfinite(least), least, -np.inf)
+    most = np.where(np.isfinite(most), most, np.inf)
+    if len(points) <= k:
+        return np.arange(len(points))
+    return np.flatnonzero(most >= np.partition(least, -k)[-k])
+
+
+def _cell(cell: pa.Table, k: int) -> pa.Table:
+    """The k best of each query among the cell's candidates."""
+    asks = cell.column("is_query").to_numpy()
+    queries, others = cell.filter(pa.array(asks)), cell.filter(pa.array(~asks))
+    out: list[tuple] = []
     if queries.num_rows and others.num_rows:
         width = len(queries.column("v")[0])
-        q, c = (_matrix(t.column("v").combine_chunks(), width) for t in (queries, others))
-        n = len(queries.column("to_pivots")[0])
-        q_away, c_away = (_matrix(t.column("to_pivots").combine_chunks(), n) for t in (queries, others))
-        q_sq, c_sq = (q**2).sum(1), (c**2).sum(1)
-        q_ids, c_ids = queries.column("vec_id").to_numpy(), others.column("vec_id").to_numpy()
-        c_away = np.ascontiguousarray(c_away.T)
+        q, c = matrix(queries.column("v"), width), matrix(others.column("v"), width)
+        q_rows, rows = queries.column("row").to_numpy(), others.column("row").to_numpy()
+        missing = others.column("vec_id").is_null().to_numpy()
+        ids = others.column("vec_id").fill_null(0).to_numpy()
+        q_narrow, narrow = (t.column("narrow").to_numpy() for t in (queries, others))
+        near = np.flatnonzero(narrow)
+        c_sq = (c[near] ** 2).sum(1)
+        away = others.column("to_pivots").filter(pa.array(narrow))
+        c_away = np.ascontiguousarray(matrix(away, len(away[0])).T) if len(near) else np.zeros((0, 0))
         for i in range(len(q)):
-            low = np.zeros(len(c))
-            for p in range(n):
-                np.maximum(low, np.abs(c_away[p] - q_away[i, p]), out=low)
-            both = c_sq + q_sq[i]
-            # Distances are rounded: the bound is raised by far more than that can be.
-            scores, ids = _best(q[i], c, c_ids, c_sq, (both - low**2) / 2 + both * 1e-9 + 1e-3, q_ids[i], k)
-            out[0].append(np.full(len(ids), q_ids[i]))
-            out[1].append(ids)
-            out[2].append(scores.astype(np.int64))
-    columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
-    return pa.table({"query_id": columns[0], "vec_id": columns[1], "score": columns[2]})
-
-
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIVOTS) -> DataFrame:
-    """query_id, rank from 1, vec_id and score: the k best rows of ``vectors`` for each of ``queries``, its own id left out.
-
-    Both have vec_id and v (see ``quantised``). Equal scores go to the smaller vec_id; with fewer than k others all are
-    returned. Only vectors of one length are compared. Without queries or vectors there are no rows.
+            found: list[tuple[int, int]] = []
+            far = np.flatnonzero(rows != q_rows[i])
+            if q_narrow[i] and len(near):
+                low = np.zeros(len(near))
+                for own, others_ in zip(queries.column("to_pivots")[i].as_py(), c_away):
+                    np.maximum(low, np.abs(others_ - own), out=low)
+                both = c_sq + (q[i] ** 2).sum()
+                # Distances are rounded: the bound is raised by far more than that can be.
+                bounds = np.full(len(c), -np.inf)
+                bounds[near] = (both - low**2) / 2 + both * 1e-9 + 1e-3
+                scores, places = _best(q[i], c, ids, missing, bounds, near[rows[near] != q_rows[i]], k)
+                found = [(int(s), int(a)) for s, a in zip(scores, places)]
+                far = far[~narrow[far]]
+            if len(far):
+                far = far[_possible(q[i], c[far], k)]
+                found += zip(exact_products(c[far], q[i]), far.tolist())
+                found = sorted(found, key=lambda x: (-x[0], missing[x[1]], ids[x[1]]))[:k]
+            out += [(q_rows[i], rows[a], None if missing[a] else ids[a], held(s), beyond(s)) for s, a in found]
+    columns = list(zip(*out)) if out else [[]] * 5
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    names = ("query", "row", "vec_id", "score", "beyond")
+    return pa.table({n: pa.array([x if x is None or isinstance(x, bytes) else int(x) for x in col], kind) for n, col, kind in zip(names, columns, kinds)})
+
+
+def top_k(vectors: DataFrame, asks: Column, k: int = K, pivots: int = PIVOTS) -> DataFrame:
+    """query_id, rank from 1, vec_id and score: the k best other rows of ``vectors`` for each row for which ``asks`` is true.
+
+    Vectors are rounded (``whole_vectors``); a score is the inner product. Equal scores go to the smaller vec_id; with fewer than k
+    others all are returned. Vectors that are null or have a null or non-finite component take no part. Rows that share a vec_id,
+    or are equal, are rows of their own, as queries too; rows without one come last among equals and are named by null. Only
+    vectors of one length are compared; empty ones have scores of 0. Scores that are no long are ordered exactly and shown as
+    the nearest long. Without queries or vectors there are no rows. Other columns are not read.
     """
-    by_width = {r["w"]: r["count"] for r in vectors.groupBy(F.size("v").alias("w")).count().collect()}
-    points = {w: _pivots(vectors, w, pivots) for w in by_width}
-    all_rows = keep(pivot_table(vectors, points), "pivot_table").withColumn("w", F.size("v"))
-    asked = all_rows.join(queries.select("vec_id"), "vec_id", "left_semi")
-    asked_by_width = {r["w"]: r["count"] for r in asked.groupBy("w").count().collect()}
-
-    def blocks(counts: dict[int, int], size: int):
-        return F.coalesce(*(F.when(F.col("w") == w, F.lit(-(-n // size))) for w, n in counts.items()), F.lit(0))
-
-    if not asked_by_width:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    q_blocks, c_blocks = blocks(asked_by_width, QUERY_BLOCK), blocks(by_width, CANDIDATE_BLOCK)
-
-    def dealt(rows: DataFrame, is_query: bool) -> DataFrame:
-        own, other = (q_blocks, c_blocks) if is_query else (c_blocks, q_blocks)
-        names = ("qb", "cb") if is_query else ("cb", "qb")
-        return rows.filter(own > 0).filter(other > 0).select(
+    rows = whole_vectors(vectors, F.coalesce(asks, F.lit(False)).alias("asks"))
+    squares = F.aggregate("v", F.lit(0.0), lambda sum_, x: sum_ + x * x)
+    typed = rows.withColumn("w", F.size("v")).withColumn("narrow", squares < EXACT)
+    points = keep(pivot_table(typed, chosen_pivots(typed, pivots)), "pivot_table")
+
+    def blocks(df: DataFrame, size: int, name: str) -> DataFrame:
+        return df.groupBy("w").agg(F.ceil(F.count(F.lit(1)) / size).alias(name))
+
+    asked = points.filter("asks")
+    # One row for each length of vectors.
+    sizes = blocks(points, CANDIDATE_BLOCK, "cs").join(blocks(asked, QUERY_BLOCK, "qs"), "w")
+
+    def dealt(df: DataFrame, is_query: bool) -> DataFrame:
+        own, other, names = ("qs", "cs", ("qb", "cb")) if is_query else ("cs", "qs", ("cb", "qb"))
+        return df.join(sizes, "w").select(
+            "row",
             "vec_id",
             "v",
+            "narrow",
             "to_pivots",
-            "w",
             F.lit(is_query).alias("is_query"),
-            F.pmod(F.xxhash64("vec_id"), own).alias(names[0]),
-            F.explode(F.sequence(F.lit(0).cast("long"), other.cast("long") - 1)).alias(names[1]),
+            "w",
+            F.pmod(F.xxhash64("row"), F.col(own)).alias(names[0]),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(names[1]),
         )
 
-    grid = dealt(all_rows, False).unionByName(dealt(asked, True))
-    best = grid.groupBy("w", "qb", "cb").applyInArrow(lambda t: _cell(t, k), "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    grid = dealt(points, False).unionByName(dealt(asked, True))
+    best = grid.groupBy("w", "qb", "cb").applyInArrow(lambda t: _cell(t, k), "query long, row long, vec_id long, score long, beyond binary")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(*best_first()))
+    first = best.withColumn("rank", rank).filter(F.col("rank") <= k)
+    names = asked.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))
+    result = keep(first.join(names, "query").select("query_id", "rank", "vec_id", "score"), "top")
+    release(rows, points)
+    return result

@@ -1,10 +1,13 @@
 import random
+from fractions import Fraction
+from math import floor
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallywell.llm import topk
-from tallywell.llm.topk import quantised, top_k
+from tallywell.llm.topk import top_k
 
 KIND = "vec_id long, embedding array<float>, label int, v string, w string, rank string"
 
@@ -14,23 +17,27 @@ def made(spark, rows):
 
 
 def by_hand(rows, k, every):
-    sound = {}
+    """Straight from the definition, in Python integers; scores as the nearest long, null ids last."""
+    sound = []
     for i, e in rows:
-        if i is None or e is None or any(x is None or not np.isfinite(x) for x in e):
+        if e is None or any(x is None or not np.isfinite(x) for x in e):
             continue
-        v = [int(np.floor(float(np.float32(x)) * 256)) for x in e]
-        sound[i] = min(sound.get(i, v), v)
+        sound.append((i, [floor(Fraction(float(np.float32(x))) * 256) for x in e]))
     out = []
-    for q, v in sound.items():
-        if q % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, c, strict=True)), i) for i, c in sound.items() if i != q and len(c) == len(v))
-            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
-    return sorted(out)
+    for at, (q, v) in enumerate(sound):
+        if q is not None and q % every == 0:
+            scores = [
+                (-sum(a * b for a, b in zip(v, c, strict=True)), i is None, i)
+                for n, (i, c) in enumerate(sound)
+                if n != at and len(c) == len(v)
+            ]
+            scores.sort(key=lambda s: (s[0], s[1], s[2] or 0))
+            out += [(q, n + 1, i, min(max(-s, -(1 << 63)), (1 << 63) - 1)) for n, (s, _, i) in enumerate(scores[:k])]
+    return sorted(out, key=str)
 
 
 def found(spark, rows, k=5, every=50):
-    vectors = quantised(made(spark, rows))
-    return sorted(map(tuple, top_k(vectors, vectors.filter(f"vec_id % {every} = 0"), k).collect()))
+    return sorted(map(tuple, top_k(made(spark, rows), F.col("vec_id") % every == 0, k).collect()), key=str)
 
 
 @pytest.mark.parametrize("blocks", [(1024, 8192), (3, 40)])
@@ -63,6 +70,8 @@ def test_odd_rows(spark):
         (6, [2.0, 2.0]),
         (6, [1.0, 2.0]),
         (250, [0.0, 0.0]),
+        (50, [0.5, -0.5]),
+        (50, [1.5, -0.5]),
     ]
     assert found(spark, rows) == by_hand(rows, 5, 50)
 
@@ -73,6 +82,21 @@ def test_fewer_than_k_and_none(spark):
     assert found(spark, [(1, [1.0])]) == [] and found(spark, []) == []
 
 
+def test_components_of_any_finite_size(spark):
+    r = random.Random(3)
+    rows = [(k, [r.gauss(0, 1) * 10.0 ** r.choice([0, 0, 1, 3.6, 6, 8, 30, 37]) for _ in range(3)]) for k in range(120)]
+    rows += [(200, [4096.0, -4096.0, 1.0]), (201, [4096.0, -4096.0, 1.0]), (250, [1e6, 1e6, 1e6]), (251, [1e30, -1e30, 1.0])]
+    rows += [(300, [3e38, 3e38, 3e38]), (301, [3e38, 3e38, 3e38]), (302, [-3e38, 3e38, 1.0])]
+    rows += [(400 + k, [1e9 + 64 * k, 1e9, -1e9]) for k in range(20)]  # told apart only by exact products
+    assert found(spark, rows, every=10) == by_hand(rows, 5, 10)
+
+
+def test_columns_with_clashing_names(spark):
+    rows = [(k, [float(k % 7), 1.0]) for k in range(60)]
+    more = made(spark, rows).selectExpr("*", "1 AS row", "'x' AS asks", "2 AS narrow", "'y' AS to_pivots")
+    assert sorted(map(tuple, top_k(more, F.col("vec_id") % 50 == 0).collect()), key=str) == by_hand(rows, 5, 50)
+
+
 def test_candidates_below_the_bound_are_not_evaluated():
     r = np.random.default_rng(2)
     candidates = np.concatenate([r.normal(0, 1, (5000, 4)), r.normal(300, 1, (50, 4))])
@@ -86,6 +110,7 @@ def test_candidates_below_the_bound_are_not_evaluated():
             seen.append(len(part))
             return np.asarray(super().__getitem__(part))
 
-    scores, ids = topk._best(query, candidates.view(Watched), np.arange(5050), squares, bounds, -1, 5)
+    every = np.arange(5050)
+    scores, places = topk._best(query, candidates.view(Watched), every, np.zeros(5050, bool), bounds, every, 5)
     assert sum(seen) <= 2 * topk.STEP
-    assert ids.tolist() == np.lexsort([np.arange(5050), -(candidates @ query)])[:5].tolist()
+    assert places.tolist() == np.lexsort([every, -(candidates @ query)])[:5].tolist()
