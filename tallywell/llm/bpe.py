@@ -24,7 +24,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywell.llm.common import keep, least_count, ranges, release, strings, text_chunks, texts_of
+from tallywell.llm.common import give_back, keep, least_count, ranges, release, strings, text_chunks, texts_of
 
 #: So many of the most frequent words are compiled. A bound on the file, not on what is encoded.
 LEXICON_WORDS = 262_144
@@ -466,13 +466,17 @@ class BytePairCoder:
         vocabulary = load_vocabulary(path)
         sent = spark.sparkContext.broadcast(vocabulary)
         counts = keep(word_counts(docs, sent).filter("n > 1"), "words")
+        sent.destroy()
         least = least_count(counts, lexicon_words)
         found = sorted(bytes(r.word) for r in counts.filter(F.col("n") >= least).select("word").toLocalIterator())
         release(counts)
         data = np.frombuffer(b"".join(found), np.uint8)
         at = np.concatenate([[0], np.cumsum([len(w) for w in found])]).astype(np.int64)
         ids, n = merge_words(data, at[:-1], at[1:], vocabulary)
-        return cls(spark, path, compiled(found, ids, n))
+        lexicon = compiled(found, ids, n)
+        del found, data, at, ids, n
+        give_back()
+        return cls(spark, path, lexicon)
 
     def encode(self, docs: DataFrame) -> DataFrame:
         """doc_id, n_tokens and ids."""

@@ -4,6 +4,8 @@ Texts reach the tasks as Arrow batches. They are worked on in chunks of a few MB
 made on the way stay small whatever a batch holds; a single longer text is a chunk of its own.
 """
 
+import ctypes
+import gc
 import os
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
@@ -77,6 +79,15 @@ def release(*kept: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back() -> None:
+    """Return memory that Python, Arrow and the C library keep for later to the system, after a step that took much of it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def texts_of(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id and text alone, typed; a null text counts as empty."""
     return docs.select(
