@@ -15,6 +15,9 @@ from tallywell.llm.kneser_ney import judged
 from tallywell.llm.secrets import redact_secrets
 from tallywell.llm.simhash import representatives
 
+#: Benchmark items of fewer tokens are phrases that ordinary text holds too; they remove nothing.
+SHORTEST_ITEM = 4
+
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -46,9 +49,9 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark; items of a few tokens count where all of them stand."""
+    """Documents that hold no passage of the benchmark; short items, of SHORTEST_ITEM tokens or more, count where all of them stand."""
     reach_workers(spark)
-    return without_overlaps(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"), shortest=1)
+    return without_overlaps(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"), shortest=SHORTEST_ITEM)
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
