@@ -15,7 +15,7 @@ that step needs the format with row-level operations to be safe.
 
 import datetime
 import re
-from collections.abc import Collection, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from contextlib import nullcontext
 
 from pyspark import StorageLevel
@@ -28,6 +28,9 @@ from tallywell.sinks.layers import FILE_FORMATS
 from tallywell.sources.codec import with_origin
 from tallywell.sources.tables import current_table
 
+#: What one task of a write that makes many files should write.
+FILES_PER_TASK, ROWS_PER_TASK = 64, 2_000_000
+
 
 def provider_of(spark: SparkSession, table: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Provider'").collect()
@@ -42,21 +45,35 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def _clustered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+def _clustered(df: DataFrame, partitions: Sequence[str], sizes: Mapping[tuple, int] | None = None) -> DataFrame:
     """Bring rows of one partition together, so that a write makes few files.
 
     REBALANCE lets adaptive execution split a partition that is too big for one task and merge small
-    ones, by measured size.
+    ones, by measured size. That counts bytes only: thousands of small partitions would all be written, file by file, by one
+    task. So where ``sizes``, the rows of each partition, has more of them than a task should write, they are dealt out to as
+    many tasks as the files and rows ask for, and a partition with more rows than a task should write goes to several.
     """
-    return df.hint("rebalance", *[F.col(p) for p in partitions])
-
-
-def _insert(df: DataFrame, table: str, *, overwrite: bool = False) -> None:
+    if sizes is None or len(sizes) <= FILES_PER_TASK:
+        return df.hint("rebalance", *[F.col(p) for p in partitions])
+    tasks = max(-(-len(sizes) // FILES_PER_TASK), -(-sum(sizes.values()) // ROWS_PER_TASK))
+    # No more of them than rows make up tasks.
+    large = {value: -(-n // ROWS_PER_TASK) for value, n in sizes.items() if n > ROWS_PER_TASK}
+    part = F.lit(0).cast("long")
+    by_parts: dict[int, list[tuple]] = {}
+    for value, parts in large.items():
+        by_parts.setdefault(parts, []).append(value)
+    for parts, values in by_parts.items():
+        here = F.coalesce(F.expr(_among(df, partitions, values)), F.lit(False))
+        part = F.when(here, F.pmod(F.xxhash64(*df.columns), F.lit(parts))).otherwise(part)
+    return df.repartition(tasks, *[F.col(p) for p in partitions], part)
+
+
+def _insert(df: DataFrame, table: str, *, overwrite: bool = False, sizes: Mapping[tuple, int] | None = None) -> None:
     spark = df.sparkSession
     if overwrite:
         require_dynamic_overwrite(spark, table)
     rows = df.select(*spark.table(table).columns)
-    _clustered(rows, partition_columns(spark, table)).write.insertInto(table, overwrite=overwrite)
+    _clustered(rows, partition_columns(spark, table), sizes).write.insertInto(table, overwrite=overwrite)
 
 
 def require_dynamic_overwrite(spark: SparkSession, table: str) -> None:
@@ -283,12 +300,12 @@ def _rewrite_partitions(source, table, keys, protect, newer_by, null_safe, key_f
         with log.changing(changed) if log else nullcontext():
             added = {p: n for p, n in arriving.items() if p not in left_over}
             if added:
-                _insert(accepted.filter(f"NOT {inside}"), table)
+                _insert(accepted.filter(f"NOT {inside}"), table, sizes=added)
             rewritten = {p: n + arriving.get(p, 0) for p, n in left_over.items() if n + arriving.get(p, 0)}
             if rewritten:
                 kept = target.filter(_among(target, partitions, rewritten))
                 kept = rows_absent_from(kept, accepted, keys, null_safe=null_safe)
-                _insert(kept.unionByName(accepted.filter(inside)), table, overwrite=True)
+                _insert(kept.unionByName(accepted.filter(inside)), table, overwrite=True, sizes=rewritten)
             _drop_partitions(spark, table, partitions, [p for p in left_over if p not in rewritten])
     finally:
         if accepted is not source:
@@ -342,6 +359,6 @@ def delete_from_table(spark: SparkSession, table: str, where: str) -> int:
         rewritten = {p: n for p, n in left_over.items() if n}
         if rewritten:
             kept = delete_rows(target.filter(_among(target, partitions, rewritten)), where)
-            _insert(kept, table, overwrite=True)
+            _insert(kept, table, overwrite=True, sizes=rewritten)
         _drop_partitions(spark, table, partitions, [p for p in left_over if p not in rewritten])
     return sum(r["hits"] for r in touched)

@@ -12,7 +12,7 @@ from tallywell.operators.validate import classify
 from tallywell.plans.governance import find_review, open_reviews, purge_job, review_job
 from tallywell.schemas import AUDIT_SCHEMA, BRONZE_SCHEMA, DECISION_SCHEMA, PENDING_SCHEMA, SILVER_SCHEMA, ddl
 from tallywell.sinks import append_absent, append_batch, create_layers, delete_from_table, replace_table, upsert_table
-from tallywell.sinks import Layers
+from tallywell.sinks import Layers, writes
 from tallywell.sinks.companions import Batches, TouchedDays
 from tallywell.sinks.layers import create_table
 from tallywell.sources import current_table
@@ -374,3 +374,18 @@ def test_touched_days_are_logged_and_kept_until_done(spark, layers, events):
         raise RuntimeError
     days, done = log.read()
     assert [str(d) for d in days] == ["2026-01-05"] and done == []
+
+
+def test_many_partitions_are_dealt_out_to_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(writes, "FILES_PER_TASK", 10)
+    monkeypatch.setattr(writes, "ROWS_PER_TASK", 500)
+    number = F.when(F.col("id") < 2000, 0).when(F.col("id") % 41 < 40, F.col("id") % 41)
+    rows = spark.range(3000).select("id", F.date_add(F.lit("2024-01-01").cast("date"), number.cast("int")).alias("day"))
+    sizes = {(r["day"],): r["count"] for r in rows.groupBy("day").count().collect()}
+    dealt = writes._clustered(rows, ["day"], sizes)
+    assert dealt.rdd.getNumPartitions() == 6  # for 3,000 rows; 41 days would ask for 5
+    placed = dealt.withColumn("task", F.spark_partition_id())
+    tasks = {r["day"]: r["n"] for r in placed.groupBy("day").agg(F.countDistinct("task").alias("n")).collect()}
+    hot = datetime.date(2024, 1, 1)
+    assert tasks.pop(hot) > 1 and set(tasks.values()) == {1} and None in tasks
+    assert dealt.select("id").distinct().count() == 3000
