@@ -336,6 +336,8 @@ _BAD_DECISIONS = f"""
 _SILVER = "SELECT * FROM silver"
 _PENDING = "SELECT * FROM pending"
 _WITH_BATCH = f"SELECT *, CASE WHEN {_FIRST} THEN CAST(0 AS BIGINT) ELSE CAST(1 AS BIGINT) END AS batch_id FROM raw"
+_BRONZE_SAMPLE = "ingest_id,order_id,order_status,payment_value,ingested_at"
+_SILVER_SAMPLE = "order_id,parsed_payment_value,validation_status,_is_remediated,_remediation_rule"
 _MISSING = ", ".join(f"CASE WHEN {f} IS NULL THEN '{f}' END" for f in FIELDS)
 _ANY_NULL = " OR ".join(f"{f} IS NULL" for f in FIELDS)
 
@@ -471,6 +473,15 @@ ORACLES = {
             "SELECT customer_id, last_purchase_date, total_spent, gross_revenue FROM activity "
             "LEFT JOIN daily ON last_purchase_date = revenue_date WHERE customer_id IS NOT NULL"
         ),
+        "first_refresh": "SELECT *, 'after' AS read FROM daily",
+        "layer_samples": " UNION ALL ".join(
+            f"SELECT '{layer}' AS layer, least(3, count(*)) AS n, least(3, count(*)) AS n_held, '{columns}' AS columns FROM {source}"
+            for layer, source, columns in (
+                ("bronze_transactions", "raw", _BRONZE_SAMPLE),
+                ("silver_transactions", "silver", _SILVER_SAMPLE),
+            )
+        ),
+        "stream_interval": f"SELECT ingest_id, count(*) OVER (PARTITION BY {_FIRST}) AS in_batch FROM raw",
         "stream_corrupt_quarantine": " UNION ALL ".join(
             f"SELECT *, '{layer}' AS layer FROM raw WHERE CAST(ingest_id AS BIGINT) % 3 = 0 "
             f"UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, '{layer}' FROM range(4)"

@@ -11,7 +11,7 @@ from tallywell.operators.keyed import latest_per_key, upsert
 from tallywell.operators.purge import anomalies, without_anomalies, without_blank_days
 from tallywell.operators.quality import CONTRACTS, alert_messages, contract_results, expectation_results
 from tallywell.operators.remediate import EMPTY_STATUS_RULE, repair_column
-from tallywell.operators.report import BREAKDOWNS, breakdown, inspect_layers, top_rows
+from tallywell.operators.report import BREAKDOWNS, breakdown, inspect_layers, layer_sample, top_rows
 from tallywell.operators.review import ReviewOutcome, apply_decisions, pending_queue
 from tallywell.operators.validate import Policy, clean_rows, classify, quarantined_rows, violations
 from tallywell.plans.gold import (
@@ -27,7 +27,7 @@ from tallywell.plans.gold import (
 )
 from tallywell.plans.governance import find_review, open_reviews, purge_job, review_job
 from tallywell.plans.ingest import order_events
-from tallywell.schemas import EVENT_FIELDS, EVENT_SCHEMA, IDENTITY_FIELDS, ORIGIN_FIELDS, SILVER_SCHEMA
+from tallywell.schemas import DAILY_REVENUE_SCHEMA, EVENT_FIELDS, EVENT_SCHEMA, IDENTITY_FIELDS, ORIGIN_FIELDS, SILVER_SCHEMA
 from tallywell.sinks import Layers, append_batch, create_layers, upsert_table
 from tallywell.sinks.publish import batch_file_writer, publish_stream
 from tallywell.sinks.workspace import shared_folder
@@ -39,6 +39,7 @@ from tallywell.sources import (
     read_csv_text,
     read_raw_orders,
     read_raw_payments,
+    rows_or_empty,
     split_structural,
 )
 from tallywell.sources.codec import CORRUPT
@@ -813,3 +814,50 @@ def temporary_views(spark: SparkSession, sf_dir: str) -> DataFrame:
         "SELECT customer_id, last_purchase_date, total_spent, gross_revenue FROM v_customer_activity "
         "LEFT JOIN v_daily_revenue ON last_purchase_date = revenue_date"
     )
+
+
+@query
+def first_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue read before its table exists, as no rows of its schema, and after the first refresh."""
+    layers = _fresh_layers(spark)
+    before = rows_or_empty(spark, layers.daily_revenue, DAILY_REVENUE_SCHEMA).withColumn("read", F.lit("before"))
+    upsert_table(_silver(spark, sf_dir), layers.silver, ["order_id"])
+    refresh_daily_revenue(spark, layers)
+    after = rows_or_empty(spark, layers.daily_revenue, DAILY_REVENUE_SCHEMA).withColumn("read", F.lit("after"))
+    return before.unionByName(after)
+
+
+@query
+def layer_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three rows of each layer in the columns its report shows. Any three will do, so they are told by their number, and how
+    many of them the layer holds."""
+    layers = _fresh_layers(spark)
+    append_batch(raw_events(spark, sf_dir), layers.bronze, "orders", 0)
+    frames = {"bronze_transactions": current_table(spark, layers.bronze), "silver_transactions": _silver(spark, sf_dir)}
+    samples = []
+    for layer, rows in frames.items():
+        sample = layer_sample(layer, rows)
+        shown = F.struct(*sample.columns)
+        held = rows.select(shown.alias("held")).distinct()
+        found = sample.select(shown.alias("row")).join(held, F.col("row").eqNullSafe(F.col("held")), "left")
+        sizes = found.agg(F.count(F.lit(1)).alias("n"), F.count("held").alias("n_held"))
+        samples.append(sizes.select(F.lit(layer).alias("layer"), "n", "n_held", F.lit(",".join(sample.columns)).alias("columns")))
+    return samples[0].unionByName(samples[1])
+
+
+@query
+def stream_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that looks for new files every second, and is stopped when it has had both: each delivery with its batch's
+    size."""
+    layers, inbox = _fresh_layers(spark), shared_folder(spark, "inbox")
+    for delivery in (1, 2):
+        raw_events(spark, sf_dir, delivery).coalesce(1).write.mode("append").parquet(inbox)
+    stream = file_stream(spark, inbox, max_files_per_trigger=1)
+    running = start_pipeline(stream, layers, shared_folder(spark, "offsets"), trigger="1 second")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    bronze = current_table(spark, layers.bronze)
+    sizes = bronze.groupBy("batch_id").agg(F.count(F.lit(1)).alias("in_batch"))
+    return bronze.join(sizes, "batch_id").select("ingest_id", "in_batch")
