@@ -43,8 +43,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written to the shared folder and read again: later steps neither repeat nor lose the work.
+def keep(df: DataFrame, name: str, **options) -> DataFrame:
+    """The rows, written to the shared folder and read again: later steps neither repeat nor lose the work. ``options`` are
+    those of the file format.
 
     Shuffle files of the write are removed once it is done, as nothing reads them again.
     """
@@ -52,7 +53,7 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
     rows = spark.read.schema(df.schema).parquet(path)
