@@ -2,13 +2,14 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallywell.functions import exact_money
 from tallywell.operators.identity import ROW_KEY
 from tallywell.operators.keyed import content_hash, latest_per_key, update_columns
+from tallywell.operators.skew import lookup_join
 from tallywell.operators.validate import DEFAULT_POLICY, Policy, key_contract_breach
 from tallywell.schemas import AUDIT_SCHEMA, DECISION_SCHEMA, SILVER_SCHEMA
 
@@ -113,18 +114,23 @@ def _names() -> list[str]:
     return DECISION_SCHEMA.fieldNames()
 
 
+def _ids() -> Column:
+    """Both ids as one text; the length tells where the first ends."""
+    first, second = (F.expr(k) for k in REVIEW_KEYS)
+    return F.concat(F.length(first).cast("string"), F.lit(":"), first, second)
+
+
 def _located(usable: DataFrame, queue: DataFrame, policy: Policy) -> DataFrame:
-    """Decisions with the key and the row (``__found``) they are meant for, or the reason why there is none."""
-    by_ids = queue.groupBy(*[F.expr(k).alias(f"__id{i}") for i, k in enumerate(REVIEW_KEYS)]).agg(
-        F.count(F.lit(1)).alias("__n"), F.min("row_key").alias("__only")
-    )
-    same = F.col("row_key").isNull()
-    for i, key in enumerate(REVIEW_KEYS):
-        same = same & (F.expr(key) == F.col(f"__id{i}"))
-    keyed = usable.join(by_ids, same, "left").withColumn(
-        "__key", F.coalesce("row_key", F.when(F.col("__n") == 1, F.col("__only")))
-    )
+    """Decisions with the key and the row (``__found``) they are meant for, or the reason why there is none.
+
+    Most decisions may have no open row. They have no key, and are spread over the tasks like all others.
+    """
+    by_ids = queue.groupBy(_ids().alias("__ids")).agg(F.count(F.lit(1)).alias("__n"), F.min("row_key").alias("__only"))
+    asked = usable.withColumn("__ids", F.when(F.col("row_key").isNull(), _ids()))
+    keyed = lookup_join(asked, by_ids, "__ids").drop("__ids")
+    keyed = keyed.withColumn("__key", F.coalesce("row_key", F.when(F.col("__n") == 1, F.col("__only")))).drop("__only")
     rows = queue.select(
+        F.col("row_key").alias("__key"),
         F.col("row_key").alias("__row_key"),
         F.expr(key_contract_breach(policy)).alias("__breach"),
         F.struct(*[c for c in queue.columns if c != "_status"]).alias("__found"),
@@ -134,7 +140,7 @@ def _located(usable: DataFrame, queue: DataFrame, policy: Policy) -> DataFrame:
         .when(F.col("__row_key").isNull(), F.lit("NOT_PENDING"))
         .when((F.col("__verdict") == "APPROVED") & F.col("__breach"), F.lit("BREAKS_KEY_CONTRACT"))
     )
-    return keyed.join(rows, F.col("__key") == F.col("__row_key"), "left").withColumn("reason", reason)
+    return lookup_join(keyed, rows, "__key").withColumn("reason", reason)
 
 
 def _audit_rows(decided: DataFrame) -> DataFrame:
