@@ -48,6 +48,9 @@ from tallywell.streaming.dedup import without_redeliveries
 from tallywell.streaming.pipeline import append_pending, merged_pending, pending_from, silver_from
 from workload.events import FIRST_MS, as_events, raw_events, raw_orders, raw_payments, republished_events, table
 
+#: Bytes of a row group in a file that is a batch of its own.
+ROW_GROUP = 4 << 20
+
 CONTRACT_TABLES = {c.table for c in CONTRACTS}
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -601,6 +604,12 @@ def table_gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_table(spark, layers.daily_revenue)
 
 
+def _append_file(rows: DataFrame, folder: str) -> None:
+    """Add ``rows`` as one file. Tasks make them side by side, one of them writes; the file is in row groups small enough that many
+    tasks share its reading."""
+    rows.repartition(1).write.mode("append").option("parquet.block.size", ROW_GROUP).parquet(folder)
+
+
 @query
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First deliveries are streamed, then the second ones after a restart from the checkpoint."""
@@ -637,7 +646,7 @@ def stream_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file a batch, and one file without rows, whose batch writes nothing: each delivery with its batch's size."""
     layers, inbox = _fresh_layers(spark), shared_folder(spark, "inbox")
     for delivery in (1, 2):
-        raw_events(spark, sf_dir, delivery).coalesce(1).write.mode("append").parquet(inbox)
+        _append_file(raw_events(spark, sf_dir, delivery), inbox)
     raw_events(spark, sf_dir, 1).filter("false").coalesce(1).write.mode("append").parquet(inbox)
     stream = file_stream(spark, inbox, max_files_per_trigger=1)
     start_pipeline(stream, layers, shared_folder(spark, "offsets"), trigger=None).awaitTermination()
@@ -680,7 +689,7 @@ def stream_expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The expectations on each of two micro-batches, counted while silver is written."""
     layers, inbox, found = _fresh_layers(spark), shared_folder(spark, "inbox"), []
     for delivery in (1, 2):
-        raw_events(spark, sf_dir, delivery).coalesce(1).write.mode("append").parquet(inbox)
+        _append_file(raw_events(spark, sf_dir, delivery), inbox)
 
     def heard(results: DataFrame) -> None:
         found.append([(len(found), *r) for r in results.collect()])
@@ -697,7 +706,7 @@ def stream_structural_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     named."""
     inbox, out, alerts = shared_folder(spark, "inbox"), shared_folder(spark, "published"), []
     for delivery in (1, 2):
-        raw_events(spark, sf_dir, delivery).coalesce(1).write.mode("append").parquet(inbox)
+        _append_file(raw_events(spark, sf_dir, delivery), inbox)
     stream = file_stream(spark, inbox, max_files_per_trigger=1)
     main, dead = batch_file_writer(f"{out}/main"), batch_file_writer(f"{out}/dead")
     publish_stream(stream, main, dead, shared_folder(spark, "offsets"), on_dead=alerts.append).awaitTermination()
@@ -851,7 +860,7 @@ def stream_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     size."""
     layers, inbox = _fresh_layers(spark), shared_folder(spark, "inbox")
     for delivery in (1, 2):
-        raw_events(spark, sf_dir, delivery).coalesce(1).write.mode("append").parquet(inbox)
+        _append_file(raw_events(spark, sf_dir, delivery), inbox)
     stream = file_stream(spark, inbox, max_files_per_trigger=1)
     running = start_pipeline(stream, layers, shared_folder(spark, "offsets"), trigger="1 second")
     try:
