@@ -8,7 +8,8 @@ and in standard SQL, so that query and check read the same input.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywell.plans.ingest import order_events
+from tallywell.operators.ingest import join_payments
+from tallywell.plans.ingest import priced_events
 
 # Times of delivery of two publishing runs, in milliseconds.
 FIRST_MS, SECOND_MS = 1_700_000_000_000, 1_700_000_060_000
@@ -90,12 +91,17 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def republished_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Two publishes of all orders at one purchase time each: first as processing, later as they are."""
-    payments = raw_payments(spark, sf_dir)
-    orders = raw_orders(spark, sf_dir)
-    early = order_events(orders.withColumn("order_status", F.lit("processing")), payments, delivered_at=F.lit(FIRST_MS))
-    return early, order_events(orders, payments, delivered_at=F.lit(SECOND_MS))
+def republished_events(spark: SparkSession, sf_dir: str, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Two publishes of all orders at one purchase time each: first as processing, later as they are.
+
+    Who reads them more than once names a ``folder``, in which the orders and their payments are kept, so that they are joined once.
+    """
+    priced = join_payments(raw_orders(spark, sf_dir), raw_payments(spark, sf_dir))
+    if folder is not None:
+        priced.write.parquet(folder)
+        priced = spark.read.schema(priced.schema).parquet(folder)
+    early = priced_events(priced.withColumn("order_status", F.lit("processing")), delivered_at=F.lit(FIRST_MS))
+    return early, priced_events(priced, delivered_at=F.lit(SECOND_MS))
 
 
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
