@@ -1,4 +1,5 @@
 import json
+import uuid
 
 import pytest
 from plain_rows import as_dicts
@@ -7,6 +8,7 @@ from pyspark.errors import AnalysisException
 from tallywell.schemas import EVENT_FIELDS, EVENT_SCHEMA, PENDING_SCHEMA, event_avro_schema
 from tallywell.sinks import file_writer, publish_events
 from tallywell.sources import (
+    current_table,
     decode_events,
     encode_events,
     file_stream,
@@ -16,6 +18,7 @@ from tallywell.sources import (
     rows_or_empty,
     split_structural,
 )
+from tallywell.sources import tables
 from tallywell.sources.codec import CORRUPT
 from tallywell.sources.streams import kafka_options, kafka_stream
 
@@ -122,3 +125,31 @@ def test_kafka_options(spark):
 def test_missing_table_is_empty(spark):
     df = rows_or_empty(spark, "no_such_schema.pending", PENDING_SCHEMA)
     assert df.count() == 0 and df.schema == PENDING_SCHEMA
+
+
+def test_folders_of_a_table_are_listed_by_few_tasks(spark):
+    name, group = f"many_{uuid.uuid4().hex[:8]}", uuid.uuid4().hex
+    spark.range(60).selectExpr("id", "id AS part").coalesce(1).write.partitionBy("part").saveAsTable(name)
+    context, before = spark.sparkContext, spark.conf.get(tables._LISTING)
+    spark.conf.set(tables._LISTING, "10000")
+    context.setJobGroup(group, "listing")
+    try:
+        assert current_table(spark, name).count() == 60
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set(tables._LISTING, before)
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds]
+    known = [info for info in map(tracker.getStageInfo, stages) if info]
+    enough = tables.LISTINGS_PER_CORE * context.defaultParallelism
+    assert known and max(info.numTasks for info in known) <= enough < 60
+
+
+def test_a_session_that_lists_with_fewer_tasks_keeps_its_setting(spark):
+    before = spark.conf.get(tables._LISTING)
+    spark.conf.set(tables._LISTING, "3")
+    try:
+        tables.list_in_few_tasks(spark)
+        assert spark.conf.get(tables._LISTING) == "3"
+    finally:
+        spark.conf.set(tables._LISTING, before)
