@@ -1,15 +1,18 @@
 """Hard negatives by threshold joins over an inverted index with suffix-norm bounds.
 
-Components are ordered by weight. The list of a group of components holds the candidates by falling norm of what they have
-from there on: for a threshold t only those are read whose norm times the anchor's reaches t, as all other candidates' products
-from there on stay below it, so the rest of a list counts as not indexed. Partial scores are accumulated list by list, and a
-candidate goes once its score and the product of what remains of both norms stay below t. Who is left is scored in full. Each
-anchor starts at a high threshold, which is lowered until its windows are full or nothing lower can enter.
-
-Anchors and candidates are dealt into a grid of cells of bounded size. A cell reads its candidates part by part and carries
-each window on, so that later parts start where the windows are full already.
+Components are ordered by weight, and groups of them have a list each. The lists hold the candidates by falling norm: for a
+threshold t they are read only as far as that norm times the anchor's reaches t, as all other candidates' products stay below
+it, so the rest of a list counts as not indexed. Partial scores are accumulated list by list, and a candidate goes once its score
+and the product of the norms of what remains of both stay below t. Who is left has its full score then. Each anchor starts at a
+high threshold, which is lowered until its windows are full or nothing lower can enter. Some anchors are looked up together, each
+with a threshold of its own; a candidate goes when it does for all of them.
+
+Anchors and candidates are dealt into a grid of cells of bounded size; where only rows of one label are asked for, each label has
+a grid of its own. A cell reads its candidates part by part and carries each window on: once it is full, later parts are asked
+only for what its last row does not keep out.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,47 +31,51 @@ LOW, HIGH = 30, 90
 ANCHOR_BLOCK, CANDIDATE_BLOCK, PART = 512, 32768, 4096
 #: Components that share a list.
 GROUP = 8
+#: Anchors looked up together.
+TOGETHER = 64
 #: By what a threshold is lowered, and how many times before the lowest is taken.
 STEP, STEPS = 0.7, 8
 
 
 class Index:
-    """Lists of candidates for each group of components, by falling norm of what follows."""
+    """A list for each group of components, with what each candidate has there, by falling norm of candidates."""
 
     def __init__(self, points: np.ndarray):
         self.weight = np.argsort(-(points**2).sum(axis=0), kind="stable")
-        self.points = points[:, self.weight]
         self.starts = list(range(0, points.shape[1], GROUP))
-        squares = self.points**2
-        # remaining[j]: the norm of components from the j-th group on
-        self.remaining = [np.sqrt(squares[:, s:].sum(axis=1)) for s in self.starts] + [np.zeros(len(points))]
-        self.order = [np.argsort(-r, kind="stable") for r in self.remaining[:-1]]
-        self.falling = [r[o] for r, o in zip(self.remaining, self.order)]
-        self.lists = [np.ascontiguousarray(self.points[o, s : s + GROUP]) for s, o in zip(self.starts, self.order)]
-        self.largest = float(self.falling[0][0]) if self.lists and len(points) else 0.0
+        lengths = np.sqrt((points**2).sum(axis=1))
+        self.places = np.argsort(-lengths, kind="stable")
+        self.falling = lengths[self.places]
+        own = points[np.ix_(self.places, self.weight)]
+        self.lists = [np.ascontiguousarray(own[:, s : s + GROUP]) for s in self.starts]
+        # remaining[j]: the norm of components behind the j-th group
+        self.remaining = [np.sqrt((own[:, s + GROUP :] ** 2).sum(axis=1)) for s in self.starts]
+        self.largest = float(self.falling[0]) if self.lists and len(points) else 0.0
 
     def reaching(self, anchor: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
         """Places and scores of all candidates with a score of ``threshold`` or more (others may be among them)."""
-        q = anchor[self.weight]
-        q_left = [float(np.sqrt((q[s:] ** 2).sum())) for s in self.starts] + [0.0]
-        n = len(self.points)
-        slack = 1e-9 * q_left[0] * self.largest + 1e-6
-        t = threshold - slack
-        if not self.lists or t <= -q_left[0] * self.largest:
-            found = np.arange(n)
-            return found, self.points @ q
-        score, alive = np.zeros(n), np.zeros(n, bool)
-        for j, (start, order, falling) in enumerate(zip(self.starts, self.order, self.falling)):
-            # All that the rest of the list could add up to, with every anchor component from here on, is below t.
-            end = int(np.searchsorted(-falling, -t / q_left[0], "right")) if t > 0 and q_left[0] > 0 else n
-            if not end:
-                break
-            own = order[:end]
-            score[own] += self.lists[j][:end] @ q[start : start + GROUP]
-            able = score[own] + q_left[j + 1] * self.remaining[j + 1][own] >= t
-            alive[own] = able if not j else alive[own] & able
-        found = np.flatnonzero(alive)
-        return found, self.points[found] @ q
+        places, scores = self.reaching_any(anchor[None], np.array([threshold]))
+        return places, scores[0]
+
+    def reaching_any(self, anchors: np.ndarray, thresholds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of all candidates that reach the threshold of an anchor (others may be among them), and for each anchor their
+        scores."""
+        q = anchors[:, self.weight]
+        left = [np.sqrt((q[:, s:] ** 2).sum(axis=1)) for s in self.starts] + [np.zeros(len(q))]
+        n, whole = len(self.places), left[0]
+        t = thresholds - (1e-9 * whole * self.largest + 1e-6)
+        some = (t > 0) & (whole > 0)
+        # All that the rest of a list could add up to, with every component of the anchor, is below t.
+        ends = np.where(t > 0, 0, n)
+        ends[some] = np.searchsorted(-self.falling, -t[some] / whole[some], "right")
+        end = int(ends.max(initial=0))
+        scores, own = np.zeros((len(q), end)), np.arange(end)
+        for start, behind, remaining, values in zip(self.starts, left[1:], self.remaining, self.lists):
+            scores += q[:, start : start + GROUP] @ values[own].T
+            able = (scores + behind[:, None] * remaining[own] >= t[:, None]).any(axis=0)
+            if not able.all():
+                scores, own = scores[:, able], own[able]
+        return self.places[own], scores
 
 
 @dataclass
@@ -93,21 +100,41 @@ class Best:
         return full or threshold <= self.low or not self.k or self.low > self.high
 
 
-def _filled(windows: list[Best], index: Index, first: int, anchor: np.ndarray, fits: np.ndarray, ids, missing) -> list[Best]:
-    """The windows after the candidates of one index, which begin at place ``first``."""
-    reach = float(np.sqrt((anchor**2).sum())) * index.largest
-    highest = max((w.high for w in windows), default=0.0)
-    t, lowered = min(highest, reach) * STEP, 0
-    while True:
-        places, scores = index.reaching(anchor, t)
-        own = fits[places]
-        at, scores = places[own] + first, scores[own]
-        now = [w.with_rows(scores, at, ids, missing) for w in windows]
-        open_ = [w.low for w in now if not w.settled(t)]
-        if not open_:
-            return now
-        lowered += 1
-        t = max(t * STEP, min(open_)) if t > 0 and lowered < STEPS else min(open_)
+def _start(windows: list[Best], reach: float) -> float:
+    """The threshold to begin with: what can still enter, if all windows are full already."""
+    able = [w for w in windows if w.k and w.low <= w.high]
+    if able and all(len(w.scores) == w.k for w in able):
+        return min(float(w.scores[-1]) for w in able)
+    return min(max((w.high for w in windows), default=0.0), reach) * STEP
+
+
+def _filled(
+    windows: list[list[Best]], index: Index, at: np.ndarray, anchors: np.ndarray, fits: Callable[[np.ndarray, np.ndarray], np.ndarray], ids, missing
+) -> list[list[Best]]:
+    """The windows of each anchor after the candidates of one index, whose places are ``at``.
+
+    ``fits`` tells for pairs of anchor and candidate whether the latter may enter.
+    """
+    reach = np.sqrt((anchors**2).sum(axis=1)) * index.largest
+    t = np.array([_start(w, float(r)) for w, r in zip(windows, reach)])
+    out, asked, lowered = list(windows), np.arange(len(windows)), 0
+    while len(asked):
+        places, scores = index.reaching_any(anchors[asked], t[asked])
+        which, column = np.nonzero(scores >= t[asked, None])
+        scores, found = scores[which, column], at[places[column]]
+        own = fits(asked[which], found)
+        which, scores, found = which[own], scores[own], found[own]
+        cuts = np.searchsorted(which, np.arange(len(asked) + 1))
+        lowered, again = lowered + 1, []
+        for i, first, last in zip(asked, cuts, cuts[1:]):
+            if last > first:
+                out[i] = [w.with_rows(scores[first:last], found[first:last], ids, missing) for w in windows[i]]
+            lows = [w.low for w in out[i] if not w.settled(t[i])]
+            if lows:
+                again.append(i)
+                t[i] = max(t[i] * STEP, min(lows)) if t[i] > 0 and lowered < STEPS else min(lows)
+        asked = np.array(again, np.int64)
+    return out
 
 
 def _wide(windows: list[tuple[int, int, int]], anchor, points, at, ids, missing) -> list[list[tuple[int, int]]]:
@@ -134,26 +161,36 @@ def _cell(cell: pa.Table, same_label: bool) -> pa.Table:
         labels, own_labels = others.column("label").to_numpy(), anchors.column("label").to_numpy()
         q_rows, q_norms, c_norms = anchors.column("row").to_numpy(), norms(q), norms(c)
         windows = anchors.column("windows").to_pylist()
-        narrow = c_norms * max(1.0, float(np.min(q_norms, initial=np.inf))) < EXACT
-        plain = np.flatnonzero(narrow)
-        indexes = [(a, Index(c[plain[a : a + PART]])) for a in range(0, len(plain), PART)]
+        asked = [[_bounds(w) for w in own] for own in windows]
+        best = [[Best(_real(low, -np.inf), _real(high, np.inf), k) for low, high, k in own] for own in asked]
+        plain = np.flatnonzero(c_norms * max(1.0, float(np.min(q_norms, initial=np.inf))) < EXACT)
+        indexes = [(plain[a : a + PART], Index(c[plain[a : a + PART]])) for a in range(0, len(plain), PART)]
+        narrow = np.flatnonzero(q_norms < EXACT)
+        largest = float(c_norms.max(initial=0))
+
+        def others_of(i: np.ndarray | int, at: np.ndarray) -> np.ndarray:
+            fits = (labels[at] == own_labels[i]) if same_label else (labels[at] != own_labels[i])
+            return fits & (rows[at] != q_rows[i])
+
+        for a in range(0, len(narrow), TOGETHER):
+            own = narrow[a : a + TOGETHER]
+
+            def fits(i: np.ndarray, at: np.ndarray, own: np.ndarray = own) -> np.ndarray:
+                return others_of(own[i], at) & (c_norms[at] * q_norms[own[i]] < EXACT)
+
+            found = [best[i] for i in own]
+            for at, index in indexes:
+                found = _filled(found, index, at, q[own], fits, ids, missing)
+            for i, full in zip(own, found):
+                best[i] = full
         for i in range(len(q)):
-            fits = (labels == own_labels[i]) if same_label else (labels != own_labels[i])
-            fits &= rows != q_rows[i]
-            exact = c_norms * q_norms[i] < EXACT
-            asked = [_bounds(w) for w in windows[i]]
-            found: list[list[tuple[int, int]]] = [[] for _ in asked]
-            if exact[plain].any():
-                best = [Best(_real(low, -np.inf), _real(high, np.inf), k) for low, high, k in asked]
-                usable = (fits & exact)[plain]
-                for first, index in indexes:
-                    best = _filled(best, index, first, q[i], usable[first : first + PART], ids[plain], missing[plain])
-                found = [[(int(s), int(plain[a])) for s, a in zip(b.scores, b.at)] for b in best]
-            far = np.flatnonzero(fits & ~exact)
-            if len(far):
-                more = _wide(asked, q[i], c[far], far, ids, missing)
+            found = [[(int(s), int(a)) for s, a in zip(b.scores, b.at)] for b in best[i]]
+            if q_norms[i] >= EXACT or largest * q_norms[i] >= EXACT:
+                far = c_norms * q_norms[i] >= EXACT if q_norms[i] < EXACT else np.ones(len(c), bool)
+                far = np.flatnonzero(far & others_of(i, np.arange(len(c))))
+                more = _wide(asked[i], q[i], c[far], far, ids, missing)
                 order = [sorted(a + b, key=lambda x: (-x[0], missing[x[1]], ids[x[1]])) for a, b in zip(found, more)]
-                found = [rows_[:k] for rows_, (_, _, k) in zip(order, asked)]
+                found = [rows_[:k] for rows_, (_, _, k) in zip(order, asked[i])]
             for w, best_rows in zip(windows[i], found):
                 out += [(q_rows[i], w["place"], rows[a], None if missing[a] else ids[a], held(s), beyond(s)) for s, a in best_rows]
     columns = list(zip(*out)) if out else [[]] * 6
@@ -178,15 +215,17 @@ def _real(bound: int | None, missing: float) -> float:
 def _searched(rows: DataFrame, anchors: DataFrame, same_label: bool) -> DataFrame:
     """anchor, place, row, vec_id, score and beyond: for each window of each anchor its first rows of each cell."""
 
+    keys = ["w", "label"] if same_label else ["w"]
+
     def blocks(df: DataFrame, size: int) -> DataFrame:
-        return df.groupBy(F.size("v").alias("w")).agg(F.ceil(F.count(F.lit(1)) / size).alias("blocks"))
+        return df.withColumn("w", F.size("v")).groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / size).alias("blocks"))
 
-    # One row for each length of vectors.
-    sizes = blocks(rows, CANDIDATE_BLOCK).withColumnRenamed("blocks", "cs").join(blocks(anchors, ANCHOR_BLOCK).withColumnRenamed("blocks", "qs"), "w")
+    # One row for each length of vectors, and label of anchors.
+    sizes = blocks(rows, CANDIDATE_BLOCK).withColumnRenamed("blocks", "cs").join(blocks(anchors, ANCHOR_BLOCK).withColumnRenamed("blocks", "qs"), keys)
 
     def dealt(df: DataFrame, windows: Column, asks: bool) -> DataFrame:
         own, other, names = ("qs", "cs", ("qb", "cb")) if asks else ("cs", "qs", ("cb", "qb"))
-        return df.withColumn("w", F.size("v")).join(sizes, "w").select(
+        return df.withColumn("w", F.size("v")).join(sizes, keys).select(
             "row",
             "vec_id",
             "label",
@@ -200,7 +239,7 @@ def _searched(rows: DataFrame, anchors: DataFrame, same_label: bool) -> DataFram
 
     kind = anchors.schema["windows"].dataType
     grid = dealt(rows, F.lit(None).cast(kind), False).unionByName(dealt(anchors, F.col("windows"), True))
-    return grid.groupBy("w", "qb", "cb").applyInArrow(
+    return grid.groupBy(*keys, "qb", "cb").applyInArrow(
         lambda t: _cell(t, same_label), "anchor long, place int, row long, vec_id long, score long, beyond binary"
     )
 

@@ -107,6 +107,47 @@ def test_lists_leave_out_what_the_norms_cover():
     assert len(index.reaching(anchor, -np.inf)[0]) == len(points)
 
 
+def test_anchors_are_looked_up_together_and_full_windows_ask_once(monkeypatch):
+    r = np.random.default_rng(6)
+    points = np.floor(r.normal(0, 90, (4000, 32)))
+    index, anchors = Index(points), np.floor(r.normal(0, 90, (20, 32)))
+    scores, t = anchors @ points.T, r.uniform(-5000, 60000, 20)
+    places, own = index.reaching_any(anchors, t)
+    assert set(np.flatnonzero((scores >= t[:, None]).any(axis=0))) <= set(places) and (own == scores[:, places]).all()
+
+    asked, was = [], Index.reaching_any
+    monkeypatch.setattr(Index, "reaching_any", lambda self, a, t: (asked.append(len(a)), was(self, a, t))[1])
+    ids, missing, k = np.arange(4000), np.zeros(4000, bool), 5
+    best = [[hard_negatives.Best(-np.inf, np.inf, k)] for _ in anchors]
+    for first in range(0, 4000, 400):
+        asked.clear()
+        at = ids[first : first + 400]
+        best = hard_negatives._filled(best, Index(points[at]), at, anchors, lambda i, j: j % 3 > 0, ids, missing)
+        assert not first or asked == [len(anchors)]
+    for (b,), own in zip(best, scores, strict=True):
+        fit = np.flatnonzero(ids % 3 > 0)
+        assert b.at.tolist() == sorted(fit, key=lambda j: (-own[j], j))[:k]
+
+
+def test_a_label_has_a_grid_of_its_own(spark, monkeypatch):
+    for name, size in zip(("ANCHOR_BLOCK", "CANDIDATE_BLOCK", "PART"), (4, 30, 11), strict=True):
+        monkeypatch.setattr(hard_negatives, name, size)
+    was = hard_negatives._cell
+
+    def cell(t, same_label):
+        assert not same_label or len(set(t.column("label").to_pylist())) == 1
+        return was(t, same_label)
+
+    monkeypatch.setattr(hard_negatives, "_cell", cell)
+    rows = clustered(7, 200) + [(200 + k, [0.1 * k] * 16, 50 + k) for k in range(20)]
+    assert found(spark, rows, every=10) == by_hand(rows, 10)
+
+
+def test_zero_vectors_meet_anchors_of_any_size(spark):
+    rows = [(0, [1e200, -1e200], 0), (1, [0.0, 0.0], 0), (2, [0.0, 0.0], 1), (3, [1.0, 1.0], 1), (4, [1e190, 1e190], 0), (5, [-1.0, 0.0], 1)]
+    assert found(spark, rows, every=10, kind="double") == by_hand(rows, 10, kind=np.float64)
+
+
 def test_query(spark):
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     rows = [(i, e, (y + 1) % 10 if y is not None and i % 7 == 0 else y) for i, e, y in rows]
