@@ -114,3 +114,55 @@ def test_candidates_below_the_bound_are_not_evaluated():
     scores, places = topk._best(query, candidates.view(Watched), every, np.zeros(5050, bool), bounds, every, 5)
     assert sum(seen) <= 2 * topk.STEP
     assert places.tolist() == np.lexsort([every, -(candidates @ query)])[:5].tolist()
+
+
+def test_cells_are_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 25)
+    r = random.Random(5)
+    rows = made(spark, [(k, [r.gauss(0, 1) for _ in range(4)]) for k in range(300)])
+    typed = topk.whole_vectors(rows, (F.col("vec_id") % 50 == 0).alias("asks"))
+    typed = typed.withColumn("w", F.size("v")).withColumn("narrow", F.lit(True))
+    dealt = topk.grid(topk.pivot_table(typed, topk.chosen_pivots(typed, 4)))
+    cells = dealt.groupBy("w", "qb", "cb", F.spark_partition_id().alias("task")).agg(F.sum(F.lit(1)).alias("n")).collect()
+    assert len({r.cb for r in cells}) == 12 and sum(r.n for r in cells) == 300 + 6 * 12
+    assert len({r.task for r in cells}) > 3
+
+
+@pytest.mark.parametrize("held", [1 << 20, 50])
+@pytest.mark.parametrize("kind", [np.float32, np.float64])
+def test_queries_together_find_what_each_finds(monkeypatch, held, kind):
+    monkeypatch.setattr(topk, "HELD", held)
+    monkeypatch.setattr(topk, "STEP", 16)
+    r = np.random.default_rng(4)
+    points = np.concatenate([r.integers(-3, 3, (200, 3)), r.integers(200, 203, (100, 3)), np.tile([[5, 5, 5]], (150, 1))]).astype(float)
+    ids, missing = r.permutation(450), np.zeros(450, bool)
+    asked = np.array([0, 7, 210, 215, 400])
+    away = np.linalg.norm(points[:, None] - points[None, [0, 250]], axis=2)
+    steps, squares = topk._steps(away), (points**2).sum(1)
+    bounds = topk._step_bounds(squares[asked], away[asked], squares, away, steps)
+    scores = points[asked] @ points.T
+    for j, step in enumerate(steps):
+        assert (bounds[:, j] >= scores[:, step].max(axis=1)).all()
+    found = topk._reached(points[asked].astype(kind), points.astype(kind), ids, missing, asked, steps, bounds, 5)
+    for i, place in enumerate(asked):
+        wanted = [p for p in np.lexsort([ids, -scores[i]]).tolist() if p != place][:5]
+        mine = [(-s, ids[p], p) for q, p, s in zip(*found) if q == i]
+        assert [p for _, _, p in sorted(mine)][:5] == wanted
+
+
+def test_steps_below_the_bound_are_not_multiplied(monkeypatch):
+    r = np.random.default_rng(6)
+    points = np.concatenate([r.integers(-9, 9, (2000, 4)), r.integers(300, 309, (60, 4))]).astype(float)
+    away = np.linalg.norm(points[:, None] - points[None, [0, 2030]], axis=2)
+    steps, squares = topk._steps(away), (points**2).sum(1)
+    asked = np.array([2040, 2050])
+    seen = []
+
+    class Watched(np.ndarray):
+        def __getitem__(self, part):
+            seen.append(len(part))
+            return np.asarray(super().__getitem__(part))
+
+    bounds = topk._step_bounds(squares[asked], away[asked], squares, away, steps)
+    topk._reached(points[asked], points.view(Watched), np.arange(2060), np.zeros(2060, bool), asked, steps, bounds, 5)
+    assert sum(seen) <= 2 * topk.STEP
