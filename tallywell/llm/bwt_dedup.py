@@ -1,6 +1,7 @@
 """Dedup of byte strings by threshold-bounded interval expansion on a Burrows-Wheeler transform.
 
-Within a bucket of pieces (see ``anchors``) the transform of their concatenation is built. Starting from the interval of
+Within a bucket of pieces (see ``anchors``) the transform of the concatenation of those of their windows is built whose hash occurs
+twice in it; a window with a hash of its own occurs once. Starting from the interval of
 all suffixes, intervals are extended backwards by each byte that precedes one of their suffixes, breadth first, all
 intervals of a level at once. When strings of length l + 1 come out, every interval end not seen before parts suffixes
 that have l bytes in common, so common prefixes are found by increasing value, each once; intervals whose end is
@@ -12,11 +13,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from tallywell.llm.anchors import Units, alone, covered, cut, keyed
-from tallywell.llm.common import ranges
+from tallywell.llm.common import mixed, ranges, run_hashes
 
 WIDTH = 50
 GRAM = 20
 
+_BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
 _KEY_SYMBOLS = 7  # of 9 bits each in a sort key
 
 
@@ -81,25 +83,47 @@ def first_bytes(contents: list[bytes], anchor: np.ndarray, width: int = WIDTH):
     some = np.flatnonzero(~alone(anchor))
     if not len(some):
         return number, owner, place
-    text = np.frombuffer(b"".join(contents[k] for k in some), np.uint8).astype(np.uint16) + np.uint16(1)
-    # A 0 after each piece: it is no byte, so what holds it equals no window.
-    begins = np.cumsum(lengths[some] + 1) - (lengths[some] + 1)
-    joined = np.zeros(len(text) + len(some), np.uint16)
-    joined[ranges(begins, lengths[some])] = text
+    text = np.frombuffer(b"".join(contents[k] for k in some), np.uint8)
+    begins = np.cumsum(lengths[some]) - lengths[some]
+    at = ranges(begins, windows[some])
+    repeated = _occur_twice(run_hashes(_BYTES[text], width)[at])
+    # Stretches of windows that may occur elsewhere; the others are first where they stand.
+    chosen = np.flatnonzero(~alone(anchor)[number])
+    of, w = number[chosen], place[chosen]
+    new = repeated.copy()
+    new[1:] &= ~repeated[:-1] | (of[1:] != of[:-1])
+    first_window = np.flatnonzero(new)
+    if not len(first_window):
+        return number, owner, place
+    count = np.bincount((np.cumsum(new) - 1)[repeated], minlength=len(first_window))
+    sizes = count + width - 1
+    # A 0 after each stretch: it is no byte, so what holds it equals no window.
+    begins = np.cumsum(sizes + 1) - (sizes + 1)
+    joined = np.zeros(int(sizes.sum()) + len(sizes), np.uint16)
+    joined[ranges(begins, sizes)] = text[ranges(at[first_window], sizes)].astype(np.uint16) + np.uint16(1)
     order = suffix_order(joined, width + 1)
     common = parted(joined[order - 1], width)
     new = common[:-1] < width
     group = np.empty(len(joined), np.int64)
     group[order] = np.cumsum(new) - 1
     earliest = np.minimum.reduceat(order, np.flatnonzero(new))  # pieces stand in the order of documents
-    first = earliest[group[ranges(begins, windows[some])]]
-    chosen = np.isin(number, some)
+    first = earliest[group[ranges(begins, count)]]
+    chosen = chosen[repeated]
     k = np.searchsorted(begins, first, "right") - 1
-    owner[chosen] = some[k]
-    place[chosen] = first - begins[k]
+    owner[chosen] = of[first_window[k]]
+    place[chosen] = w[first_window[k]] + first - begins[k]
     return number, owner, place
 
 
+def _occur_twice(hashes: np.ndarray) -> np.ndarray:
+    order = np.argsort(hashes)
+    same = hashes[order][1:] == hashes[order][:-1]
+    out = np.zeros(len(hashes), bool)
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
+    return out
+
+
 def deduplicated_bytes(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """Every row's doc_id, n bytes, n_removed, n_spans, spans (of bytes) and kept: its text's UTF-8 bytes but those covered by a
     string of ``width`` bytes that also starts in a document with a smaller doc_id.

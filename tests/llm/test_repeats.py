@@ -1,12 +1,13 @@
 """Both operators that remove repeated windows, against windows kept in a dictionary."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from conftest_llm import ODD
 
-from tallywell.llm import anchors
+from tallywell.llm import anchors, bwt_dedup
 from tallywell.llm.automaton_dedup import SuffixAutomaton, deduplicated_words, first_words
 from tallywell.llm.bwt_dedup import deduplicated_bytes, first_bytes, parted, suffix_order
 
@@ -157,3 +158,50 @@ def test_matching_statistics_of_other_texts():
     for x in [1, 2, 3, 4, 1, 2, 3, 5]:
         automaton.add(x)
     assert automaton.matches([1, 2, 3, 5, 9, 2, 3, 4], 3) == [-1, -1, 2, 7, -1, -1, -1, 3]
+
+
+@pytest.mark.parametrize("words", [True, False])
+def test_anchors_are_counted_over_all_texts(docs, monkeypatch, words):
+    monkeypatch.setattr(anchors, "SCAN", 300)
+    monkeypatch.setattr(anchors, "ANCHORS_HELD", 40)
+    units = anchors.Units(*((6, 2) if words else (12, 5)), words, words)
+    rows = corpus(1, UNITS[1])
+    want = Counter()
+    for _, text in rows:
+        data = np.frombuffer(text.encode(), np.uint8)
+        hashes, _, _, first = units.split(data, np.array([0, len(data)]))
+        p = anchors.pieces(hashes, first, units)
+        want.update(set(p.anchor.tolist()))
+        want.update(p.anchor[p.twice].tolist())
+    counted = anchors.repeated_anchors(anchors.keyed(docs(*rows)), units).collect()
+    assert sorted((r.anchor, r.n) for r in counted) == sorted((a, n) for a, n in want.items() if n > 1)
+
+
+def test_pieces_go_out_once_for_each_bucket(docs, monkeypatch):
+    monkeypatch.setattr(anchors, "CHUNK", 500)
+    monkeypatch.setattr(anchors, "SCAN", 500, raising=False)
+    r = random.Random(9)
+    texts = ["".join(r.choice("abcdefgh ") for _ in range(300)) for _ in range(20)]
+    rows = anchors.keyed(docs(*[(k, texts[k % 20]) for k in range(40)], parts=1))
+    units = anchors.Units(50, 20, False, False)
+    found = anchors.repeated_anchors(rows, units)
+    bits, crowds = anchors.sieve(found), anchors.sieve(found.filter("n > 100"), anchors.CROWDED_SIEVE_BITS)
+    packed = anchors.packed_pieces(rows, units, bits, crowds, 3).collect()
+    assert sorted(x.bucket for x in packed) == [0, 1, 2]
+    windows = Counter()
+    for x in packed:
+        for d, n in zip(x.d, x.n, strict=True):
+            windows[d] += n
+    assert windows == {k: 251 for k in range(40)}
+
+
+def test_windows_that_occur_once_are_not_sorted(monkeypatch):
+    r = random.Random(8)
+    shared, own = ["".join(r.choice("abc") for _ in range(60)) for _ in range(2)]
+    contents = [(own + shared).encode(), b"x" * 49 + shared.encode(), own[::-1].encode()]
+    sizes, sort = [], bwt_dedup.suffix_order
+    monkeypatch.setattr(bwt_dedup, "suffix_order", lambda text, depth: (sizes.append(len(text)), sort(text, depth))[1])
+    number, owner, place = first_bytes(contents, np.zeros(3, np.int64))
+    assert sizes == [2 * 61]
+    want = [(0, k) for k in range(71)] + [(1, k) for k in range(49)] + [(0, 60 + k) for k in range(11)] + [(2, k) for k in range(11)]
+    assert list(zip(owner.tolist(), place.tolist(), strict=True)) == want
