@@ -101,12 +101,13 @@ def process_batch(
     Both hear of it after the write.
     """
     options, spark = options or PipelineOptions(), batch.sparkSession
-    if batch.isEmpty():
-        return
     events = with_origin(batch).select(*EVENT_FIELDS, *ORIGIN_FIELDS)
     classified = classify(events, options.policy).persist(StorageLevel.MEMORY_AND_DISK)
     silver = None
     try:
+        # Asked of the rows kept: of the batch itself it would read, and shuffle, what a stream does before once more.
+        if classified.isEmpty():
+            return
         append_batch(classified.select(*EVENT_FIELDS, *ORIGIN_FIELDS), layers.bronze, stream_id, batch_id)
         append_pending(pending_from(classified), layers)
         # The expectations are counted while the rows are made for the write: no job of their own.

@@ -4,7 +4,7 @@ from plain_rows import as_dicts
 from pyspark.sql import functions as F
 
 from tallywell.operators.validate import classify
-from tallywell.schemas import EVENT_FIELDS
+from tallywell.schemas import EVENT_FIELDS, EVENT_SCHEMA
 from tallywell.sinks import Layers, create_layers, upsert_table
 from tallywell.sinks.publish import batch_file_writer, publish_stream
 from tallywell.sources import current_table, decode_events, file_stream
@@ -238,3 +238,40 @@ def test_redeliveries_are_dropped_within_the_watermark(spark, events, tmp_path):
         writer = once.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True)
         writer.start(f"{tmp_path}/out").awaitTermination()
     assert sorted(r["order_id"] for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["o1", "o2", "o3", "o4", "o5"]
+
+
+def test_a_batch_is_read_once(spark, layers):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(row):
+        read.add(1)
+        return row
+
+    rows = [(timed_id(k, k), f"o{k}", "c", "s", f"2031-03-{k % 9 + 1:02} 08:15:00", "1") for k in range(40)]
+    process_batch(spark.createDataFrame(spark.sparkContext.parallelize(rows, 4).map(seen), EVENT_SCHEMA), 0, layers, stream_id="s")
+    assert read.value == 40
+    assert spark.table(layers.bronze).count() == spark.table(layers.silver).count() == 40
+    process_batch(spark.createDataFrame([], EVENT_SCHEMA), 1, layers, stream_id="s")
+    assert spark.table(layers.bronze).count() == 40
+
+
+def test_the_state_of_redeliveries_lies_on_disk(spark, events, tmp_path):
+    name, inbox = "spark.sql.streaming.stateStore.providerClass", f"{tmp_path}/in"
+    before = spark.conf.get(name, None)
+    spark.conf.unset(name)
+    try:
+        for k in range(2):
+            events((timed_id(1, 1), "o1", "c", "s", "2031-03-09 08:15:00", "1")).write.mode("append").parquet(inbox)
+            once = without_redeliveries(file_stream(spark, inbox))
+            writer = once.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True)
+            query = writer.start(f"{tmp_path}/out")
+            query.awaitTermination()
+            assert "rocksdb" in str(query.lastProgress["stateOperators"][0]["customMetrics"]).lower()
+        assert spark.read.parquet(f"{tmp_path}/out").count() == 1
+        spark.conf.set(name, "own")
+        without_redeliveries(file_stream(spark, inbox))
+        assert spark.conf.get(name) == "own"
+    finally:
+        spark.conf.unset(name)
+        if before is not None:
+            spark.conf.set(name, before)
